@@ -44,3 +44,109 @@ SELECT j.job_id, j.name AS job_name,
        8 AS stage
 FROM j LEFT JOIN m ON j.ecid = m.old_id
 """
+
+# ---------------------------------------------------------------------------
+SRC_USERS = "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS userName, c_custkey AS ord FROM customer"
+TGT_USERS = ("SELECT CAST(c_custkey + 500000 AS VARCHAR) AS id, c_name AS userName, c_custkey AS ord "
+             "FROM customer WHERE c_custkey % 4 <> 0")
+POOLS_SRC = "SELECT 'pool-' || n_nationkey AS instance_pool_id, n_name AS instance_pool_name FROM nation"
+POOLS_TGT = ("SELECT 'pool-' || (n_nationkey + 1000) AS instance_pool_id, n_name AS instance_pool_name "
+             "FROM nation WHERE n_nationkey % 5 <> 0")
+POOL_MAP = f"""SELECT s.instance_pool_name AS name, s.instance_pool_id AS old_id, t.instance_pool_id AS new_id
+  FROM ({POOLS_SRC}) s JOIN ({POOLS_TGT}) t ON s.instance_pool_name = t.instance_pool_name"""
+CLUSTERS = """SELECT CAST(c_custkey AS VARCHAR) AS cluster_id,
+  CASE WHEN c_custkey % 50 = 0 THEN 'job-' || c_custkey || '-run-' || c_nationkey
+       WHEN c_custkey % 70 = 0 THEN 'mlflow-model-' || c_custkey ELSE c_name END AS cluster_name,
+  CASE WHEN c_custkey % 2 = 0 THEN 'arn:aws:iam::profile/' || c_nationkey END AS arn,
+  CASE WHEN c_custkey % 5 = 0 THEN 'pool-' || c_nationkey END AS instance_pool_id,
+  CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS team,
+  'u' || c_custkey AS creator, c_acctbal > 9000 AS pinned, c_custkey, c_nationkey
+  FROM customer"""
+REGISTERED = "SELECT 'arn:aws:iam::profile/' || n_nationkey AS arn FROM nation WHERE n_regionkey <> 2"
+WS_ITEMS = """SELECT '/Users/u' || o_custkey || CASE WHEN o_orderkey % 10 = 0 THEN '/Trash/' ELSE '//d/' END
+    || 'n' || o_orderkey AS path, o_orderkey AS object_id,
+    CASE o_orderkey % 3 WHEN 0 THEN 'DIRECTORY' WHEN 1 THEN 'NOTEBOOK' ELSE 'LIBRARY' END AS object_type
+  FROM orders
+  UNION ALL SELECT '/Users/u' || c_custkey, c_custkey + 1000000000, 'DIRECTORY' FROM customer
+  UNION ALL SELECT '/Users/u' || c_custkey || '/Trash', c_custkey + 2000000000,
+    CASE WHEN c_custkey % 2 = 0 THEN 'DIRECTORY' ELSE 'NOTEBOOK' END FROM customer WHERE c_custkey % 7 = 0"""
+WS_TARGET = """SELECT '/Users/u' || c_custkey AS path, c_custkey + 3000000000 AS object_id,
+    CASE WHEN c_custkey % 4 <> 0 THEN 'DIRECTORY' WHEN c_custkey % 8 = 0 THEN 'NOTEBOOK' END AS object_type
+  FROM customer WHERE c_custkey % 4 <> 0 OR c_custkey % 8 = 0"""
+PARTS = "list_filter(string_split({p}, '/'), lambda x: x <> '')"
+TRASH_KEEP = """NOT coalesce(regexp_matches(path, '^[^/]*/Users/[^/]*/Trash/')
+     OR (object_type = 'DIRECTORY' AND regexp_matches(path, '^[^/]*/Users/[^/]*/Trash$')), false)"""
+
+ORACLE["jn1_id_map"] = f"""
+SELECT s.userName AS name, s.old_id, t.new_id
+FROM (SELECT userName, arg_max(id, ord) AS old_id FROM ({SRC_USERS}) WHERE userName IS NOT NULL GROUP BY 1) s
+JOIN (SELECT userName, arg_max(id, ord) AS new_id FROM ({TGT_USERS}) WHERE userName IS NOT NULL GROUP BY 1) t
+  ON s.userName = t.userName"""
+
+ORACLE["jn2_remap_pools"] = f"""
+SELECT c.cluster_id, c.instance_pool_id AS old_pool_id, m.new_id AS new_pool_id,
+  CASE WHEN c.instance_pool_id IS NULL THEN 'none' WHEN m.new_id IS NULL THEN 'unresolved'
+       ELSE 'mapped' END AS pool_status
+FROM ({CLUSTERS}) c LEFT JOIN ({POOL_MAP}) m ON c.instance_pool_id = m.old_id"""
+
+ORACLE["jn3_remap_clusters"] = f"""
+WITH m AS ({CLUSTER_MAP}), j AS ({JOBS})
+SELECT j.job_id, CASE WHEN j.ecid IS NULL THEN 'new_cluster' WHEN m.new_id IS NULL THEN 'reset_default'
+                      ELSE 'rewired' END AS outcome,
+       j.ecid AS old_cluster_id, CASE WHEN j.ecid IS NOT NULL THEN m.new_id END AS new_cluster_id
+FROM j LEFT JOIN m ON j.ecid = m.old_id"""
+
+ORACLE["jn4_skip_existing"] = f"""
+SELECT c.cluster_id, c.cluster_name,
+  CASE WHEN c.cluster_name IS NULL THEN 'invalid_key'
+       WHEN EXISTS (SELECT 1 FROM ({TGT_CLUSTERS}) t WHERE t.cluster_name = c.cluster_name) THEN 'skip_existing'
+       ELSE 'create' END AS decision
+FROM ({CLUSTERS}) c"""
+
+ORACLE["jn5_null_unregistered_profile"] = f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS cluster_id,
+  CASE WHEN r.arn IS NOT NULL THEN 'arn:aws:iam::profile/' || s_nationkey END AS profile_arn,
+  'us-east-1a' AS zone_id, r.arn IS NULL AS profile_dropped
+FROM supplier LEFT JOIN (SELECT DISTINCT arn FROM ({REGISTERED})) r
+  ON r.arn = 'arn:aws:iam::profile/' || s_nationkey"""
+
+ORACLE["ag3_distinct_keys"] = "SELECT DISTINCT p_name FROM part WHERE p_name IS NOT NULL"
+ORACLE["ag4_last_wins"] = ("SELECT p_name, max(p_partkey) AS p_partkey, arg_max(p_brand, p_partkey) "
+                           "AS p_brand FROM part GROUP BY p_name")
+ORACLE["ag5_first_match"] = ("SELECT p_name, min(p_partkey) AS p_partkey, arg_min(p_brand, p_partkey) "
+                             "AS p_brand FROM part GROUP BY p_name")
+
+ORACLE["prj1_keep_known_fields"] = """
+SELECT event_id, '{"event_id":' || event_id || CASE WHEN event_type IS NULL THEN ''
+  ELSE ',"event_type":"' || event_type || '"' END || '}' AS doc FROM events"""
+ORACLE["prj2_project_items"] = f"SELECT path, object_id FROM ({WS_ITEMS})"
+ORACLE["prj3_drop_fields"] = ("SELECT o_orderkey AS job_id, '{\"name\":\"order-' || o_orderkey || '\"}' "
+                              "AS settings_json FROM orders")
+ORACLE["prj4_project_mounts"] = """
+SELECT '/mnt/' || s_name AS path, 's3a://bucket-' || s_nationkey AS source,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'sse-s3' ELSE '' END AS encryptionType FROM supplier"""
+ORACLE["flt1_running"] = "SELECT event_id FROM events WHERE event_type IS DISTINCT FROM 'error'"
+ORACLE["flt2_split_automated"] = """
+WITH n AS (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'mlflow-model-job-' || event_id || '-run-' || user_id
+   WHEN event_id % 7 = 0 THEN 'job-' || event_id || '-run-' || user_id || 'x'
+   ELSE 'job-' || event_id || '-run-' || user_id END AS cluster_name FROM events)
+SELECT event_id, cluster_name, coalesce(regexp_matches(cluster_name, '^job-[0-9]+-run-[0-9]+$')
+  OR starts_with(cluster_name, 'mlflow-model-'), false) AS automated FROM n"""
+ORACLE["flt3_drop_builtin_admin"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 5 = 0 THEN 'admin' ELSE c_name END AS userName
+FROM customer WHERE NOT (c_custkey % 5 = 0 AND c_custkey % 3 <> 0 AND c_custkey % 2 = 0)"""
+ORACLE["flt4_filter_item_type"] = f"SELECT path, object_id FROM ({WS_ITEMS}) WHERE object_type = 'NOTEBOOK'"
+ORACLE["flt5_prune_trash"] = f"SELECT * FROM ({WS_ITEMS}) WHERE {TRASH_KEEP}"
+ORACLE["flt6_classify_path"] = f"""
+WITH w AS (SELECT path, object_id, {PARTS.format(p='path')} AS parts FROM ({WS_ITEMS}))
+SELECT path, object_id, len(parts) >= 2 AND parts[1] = 'Users' AS is_user_item,
+  path IN ('/Users/', '/Users') OR (len(parts) = 2 AND parts[1] = 'Users') AS is_user_root,
+  parts[2] AS "user" FROM w"""
+ORACLE["flt8_drop_null_elements"] = """
+SELECT c_custkey, to_json(list_filter([c_name, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END,
+  CASE WHEN c_nationkey % 2 = 0 THEN '' ELSE 'x' END], lambda x: x IS NOT NULL AND x <> '')) :: VARCHAR AS names
+FROM customer"""
+ORACLE["flt9_files_only"] = f"SELECT path FROM ({WS_ITEMS}) WHERE object_type <> 'DIRECTORY'"
+ORACLE["flt10_scope_subtree"] = f"""
+SELECT *, '/Users/u1' AS root FROM ({WS_ITEMS}) WHERE starts_with(path, '/Users/u1/')
+UNION ALL SELECT *, '/' AS root FROM ({WS_ITEMS}) WHERE path <> '/'"""

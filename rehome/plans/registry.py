@@ -28,3 +28,171 @@ def query(name: str):
 @query("pl4_plan_jobs")
 def q_pl4(spark, sf):
     return plan_jobs(B.jobs(spark, sf), B.src_clusters(spark, sf), B.tgt_clusters(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Id maps, lookups, filters, projections
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from rehome.functions import paths as P  # noqa: E402
+from rehome.functions import payload as PL  # noqa: E402
+from rehome.functions.defaults import default_cluster  # noqa: E402
+from rehome.operators import filters as FL  # noqa: E402
+from rehome.operators import mapping as MP  # noqa: E402
+
+
+@query("jn1_id_map")
+def q_jn1(spark, sf):
+    return MP.id_map(B.src_users(spark, sf), B.tgt_users(spark, sf), "userName", "id", "ord")
+
+
+@query("jn2_remap_pools")
+def q_jn2(spark, sf):
+    pm = MP.id_map(B.pools_src(spark, sf), B.pools_tgt(spark, sf), "instance_pool_name",
+                   "instance_pool_id")
+    cl = B.clusters_full(spark, sf).select("cluster_id", "instance_pool_id")
+    return MP.remap_pools(cl, pm).select("cluster_id", F.col("instance_pool_id").alias("old_pool_id"),
+                                         "new_pool_id", "pool_status")
+
+
+@query("jn3_remap_clusters")
+def q_jn3(spark, sf):
+    cm = MP.id_map(B.src_clusters(spark, sf), B.tgt_clusters(spark, sf), "cluster_name",
+                   "cluster_id", "ord")
+    out = MP.remap_clusters(B.jobs(spark, sf), cm)
+    return out.select("job_id", "outcome", "old_cluster_id",
+                      F.col("settings.existing_cluster_id").alias("new_cluster_id"))
+
+
+@query("jn4_skip_existing")
+def q_jn4(spark, sf):
+    src = B.clusters_full(spark, sf).select("cluster_id", "cluster_name")
+    create, skipped, invalid = MP.skip_existing(src, B.tgt_clusters(spark, sf), "cluster_name")
+    return (create.withColumn("decision", F.lit("create"))
+            .unionByName(skipped.withColumn("decision", F.lit("skip_existing")))
+            .unionByName(invalid.withColumn("decision", F.lit("invalid_key"))))
+
+
+@query("jn5_null_unregistered_profile")
+def q_jn5(spark, sf):
+    out = MP.null_unregistered_profile(B.supplier_clusters(spark, sf),
+                                       B.profiles_registered(spark, sf))
+    return out.select("cluster_id", F.col("aws_attributes.instance_profile_arn").alias("profile_arn"),
+                      F.col("aws_attributes.zone_id").alias("zone_id"), "profile_dropped")
+
+
+@query("ag3_distinct_keys")
+def q_ag3(spark, sf):
+    from rehome.operators.setops import distinct_keys
+    return distinct_keys(B.table(spark, sf, "part"), "p_name")
+
+
+@query("ag4_last_wins")
+def q_ag4(spark, sf):
+    p = B.table(spark, sf, "part").select("p_name", "p_partkey", "p_brand")
+    return MP.last_wins(p, "p_name", "p_partkey")
+
+
+@query("ag5_first_match")
+def q_ag5(spark, sf):
+    p = B.table(spark, sf, "part").select("p_name", "p_partkey", "p_brand")
+    return MP.first_match(p, "p_name", "p_partkey")
+
+
+@query("prj1_keep_known_fields")
+def q_prj1(spark, sf):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    e = B.table(spark, sf, "events")
+    docs = e.select("event_id", F.to_json(F.struct("event_id", "user_id", "event_type", "props"))
+                    .alias("doc"))
+    sch = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
+                      StructField("event_type", StringType()), StructField("props", StringType())])
+    return docs.select("event_id", FL.keep_known_json("doc", sch, ["event_id", "event_type"])
+                       .alias("doc"))
+
+
+@query("prj2_project_items")
+def q_prj2(spark, sf):
+    return FL.project_items(B.ws_items(spark, sf))
+
+
+@query("prj3_drop_fields")
+def q_prj3(spark, sf):
+    j = FL.drop_fields(B.jobs(spark, sf), "settings.new_cluster", "settings.existing_cluster_id")
+    return j.select("job_id", F.to_json("settings").alias("settings_json"))
+
+
+@query("prj4_project_mounts")
+def q_prj4(spark, sf):
+    s = B.table(spark, sf, "supplier")
+    raw = s.select(F.concat(F.lit("/mnt/"), F.col("s_name")).alias("mountPoint"),
+                   F.concat(F.lit("s3a://bucket-"), F.col("s_nationkey").cast("string")).alias("source"),
+                   F.when(F.col("s_suppkey") % 2 == 0, F.lit("sse-s3")).otherwise(F.lit(""))
+                   .alias("encryptionType"))
+    return FL.project_mounts(raw)
+
+
+@query("flt1_running")
+def q_flt1(spark, sf):
+    e = B.table(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_type") == "error", F.lit("TERMINATED"))
+        .otherwise(F.lit("RUNNING")).alias("state"))
+    return FL.running(e).select("event_id")
+
+
+@query("flt2_split_automated")
+def q_flt2(spark, sf):
+    kept, skipped = FL.split_automated(B.cluster_names(spark, sf))
+    return (kept.withColumn("automated", F.lit(False))
+            .unionByName(skipped.withColumn("automated", F.lit(True))))
+
+
+@query("flt3_drop_builtin_admin")
+def q_flt3(spark, sf):
+    c = B.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    users = c.select(
+        k.cast("string").alias("id"),
+        F.when(k % 5 == 0, F.lit("admin")).otherwise(F.col("c_name")).alias("userName"),
+        F.when(k % 3 == 0, F.lit(None).cast("struct<givenName:string>"))
+        .otherwise(F.struct(F.when(k % 2 == 0, F.lit("Administrator")).otherwise(F.lit("Someone"))
+                            .alias("givenName"))).alias("name"))
+    return FL.drop_builtin_admin(users).select("id", "userName")
+
+
+@query("flt4_filter_item_type")
+def q_flt4(spark, sf):
+    return FL.filter_item_type(B.ws_items(spark, sf), "NOTEBOOK").select("path", "object_id")
+
+
+@query("flt5_prune_trash")
+def q_flt5(spark, sf):
+    return FL.prune_trash(B.ws_items(spark, sf), "/")
+
+
+@query("flt6_classify_path")
+def q_flt6(spark, sf):
+    return FL.classify_path(B.ws_items(spark, sf).select("path", "object_id"))
+
+
+@query("flt8_drop_null_elements")
+def q_flt8(spark, sf):
+    c = B.table(spark, sf, "customer")
+    arr = F.array(F.col("c_name"),
+                  F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")),
+                  F.when(F.col("c_nationkey") % 2 == 0, F.lit("")).otherwise(F.lit("x")))
+    return c.select("c_custkey", F.to_json(PL.drop_null_elements(arr)).alias("names"))
+
+
+@query("flt9_files_only")
+def q_flt9(spark, sf):
+    it = B.ws_items(spark, sf).select("path", (F.col("object_type") == "DIRECTORY").alias("is_dir"))
+    return FL.files_only(it).select("path")
+
+
+@query("flt10_scope_subtree")
+def q_flt10(spark, sf):
+    it = B.ws_items(spark, sf)
+    return (FL.scope_subtree(it, "/Users/u1").withColumn("root", F.lit("/Users/u1"))
+            .unionByName(FL.scope_subtree(it, "/").withColumn("root", F.lit("/"))))
