@@ -150,3 +150,158 @@ ORACLE["flt9_files_only"] = f"SELECT path FROM ({WS_ITEMS}) WHERE object_type <>
 ORACLE["flt10_scope_subtree"] = f"""
 SELECT *, '/Users/u1' AS root FROM ({WS_ITEMS}) WHERE starts_with(path, '/Users/u1/')
 UNION ALL SELECT *, '/' AS root FROM ({WS_ITEMS}) WHERE path <> '/'"""
+
+# ---------------------------------------------------------------------------
+MEMBERS = """
+SELECT 'seg-' || c_mktsegment AS group_id, c_mktsegment AS group_name, CAST(c_custkey AS VARCHAR) AS value,
+  c_name AS display, CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE 'scim/v2/Users/' || c_custkey END AS ref
+FROM customer
+UNION ALL
+SELECT 'nat-' || c_nationkey, n_name, CAST(c_custkey AS VARCHAR), c_name, 'scim/v2/Users/' || c_custkey
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL
+SELECT DISTINCT 'seg-' || c_mktsegment, c_mktsegment, 'nat-' || c_nationkey, n_name,
+  'scim/v2/Groups/nat-' || c_nationkey
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+GROUPS_TGT = """SELECT 'T-' || displayName AS id, displayName FROM (
+  SELECT DISTINCT c_mktsegment AS displayName FROM customer
+  UNION ALL SELECT n_name FROM nation WHERE n_regionkey <> 2)"""
+ENRICHED = f"""
+SELECT m.group_name, m.value, m.display,
+  CASE WHEN m.ref IS NULL THEN NULL WHEN contains(m.ref, 'scim/v2/Users') THEN 'user' ELSE 'group' END AS type,
+  CASE WHEN m.ref IS NOT NULL AND contains(m.ref, 'scim/v2/Users') THEN u.userName END AS userName,
+  CASE WHEN m.ref IS NULL THEN 'bad_ref'
+       WHEN contains(m.ref, 'scim/v2/Users') AND u.userName IS NULL THEN 'unknown_user' ELSE 'ok' END AS status
+FROM ({MEMBERS}) m LEFT JOIN ({SRC_USERS}) u
+  ON m.ref IS NOT NULL AND contains(m.ref, 'scim/v2/Users') AND m.value = u.id"""
+RESOLVED = f"""
+SELECT e.group_name, e.value, e.type, coalesce(tu.id, tg.id) AS target_member_id, g.id AS target_group_id,
+  CASE WHEN g.id IS NULL THEN 'unresolved_group' WHEN coalesce(tu.id, tg.id) IS NULL THEN 'unresolved_member'
+       ELSE 'resolved' END AS status
+FROM ({ENRICHED}) e
+LEFT JOIN ({TGT_USERS}) tu ON e.type = 'user' AND e.userName = tu.userName
+LEFT JOIN ({GROUPS_TGT}) tg ON e.type = 'group' AND e.display = tg.displayName
+LEFT JOIN ({GROUPS_TGT}) g ON e.group_name = g.displayName
+WHERE e.status = 'ok'"""
+PATCH_URN = "urn:ietf:params:scim:api:messages:2.0:PatchOp"
+
+ORACLE["flt7_member_kind"] = f"""
+SELECT group_name, value, ref, CASE WHEN ref IS NULL THEN NULL WHEN contains(ref, 'scim/v2/Users') THEN 'user'
+  ELSE 'group' END AS kind FROM ({MEMBERS})"""
+ORACLE["jn6_enrich_members"] = f"SELECT group_name, value, type, userName, status FROM ({ENRICHED})"
+ORACLE["jn7_resolve_members"] = f"SELECT * FROM ({RESOLVED})"
+ORACLE["ag6_regroup_members"] = f"""
+WITH r AS (SELECT DISTINCT target_group_id, target_member_id FROM ({RESOLVED}) WHERE status = 'resolved'),
+b AS (SELECT *, (row_number() OVER (PARTITION BY target_group_id ORDER BY target_member_id) - 1) // 100
+        AS batch FROM r)
+SELECT target_group_id, CAST(batch AS BIGINT) AS batch, CAST(count(*) AS INTEGER) AS n_members,
+  '{{"schemas":["{PATCH_URN}"],"Operations":[{{"op":"add","value":{{"members":['
+  || string_agg('{{"value":"' || target_member_id || '"}}', ',' ORDER BY target_member_id) || ']}}}}]}}' AS patch
+FROM b GROUP BY target_group_id, batch"""
+
+ORACLE["hr1_reachable"] = f"""
+SELECT path, object_id, CAST(len({PARTS.format(p='path')}) AS INTEGER) AS depth
+FROM ({WS_ITEMS}) WHERE path <> '/' AND {TRASH_KEEP}"""
+ACLS = f"""SELECT '/' || CASE WHEN object_type = 'NOTEBOOK' THEN 'notebooks' ELSE 'directories' END
+    || '/' || object_id AS object_id,
+  '[{{"user_name":"' || regexp_extract(path, '^/Users/([^/]*)', 1) || '","permission_level":"CAN_MANAGE"}}]'
+    AS access_control_list
+  FROM ({WS_ITEMS}) WHERE object_id % 2 = 0 AND object_type IN ('NOTEBOOK', 'DIRECTORY')"""
+ORACLE["jn8_attach_acls"] = f"""
+SELECT i.object_id, 'notebooks' AS kind, '/notebooks/' || i.object_id AS ref,
+  '/permissions/notebooks/' || i.object_id AS permissions_path, a.access_control_list,
+  a.access_control_list IS NOT NULL AS has_acl
+FROM ({WS_ITEMS}) i LEFT JOIN ({ACLS}) a ON a.object_id = '/notebooks/' || i.object_id
+WHERE i.object_type = 'NOTEBOOK'"""
+ORACLE["so2_union_acls"] = f"""
+SELECT '/' || k.kind || '/' || i.object_id AS ref, k.kind, a.object_id IS NOT NULL AS has_acl, k.ord AS apply_order
+FROM ({WS_ITEMS}) i
+JOIN (VALUES ('NOTEBOOK', 'notebooks', 1), ('DIRECTORY', 'directories', 2)) k(t, kind, ord) ON i.object_type = k.t
+LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id"""
+HOMES = f"""SELECT DISTINCT {PARTS.format(p='path')}[2] AS home FROM ({WS_TARGET})
+  WHERE object_type = 'DIRECTORY' AND len({PARTS.format(p='path')}) = 2 AND {PARTS.format(p='path')}[1] = 'Users'"""
+ROUTE = f"""
+WITH i AS (SELECT path, CASE WHEN len({PARTS.format(p='path')}) >= 2 AND {PARTS.format(p='path')}[1] = 'Users'
+             THEN {PARTS.format(p='path')}[2] END AS "user"
+           FROM ({WS_ITEMS}) WHERE object_type = 'NOTEBOOK')
+SELECT i.path, i."user", CASE WHEN i."user" IS NULL OR h.home IS NOT NULL THEN 'upload'
+    WHEN {{arch}} THEN 'archive' ELSE 'blocked' END AS action,
+  CASE WHEN i."user" IS NOT NULL AND h.home IS NULL AND {{arch}} THEN regexp_replace(i.path, '^(/*)Users', '\\1Archive')
+    ELSE i.path END AS upload_path, {{arch}} AS archive_missing
+FROM i LEFT JOIN ({HOMES}) h ON i."user" = h.home"""
+ORACLE["jn9_route_missing_users"] = ("SELECT * FROM (" + ROUTE.replace("{arch}", "false")
+                                     + ")\nUNION ALL\nSELECT * FROM (" + ROUTE.replace("{arch}", "true") + ")")
+OUTCOMES = """SELECT '/Users/u' || o_custkey || CASE WHEN o_orderkey % 10 = 0 THEN '/Trash/' ELSE '//d/' END
+    || 'n' || o_orderkey AS path, o_orderstatus, CAST(floor(o_totalprice) AS BIGINT) AS n_bytes
+  FROM orders WHERE o_orderkey % 3 = 1"""
+ORACLE["jn12_reconcile_artifacts"] = f"""
+WITH m AS (SELECT DISTINCT rtrim(path) AS path FROM ({WS_ITEMS}) WHERE object_type = 'NOTEBOOK'),
+a AS (SELECT path, max(n_bytes) AS n_bytes FROM ({OUTCOMES}) WHERE o_orderstatus = 'F' GROUP BY path),
+f AS (SELECT path, max('RESOURCE_DOES_NOT_EXIST') AS error_code FROM ({OUTCOMES}) WHERE o_orderstatus = 'P'
+      GROUP BY path)
+SELECT m.path, a.n_bytes, f.error_code,
+  CASE WHEN a.n_bytes IS NOT NULL THEN 'downloaded' WHEN f.error_code IS NOT NULL THEN 'failed'
+       ELSE 'missing' END AS status
+FROM m LEFT JOIN a ON m.path = a.path LEFT JOIN f ON m.path = f.path"""
+ORACLE["jn13_home_exists"] = f"""
+WITH u AS (SELECT DISTINCT {PARTS.format(p='path')}[2] AS "user" FROM ({WS_ITEMS})
+           WHERE len({PARTS.format(p='path')}) >= 2 AND {PARTS.format(p='path')}[1] = 'Users')
+SELECT u."user", EXISTS (SELECT 1 FROM ({HOMES}) h WHERE h.home = u."user") AS home_exists FROM u"""
+EXPORTED_USERS = f"""SELECT DISTINCT {PARTS.format(p='path')}[2] AS u FROM ({{items}})
+  WHERE object_type = 'NOTEBOOK' AND len({PARTS.format(p='path')}) >= 3 AND {PARTS.format(p='path')}[1] = 'Users'"""
+COUNTS = f"""SELECT (SELECT count(*) FROM ({EXPORTED_USERS.format(items=WS_ITEMS)})) AS exported_users,
+  (SELECT count(*) FROM ({HOMES})) AS current_users"""
+ORACLE["ag2_count_user_homes"] = COUNTS
+ORACLE["ag8_readiness_gate"] = f"""
+WITH c AS ({COUNTS})
+SELECT exported_users, current_users, CASE WHEN current_users = 0 THEN 'NO_USERS'
+  WHEN current_users < exported_users THEN 'MISSING_USERS' ELSE 'OK' END AS status, false AS archive_missing FROM c
+UNION ALL SELECT exported_users, current_users, CASE WHEN current_users = 0 THEN 'NO_USERS' ELSE 'OK' END,
+  true FROM c
+UNION ALL SELECT exported_users, 0, 'NO_USERS', true FROM c"""
+
+FAILED = """SELECT CASE WHEN p_partkey % 17 = 0 THEN 'db' || (p_partkey % 20) || '.t' || p_partkey || '.x'
+  ELSE 'db' || (p_partkey % 20) || '.t' || p_partkey END AS "table" FROM part WHERE p_size % 3 = 0"""
+ATTEMPTS = """SELECT 'db' || (l_partkey % 20) || '.t' || l_partkey AS "table", 'arn:role/R' || n_regionkey AS role,
+  n_regionkey AS ord, (l_orderkey + l_linenumber) % 29 = 0 AS ok
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""
+FIRST_OK = f"""SELECT "table", arg_min(role, ord) AS role FROM ({ATTEMPTS}) WHERE ok GROUP BY "table" """
+RETRY = f"""
+SELECT f."table", CASE WHEN NOT regexp_matches(f."table", '^[^.]+\\.[^.]+$') THEN 'invalid'
+  WHEN r.role IS NOT NULL THEN 'resolved' ELSE 'remaining' END AS outcome,
+  CASE WHEN regexp_matches(f."table", '^[^.]+\\.[^.]+$') THEN r.role END AS role
+FROM ({FAILED}) f LEFT JOIN ({FIRST_OK}) r ON f."table" = r."table" """
+ORACLE["jn11_retry_matrix"] = RETRY
+ORACLE["ag7_failure_summary"] = f"""
+WITH r AS ({RETRY}),
+d AS (SELECT 'db' || (p_partkey % 20) AS db FROM part
+      UNION ALL SELECT split_part("table", '.', 1) FROM r WHERE outcome IN ('resolved', 'remaining'))
+SELECT (SELECT count(DISTINCT db) FROM d) AS attempted_databases,
+  (SELECT count(*) FROM ({FAILED})) AS failed_before,
+  (SELECT count(*) FROM r WHERE outcome = 'remaining') AS failed_after"""
+ORACLE["wn1_assign_batches"] = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month,
+  CAST((row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderkey) - 1) // 100 AS BIGINT)
+    AS batch FROM orders"""
+ROLES = ("SELECT DISTINCT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS \"user\", "
+         "o_orderpriority AS role FROM orders WHERE o_orderkey % 2 = {r}")
+ORACLE["so1_role_delta"] = f"{ROLES.format(r=0)} EXCEPT {ROLES.format(r=1)}"
+ORACLE["so3_unexpected_fields"] = """
+SELECT field, count(*) AS n FROM (
+  SELECT 'user_id' AS field FROM events WHERE user_id IS NOT NULL
+  UNION ALL SELECT 'big' FROM events WHERE value > 50
+  UNION ALL SELECT 'props' FROM events WHERE props IS NOT NULL) GROUP BY field"""
+ORACLE["ag1_row_count"] = "SELECT count(*) AS n FROM events"
+VERSIONS = """SELECT p_size || '.' || (p_partkey % 10) || '.x-' || CASE WHEN p_partkey % 3 = 0 THEN 'cpu-ml-'
+  ELSE '' END || 'scala2.12' AS key, p_partkey AS ord FROM part"""
+ORACLE["st1_latest_version"] = f"""
+WITH v AS ({VERSIONS}), c AS (SELECT * FROM v WHERE substr(split_part(key, '-', 2), 1, 5) = 'scala')
+SELECT * FROM (SELECT key, ord, 'string' AS mode FROM c ORDER BY key DESC, ord LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT key, ord, 'numeric' AS mode FROM c
+  ORDER BY TRY_CAST(split_part(key, '.', 1) AS INTEGER) DESC, TRY_CAST(split_part(key, '.', 2) AS INTEGER) DESC,
+  key DESC, ord LIMIT 1)"""
+ORACLE["jn10_cluster_libraries"] = """
+SELECT s_suppkey AS cluster_id, coalesce(n, 0) AS n_libraries FROM supplier
+LEFT JOIN (SELECT l_suppkey, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY l_suppkey) l
+  ON s_suppkey = l_suppkey"""

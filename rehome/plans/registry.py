@@ -196,3 +196,182 @@ def q_flt10(spark, sf):
     it = B.ws_items(spark, sf)
     return (FL.scope_subtree(it, "/Users/u1").withColumn("root", F.lit("/Users/u1"))
             .unionByName(FL.scope_subtree(it, "/").withColumn("root", F.lit("/"))))
+
+
+# ---------------------------------------------------------------------------
+# Groups, workspace, retries, batches, set operations
+# ---------------------------------------------------------------------------
+from rehome.operators import members as MB  # noqa: E402
+from rehome.operators import retry as RT  # noqa: E402
+from rehome.operators import setops as SO  # noqa: E402
+from rehome.operators import workspace as WS  # noqa: E402
+from rehome.operators.batches import assign_batches  # noqa: E402
+
+
+def _enriched(spark, sf):
+    return MB.enrich_members(B.group_members(spark, sf), B.src_users(spark, sf))
+
+
+def _resolved(spark, sf):
+    e = _enriched(spark, sf).where(F.col("status") == "ok")
+    return MB.resolve_members(e, B.tgt_users(spark, sf), B.groups_tgt(spark, sf))
+
+
+@query("flt7_member_kind")
+def q_flt7(spark, sf):
+    m = B.group_members(spark, sf)
+    return m.select("group_name", "value", "ref", PL.member_kind("ref").alias("kind"))
+
+
+@query("jn6_enrich_members")
+def q_jn6(spark, sf):
+    return _enriched(spark, sf).select("group_name", "value", "type", "userName", "status")
+
+
+@query("jn7_resolve_members")
+def q_jn7(spark, sf):
+    return _resolved(spark, sf).select("group_name", "value", "type", "target_member_id",
+                                       "target_group_id", "status")
+
+
+@query("ag6_regroup_members")
+def q_ag6(spark, sf):
+    r = _resolved(spark, sf).where(F.col("status") == "resolved")
+    return MB.regroup_members(r, max_members=100)
+
+
+@query("hr1_reachable")
+def q_hr1(spark, sf):
+    return WS.reachable(B.ws_items(spark, sf), "/").select("path", "object_id", "depth")
+
+
+@query("jn8_attach_acls")
+def q_jn8(spark, sf):
+    nb = FL.filter_item_type(B.ws_items(spark, sf), "NOTEBOOK")
+    return WS.attach_acls(nb, B.acl_docs(spark, sf), "notebooks").select(
+        "object_id", "kind", "ref", "permissions_path", "access_control_list", "has_acl")
+
+
+@query("so2_union_acls")
+def q_so2(spark, sf):
+    it, acls = B.ws_items(spark, sf), B.acl_docs(spark, sf)
+    nb = WS.attach_acls(FL.filter_item_type(it, "NOTEBOOK"), acls, "notebooks")
+    dr = WS.attach_acls(FL.filter_item_type(it, "DIRECTORY"), acls, "directories")
+    return WS.union_acls(nb, dr).select("ref", "kind", "has_acl", "apply_order")
+
+
+@query("jn9_route_missing_users")
+def q_jn9(spark, sf):
+    nb = FL.filter_item_type(B.ws_items(spark, sf), "NOTEBOOK")
+    out = WS.route_missing_users(nb, B.ws_target(spark, sf), archive_missing=False)
+    arch = WS.route_missing_users(nb, B.ws_target(spark, sf), archive_missing=True)
+    cols = ["path", "user", "action", "upload_path"]
+    return (out.select(*cols).withColumn("archive_missing", F.lit(False))
+            .unionByName(arch.select(*cols).withColumn("archive_missing", F.lit(True))))
+
+
+def _ws_outcomes(spark, sf):
+    o = B.table(spark, sf, "orders").where(F.col("o_orderkey") % 3 == 1)
+    path = B.ws_path()
+    arts = o.where(F.col("o_orderstatus") == "F").select(
+        path.alias("path"), F.floor("o_totalprice").cast("long").alias("n_bytes"))
+    fails = o.where(F.col("o_orderstatus") == "P").select(
+        path.alias("path"), F.lit("RESOURCE_DOES_NOT_EXIST").alias("error_code"))
+    return arts, fails
+
+
+@query("jn12_reconcile_artifacts")
+def q_jn12(spark, sf):
+    manifest = FL.filter_item_type(B.ws_items(spark, sf), "NOTEBOOK").select("path")
+    arts, fails = _ws_outcomes(spark, sf)
+    return WS.reconcile_artifacts(manifest, arts, fails)
+
+
+@query("jn13_home_exists")
+def q_jn13(spark, sf):
+    users = (FL.classify_path(B.ws_items(spark, sf)).where("is_user_item")
+             .select("user").distinct())
+    present, missing = WS.home_exists(users, B.ws_target(spark, sf))
+    return (present.withColumn("home_exists", F.lit(True))
+            .unionByName(missing.withColumn("home_exists", F.lit(False))))
+
+
+@query("ag2_count_user_homes")
+def q_ag2(spark, sf):
+    return WS.count_user_homes(B.ws_items(spark, sf), B.ws_target(spark, sf))
+
+
+@query("ag8_readiness_gate")
+def q_ag8(spark, sf):
+    it, tg = B.ws_items(spark, sf), B.ws_target(spark, sf)
+    empty = tg.where(F.col("object_type") == "NONE")
+    return (WS.readiness_gate(it, tg, False).withColumn("archive_missing", F.lit(False))
+            .unionByName(WS.readiness_gate(it, tg, True).withColumn("archive_missing", F.lit(True)))
+            .unionByName(WS.readiness_gate(it, empty, True)
+                         .withColumn("archive_missing", F.lit(True))))
+
+
+def _retry(spark, sf):
+    return RT.retry_matrix(B.failed_tables(spark, sf), B.retry_roles(spark, sf),
+                           B.retry_attempts(spark, sf))
+
+
+@query("jn11_retry_matrix")
+def q_jn11(spark, sf):
+    resolved, remaining, invalid = _retry(spark, sf)
+    return (resolved.select("table", F.lit("resolved").alias("outcome"),
+                            F.col("resolved_role").alias("role"))
+            .unionByName(remaining.select("table", F.lit("remaining").alias("outcome"),
+                                          F.lit(None).cast("string").alias("role")))
+            .unionByName(invalid.select("table", F.lit("invalid").alias("outcome"),
+                                        F.lit(None).cast("string").alias("role"))))
+
+
+@query("ag7_failure_summary")
+def q_ag7(spark, sf):
+    resolved, remaining, _ = _retry(spark, sf)
+    failed = B.failed_tables(spark, sf)
+    dbs = B.table_defs(spark, sf).select("db")
+    return RT.failure_summary(dbs, failed, remaining)
+
+
+@query("wn1_assign_batches")
+def q_wn1(spark, sf):
+    o = B.table(spark, sf, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    return assign_batches(o, ["month"], ["o_orderkey"], size=100)
+
+
+@query("so1_role_delta")
+def q_so1(spark, sf):
+    return SO.role_delta(B.role_pairs(spark, sf, True), B.role_pairs(spark, sf, False))
+
+
+@query("so3_unexpected_fields")
+def q_so3(spark, sf):
+    e = B.table(spark, sf, "events")
+    docs = e.select(F.to_json(F.struct("event_id", "user_id", "event_type",
+                                       F.when(F.col("value") > 50, F.col("event_id")).alias("big"),
+                                       "props")).alias("doc"))
+    return SO.unexpected_fields(docs, "doc", ["event_id", "event_type"])
+
+
+@query("ag1_row_count")
+def q_ag1(spark, sf):
+    return SO.row_count(B.table(spark, sf, "events"))
+
+
+@query("st1_latest_version")
+def q_st1(spark, sf):
+    v = B.versions(spark, sf)
+    return (SO.latest_version(v, "key", ord_col="ord").withColumn("mode", F.lit("string"))
+            .unionByName(SO.latest_version(v, "key", numeric=True, ord_col="ord")
+                         .withColumn("mode", F.lit("numeric"))))
+
+
+@query("jn10_cluster_libraries")
+def q_jn10(spark, sf):
+    clusters = B.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("cluster_id"))
+    libs = B.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("cluster_id"),
+                                                 F.col("l_partkey").alias("library_id"))
+    return SO.cluster_libraries(clusters, libs)
