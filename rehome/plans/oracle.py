@@ -305,3 +305,205 @@ ORACLE["jn10_cluster_libraries"] = """
 SELECT s_suppkey AS cluster_id, coalesce(n, 0) AS n_libraries FROM supplier
 LEFT JOIN (SELECT l_suppkey, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY l_suppkey) l
   ON s_suppkey = l_suppkey"""
+
+# ---------------------------------------------------------------------------
+# Scalar functions
+# ---------------------------------------------------------------------------
+WS_PARTS = f"SELECT *, {PARTS.format(p='path')} AS parts FROM ({WS_ITEMS})"
+ORACLE["sc1_archive_path"] = f"""
+SELECT path, regexp_replace(path, '^(/*)Users', '\\1Archive') AS archive_path FROM ({WS_PARTS})
+WHERE len(parts) >= 2 AND parts[1] = 'Users'"""
+ORACLE["sc2_dir_base"] = f"""
+SELECT path, CASE WHEN regexp_matches(regexp_extract(path, '^(.*/)', 1), '^/+$') THEN regexp_extract(path, '^(.*/)', 1)
+  ELSE regexp_replace(regexp_extract(path, '^(.*/)', 1), '/+$', '') END AS dir_name,
+  regexp_extract(path, '([^/]*)$', 1) AS base_name FROM ({WS_ITEMS})"""
+ORACLE["sc3_strip_ext"] = f"SELECT path || '.dbc' AS artifact, path FROM ({WS_ITEMS})"
+ORACLE["sc4_split_qualified"] = f"""
+SELECT "table", split_part("table", '.', 1) AS db, split_part("table", '.', 2) AS table_name,
+  coalesce(regexp_matches("table", '^[^.]+\\.[^.]+$'), false) AS ok FROM ({FAILED})"""
+ORACLE["sc5_base64"] = """
+SELECT doc_id, md5(to_base64(encode(text))) AS b64_md5, CAST(length(to_base64(encode(text))) AS INTEGER) AS b64_len,
+  decode(from_base64(to_base64(encode(text)))) = text AS roundtrip_ok FROM documents"""
+ORACLE["sc6_to_from_doc"] = """
+SELECT event_id, '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}'
+  AS doc, event_type AS parsed_type, user_id AS parsed_user FROM events"""
+ORACLE["sc7_parse_name_list"] = ("SELECT c_custkey, CAST(2 AS INTEGER) AS n, c_mktsegment AS first, "
+                                 "c_name AS second FROM customer")
+ORACLE["sc8_upsert_tag"] = f"""
+SELECT cluster_id, CASE WHEN team IS NOT NULL THEN '{{"team":"' || team || '","OriginalCreator":"' || creator || '"}}'
+  ELSE '{{"OriginalCreator":"' || creator || '"}}' END AS tags FROM ({CLUSTERS})"""
+ORACLE["sc9_major_version"] = f"""
+SELECT key, ord, TRY_CAST(split_part(key, '.', 1) AS INTEGER) AS major,
+  coalesce(TRY_CAST(split_part(key, '.', 1) AS INTEGER) >= 7, false) AS at_least_7 FROM ({VERSIONS})"""
+ORACLE["sc10_route_payload"] = """
+SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes,
+  CASE WHEN length(text) IS NULL OR length(text) <= 0 THEN 'error' WHEN length(text) > 2048 THEN 'file'
+       ELSE 'inline' END AS export_route,
+  CASE WHEN octet_length(encode(text)) IS NULL OR octet_length(encode(text)) <= 0 THEN 'error'
+       WHEN octet_length(encode(text)) > 1024 THEN 'upload' ELSE 'inline' END AS import_route
+FROM documents"""
+ORACLE["sc11_clean_pool_cluster"] = f"""
+SELECT c.cluster_id, m.new_id AS instance_pool_id,
+  CASE WHEN m.new_id IS NULL THEN 'unresolved' ELSE 'mapped' END AS pool_status,
+  NULL::VARCHAR AS node_type_id, NULL::BOOLEAN AS enable_elastic_disk,
+  CASE WHEN c.arn IS NOT NULL THEN '{{"instance_profile_arn":"' || c.arn || '"}}' END AS aws_attributes,
+  c.creator AS original_creator
+FROM ({CLUSTERS}) c LEFT JOIN ({POOL_MAP}) m ON c.instance_pool_id = m.old_id
+WHERE c.instance_pool_id IS NOT NULL"""
+ROLE_DELTA = f"{ROLES.format(r=0)} EXCEPT {ROLES.format(r=1)}"
+ROLE_PATCHES = f"""
+SELECT "user", CAST(count(*) AS INTEGER) AS n_roles,
+  '{{"schemas":["{PATCH_URN}"],"Operations":[{{"op":"add","path":"roles","value":['
+  || string_agg('{{"value":"' || role || '"}}', ',' ORDER BY role) || ']}}]}}' AS patch
+FROM ({ROLE_DELTA}) GROUP BY "user" """
+ORACLE["sc12_patch_payload"] = ROLE_PATCHES
+AZURE_DEFAULT_JSON = ('{"spark_version":"6.2.x-scala2.11","node_type_id":"Standard_DS3_v2",'
+                      '"num_workers":8,"spark_env_vars":{"PYSPARK_PYTHON":"/usr/bin/python3"}}')
+ORACLE["sc13_default_cluster"] = f"""
+WITH m AS ({CLUSTER_MAP}), j AS ({JOBS}),
+r AS (SELECT j.job_id FROM j LEFT JOIN m ON j.ecid = m.old_id WHERE j.ecid IS NOT NULL AND m.new_id IS NULL)
+SELECT job_id, 'aws' AS cloud, '{AWS_DEFAULT_JSON}' AS new_cluster FROM r
+UNION ALL SELECT job_id, 'azure', '{AZURE_DEFAULT_JSON}' FROM r"""
+ORACLE["sc14_wrap_values"] = f"""
+SELECT "user", '[' || string_agg('{{"value":"' || role || '"}}', ',' ORDER BY role) || ']' AS roles_json
+FROM ({ROLES.format(r=0)}) GROUP BY "user" """
+ORACLE["sc15_object_ref"] = f"""
+WITH k AS (SELECT CASE WHEN object_type = 'NOTEBOOK' THEN 'notebooks' ELSE 'directories' END AS kind, object_id
+           FROM ({WS_ITEMS}) WHERE object_type IN ('NOTEBOOK', 'DIRECTORY'))
+SELECT '/' || kind || '/' || object_id AS ref, '/permissions/' || kind || '/' || object_id AS permissions_path,
+  kind, CAST(object_id AS VARCHAR) AS id FROM k"""
+TABLE_DEFS = """
+SELECT 'db' || (p_partkey % 20) AS db, 't' || p_partkey AS "table",
+  'CREATE TABLE `db' || (p_partkey % 20) || '`.`t' || p_partkey || '` ('
+  || array_to_string(list_transform(range(1, p_size % 20 + 2), lambda i: '`c' || i || '` '
+       || CASE WHEN i % 3 = 0 THEN 'INT' WHEN i % 3 = 1 THEN 'STRING' ELSE 'DOUBLE' END), ', ')
+  || ')' || chr(10) || 'USING ' || CASE WHEN p_size % 3 = 0 THEN 'CSV' WHEN p_size % 3 = 1 THEN 'PARQUET'
+       ELSE 'JSON' END
+  || CASE WHEN p_partkey % 2 = 0 THEN chr(10) || 'OPTIONS (' || chr(10) || '  `header` ''true'',' || chr(10)
+       || '  path ''/data/' || p_partkey || '''' || chr(10) || ')' ELSE '' END
+  || chr(10) || 'COMMENT ''' || repeat(p_name, p_size) || '''' AS ddl
+FROM part"""
+COLUMN_LIST = (r"(?s)^\s*CREATE[^(]*?\((.*?)\)\s*"
+               r"(?:USING|STORED|PARTITIONED|CLUSTERED|COMMENT|LOCATION|TBLPROPERTIES|ROW|OPTIONS|$)")
+DDL_FACTS = f"""
+upper(regexp_extract(ddl, '(?i)\\bUSING\\s+([A-Za-z0-9_.]+)', 1)) AS provider,
+CASE WHEN regexp_extract(ddl, '(?i)\\bpath\\s+''([^'']*)''', 1) <> ''
+     THEN regexp_extract(ddl, '(?i)\\bpath\\s+''([^'']*)''', 1)
+     ELSE regexp_extract(ddl, '(?i)\\bLOCATION\\s+''([^'']*)''', 1) END AS location,
+CAST(len(regexp_extract_all(regexp_extract(ddl, '{COLUMN_LIST}', 1), '(?:^|,\\s*)`[^`]+` ', 0)) AS INTEGER)
+  AS n_columns"""
+ORACLE["sc16_ddl_facts"] = f"SELECT db, \"table\", {DDL_FACTS} FROM ({TABLE_DEFS})"
+ORACLE["sc17_clean_key"] = "SELECT c_custkey, c_name AS \"user\", 'db' || c_nationkey AS db FROM customer"
+
+# ---------------------------------------------------------------------------
+# Composite plans
+# ---------------------------------------------------------------------------
+def _plan(kind, key, action, target_id="NULL::VARCHAR", n_items="NULL::BIGINT", payload="NULL::VARCHAR",
+          stage=0):
+    return (f"'{kind}' AS kind, CAST({key} AS VARCHAR) AS key, {action} AS action, "
+            f"CAST({target_id} AS VARCHAR) AS target_id, CAST({n_items} AS BIGINT) AS n_items, "
+            f"CAST({payload} AS VARCHAR) AS payload, {stage} AS stage")
+
+
+ORACLE["pl1_plan_users"] = f"""
+SELECT {_plan('user', 's.userName', "CASE WHEN t.userName IS NULL THEN 'create' ELSE 'skip_existing' END",
+              stage=2)}
+FROM ({SRC_USERS}) s LEFT JOIN (SELECT DISTINCT userName FROM ({TGT_USERS})) t ON s.userName = t.userName
+WHERE s.userName IS NOT NULL
+UNION ALL
+SELECT {_plan('user_roles', 'p."user"', "CASE WHEN t.id IS NULL THEN 'unknown_user' ELSE 'add_roles' END",
+              't.id', 'p.n_roles', 'p.patch', 5)}
+FROM ({ROLE_PATCHES}) p LEFT JOIN ({TGT_USERS}) t ON p."user" = t.userName"""
+
+GROUP_PATCHES = ORACLE["ag6_regroup_members"]
+GROUPS_SRC = """SELECT DISTINCT 'seg-' || c_mktsegment AS id, c_mktsegment AS displayName FROM customer
+  UNION ALL SELECT 'nat-' || n_nationkey, n_name FROM nation"""
+GROUP_ROLES = """SELECT DISTINCT c_mktsegment AS group_name, o_orderpriority AS role
+  FROM orders JOIN customer ON o_custkey = c_custkey"""
+ORACLE["pl2_plan_groups"] = f"""
+SELECT {_plan('group', 'g.displayName', "CASE WHEN t.id IS NULL THEN 'create' ELSE 'skip_existing' END",
+              stage=3)}
+FROM ({GROUPS_SRC}) g LEFT JOIN ({GROUPS_TGT}) t ON g.displayName = t.displayName
+UNION ALL
+SELECT {_plan('group_members', "target_group_id || '#' || batch", "'add_members'", 'target_group_id',
+              'n_members', 'patch', 3)}
+FROM ({GROUP_PATCHES})
+UNION ALL
+SELECT {_plan('group_members', "group_name || '#' || value", 'status', stage=3)}
+FROM ({ENRICHED}) WHERE status <> 'ok'
+UNION ALL
+SELECT {_plan('group_members', "group_name || '#' || value", 'status', stage=3)}
+FROM ({RESOLVED}) WHERE status <> 'resolved'
+UNION ALL
+SELECT {_plan('group_roles', 'r.group_name', "CASE WHEN t.id IS NULL THEN 'unresolved_group' ELSE 'add_roles' END",
+              't.id', 'r.n', 'r.patch', 4)}
+FROM (SELECT group_name, count(*) AS n,
+        '{{"schemas":["{PATCH_URN}"],"Operations":[{{"op":"add","path":"roles","value":['
+        || string_agg('{{"value":"' || role || '"}}', ',' ORDER BY role) || ']}}]}}' AS patch
+      FROM ({GROUP_ROLES}) GROUP BY group_name) r
+LEFT JOIN ({GROUPS_TGT}) t ON r.group_name = t.displayName"""
+
+ORACLE["pl3_plan_clusters"] = f"""
+WITH c AS (SELECT c.*, coalesce(regexp_matches(cluster_name, '^job-[0-9]+-run-[0-9]+$')
+                  OR starts_with(cluster_name, 'mlflow-model-'), false) AS automated,
+             CASE WHEN arn IN (SELECT arn FROM ({REGISTERED})) THEN arn END AS kept_arn,
+             cluster_name IN (SELECT cluster_name FROM ({TGT_CLUSTERS})) AS exists_tgt
+           FROM ({CLUSTERS}) c),
+m AS ({POOL_MAP})
+SELECT cluster_id AS key,
+  CASE WHEN automated THEN 'skip_automated' WHEN exists_tgt THEN 'skip_existing'
+       WHEN instance_pool_id IS NOT NULL AND m.new_id IS NULL THEN 'unresolved_pool'
+       WHEN pinned THEN 'create_and_pin' ELSE 'create' END AS action,
+  CASE WHEN NOT automated AND NOT exists_tgt THEN m.new_id END AS target_id, 7 AS stage,
+  CASE WHEN NOT automated AND NOT exists_tgt THEN creator END AS creator_tag,
+  CASE WHEN NOT automated AND NOT exists_tgt THEN kept_arn END AS profile,
+  CASE WHEN NOT automated AND NOT exists_tgt AND instance_pool_id IS NULL THEN 'i3.xlarge' END AS node_type_id
+FROM c LEFT JOIN m ON c.instance_pool_id = m.old_id"""
+
+WS_HOME_ROUTE = f"""
+WITH listed AS (SELECT *, {PARTS.format(p='path')} AS parts FROM ({WS_ITEMS}) WHERE {{scope}} AND {TRASH_KEEP}),
+work AS (SELECT *, CASE WHEN len(parts) >= 2 AND parts[1] = 'Users' THEN parts[2] END AS u FROM listed
+         WHERE object_type = 'NOTEBOOK' OR (object_type = 'DIRECTORY'
+           AND NOT (path IN ('/Users/', '/Users') OR (len(parts) = 2 AND parts[1] = 'Users')))),
+r AS (SELECT w.*, w.u IS NOT NULL AND h.home IS NULL AS missing FROM work w LEFT JOIN ({HOMES}) h ON w.u = h.home)
+SELECT path, object_type,
+  CASE WHEN object_type = 'DIRECTORY' THEN CASE WHEN missing AND NOT {{arch}} THEN 'blocked' ELSE 'mkdir' END
+       WHEN NOT missing THEN 'upload' WHEN {{arch}} THEN 'archive' ELSE 'blocked' END AS action,
+  CASE WHEN missing AND {{arch}} THEN regexp_replace(path, '^(/*)Users', '\\1Archive') ELSE path END
+    AS upload_path, 9 AS stage
+FROM r"""
+ORACLE["pl5_plan_workspace"] = WS_HOME_ROUTE.replace("{scope}", "path <> '/'").replace("{arch}", "true")
+ORACLE["pl9_plan_home"] = (WS_HOME_ROUTE.replace("{scope}", "starts_with(path, '/Users/u1/')")
+                           .replace("{arch}", "false"))
+PROFILES_SRC = "SELECT 'arn:aws:iam::profile/' || n_nationkey AS arn FROM nation"
+ORACLE["pl6_plan_profiles_pools"] = f"""
+SELECT {_plan('instance_profile', 's.arn', "CASE WHEN r.arn IS NULL THEN 'create' ELSE 'skip_existing' END",
+              stage=1)}
+FROM ({PROFILES_SRC}) s LEFT JOIN ({REGISTERED}) r ON s.arn = r.arn
+UNION ALL
+SELECT {_plan('instance_pool', 's.instance_pool_name',
+              "CASE WHEN t.instance_pool_name IS NULL THEN 'create' ELSE 'skip_existing' END",
+              "CASE WHEN t.instance_pool_name IS NULL THEN s.instance_pool_id END", stage=6)}
+FROM ({POOLS_SRC}) s LEFT JOIN ({POOLS_TGT}) t ON s.instance_pool_name = t.instance_pool_name"""
+ORACLE["pl7_plan_acls"] = f"""
+SELECT '/' || k.kind || '/' || i.object_id AS ref, '/permissions/' || k.kind || '/' || i.object_id
+  AS permissions_path, a.access_control_list, k.ord AS apply_order, 10 AS stage
+FROM ({WS_ITEMS}) i
+JOIN (VALUES ('NOTEBOOK', 'notebooks', 1), ('DIRECTORY', 'directories', 2)) k(t, kind, ord) ON i.object_type = k.t
+LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id"""
+ORACLE["pl8_plan_tables"] = f"""
+SELECT db || '.' || "table" AS "table", db,
+  CASE WHEN ddl IS NULL OR length(ddl) <= 0 THEN 'failed' ELSE 'create' END AS action,
+  CASE WHEN octet_length(encode(ddl)) IS NULL OR octet_length(encode(ddl)) <= 0 THEN 'error'
+       WHEN octet_length(encode(ddl)) > 1024 THEN 'upload' ELSE 'inline' END AS import_route,
+  NULL::VARCHAR AS role, 11 AS stage
+FROM ({TABLE_DEFS})
+UNION ALL
+SELECT "table", CASE WHEN outcome <> 'invalid' THEN split_part("table", '.', 1) END AS db,
+  CASE outcome WHEN 'resolved' THEN 'create_after_retry' WHEN 'remaining' THEN 'failed' ELSE 'invalid_name' END,
+  NULL::VARCHAR, role, 11
+FROM ({RETRY})"""
+ORACLE["pl10_plan_cleanup"] = f"""
+SELECT 'cluster' AS kind, cluster_id AS key, 'unpin' AS action, 1 AS stage FROM ({TGT_CLUSTERS})
+UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', 2 FROM ({TGT_CLUSTERS})
+UNION ALL SELECT 'job', CAST(o_orderkey AS VARCHAR), 'delete', 3 FROM orders"""

@@ -375,3 +375,217 @@ def q_jn10(spark, sf):
     libs = B.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("cluster_id"),
                                                  F.col("l_partkey").alias("library_id"))
     return SO.cluster_libraries(clusters, libs)
+
+
+# ---------------------------------------------------------------------------
+# Scalar column functions
+# ---------------------------------------------------------------------------
+from rehome.operators.clusters import clean_pool_cluster  # noqa: E402
+
+
+@query("sc1_archive_path")
+def q_sc1(spark, sf):
+    it = B.ws_items(spark, sf).where(P.is_user_item("path"))
+    return it.select("path", P.archive_path("path").alias("archive_path"))
+
+
+@query("sc2_dir_base")
+def q_sc2(spark, sf):
+    it = B.ws_items(spark, sf)
+    return it.select("path", P.dir_name("path").alias("dir_name"), P.base_name("path").alias("base_name"))
+
+
+@query("sc3_strip_ext")
+def q_sc3(spark, sf):
+    it = B.ws_items(spark, sf).select(P.artifact_name("path").alias("artifact"))
+    return it.select("artifact", P.strip_ext("artifact").alias("path"))
+
+
+@query("sc4_split_qualified")
+def q_sc4(spark, sf):
+    t = B.failed_tables(spark, sf)
+    db, tb = PL.split_qualified("table")
+    return t.select("table", db.alias("db"), tb.alias("table_name"), PL.qualified_ok("table").alias("ok"))
+
+
+@query("sc5_base64")
+def q_sc5(spark, sf):
+    d = B.table(spark, sf, "documents")
+    b64 = PL.encode_b64(F.encode("text", "UTF-8"))
+    return d.select("doc_id", F.md5(b64).alias("b64_md5"), F.length(b64).alias("b64_len"),
+                    (PL.decode_b64(b64) == F.col("text")).alias("roundtrip_ok"))
+
+
+@query("sc6_to_from_doc")
+def q_sc6(spark, sf):
+    e = B.table(spark, sf, "events")
+    doc = PL.to_doc(F.col("event_id"), F.col("user_id"), F.col("event_type"))
+    parsed = PL.from_doc(doc, "event_id bigint, user_id bigint, event_type string")
+    return e.select("event_id", doc.alias("doc"), parsed["event_type"].alias("parsed_type"),
+                    parsed["user_id"].alias("parsed_user"))
+
+
+@query("sc7_parse_name_list")
+def q_sc7(spark, sf):
+    c = B.table(spark, sf, "customer")
+    txt = F.concat(F.lit("['"), F.col("c_mktsegment"), F.lit("', '"), F.col("c_name"), F.lit("']"))
+    arr = PL.parse_name_list(txt)
+    return c.select("c_custkey", F.size(arr).alias("n"), F.get(arr, 0).alias("first"),
+                    F.get(arr, 1).alias("second"))
+
+
+@query("sc8_upsert_tag")
+def q_sc8(spark, sf):
+    c = B.clusters_full(spark, sf)
+    return c.select("cluster_id", F.to_json(PL.upsert_tag("custom_tags", "OriginalCreator",
+                                                          F.col("creator_user_name"))).alias("tags"))
+
+
+@query("sc9_major_version")
+def q_sc9(spark, sf):
+    v = B.versions(spark, sf)
+    return v.select("key", "ord", PL.major_version("key").alias("major"),
+                    PL.major_version_at_least("key", 7).alias("at_least_7"))
+
+
+@query("sc10_route_payload")
+def q_sc10(spark, sf):
+    d = B.table(spark, sf, "documents")
+    return d.select("doc_id", F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"),
+                    PL.route_export("text").alias("export_route"),
+                    PL.route_import("text").alias("import_route"))
+
+
+@query("sc11_clean_pool_cluster")
+def q_sc11(spark, sf):
+    c = B.clusters_full(spark, sf).where(F.col("instance_pool_id").isNotNull())
+    pm = MP.id_map(B.pools_src(spark, sf), B.pools_tgt(spark, sf), "instance_pool_name",
+                   "instance_pool_id")
+    out = clean_pool_cluster(c, pm)
+    return out.select("cluster_id", "instance_pool_id", "pool_status", "node_type_id",
+                      "enable_elastic_disk",
+                      F.to_json("aws_attributes").alias("aws_attributes"),
+                      F.col("custom_tags")["OriginalCreator"].alias("original_creator"))
+
+
+@query("sc12_patch_payload")
+def q_sc12(spark, sf):
+    d = SO.role_delta(B.role_pairs(spark, sf, True), B.role_pairs(spark, sf, False))
+    return SO.role_patches(d)
+
+
+@query("sc13_default_cluster")
+def q_sc13(spark, sf):
+    cm = MP.id_map(B.src_clusters(spark, sf), B.tgt_clusters(spark, sf), "cluster_name",
+                   "cluster_id", "ord")
+    out = None
+    for cloud in ("aws", "azure"):
+        r = (MP.remap_clusters(B.jobs(spark, sf), cm, cloud=cloud)
+             .where(F.col("outcome") == "reset_default")
+             .select("job_id", F.lit(cloud).alias("cloud"),
+                     F.to_json("settings.new_cluster").alias("new_cluster")))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("sc14_wrap_values")
+def q_sc14(spark, sf):
+    r = B.role_pairs(spark, sf, True).groupBy("user").agg(
+        F.sort_array(F.collect_set("role")).alias("roles"))
+    return r.select("user", F.to_json(PL.wrap_values("roles")).alias("roles_json"))
+
+
+@query("sc15_object_ref")
+def q_sc15(spark, sf):
+    it = B.ws_items(spark, sf).where(F.col("object_type").isin("NOTEBOOK", "DIRECTORY"))
+    kind = F.when(F.col("object_type") == "NOTEBOOK", F.lit("notebooks")).otherwise(F.lit("directories"))
+    ref = PL.object_ref(kind, F.col("object_id"))
+    return it.select(ref.alias("ref"), PL.permissions_path(ref).alias("permissions_path"),
+                     PL.ref_kind(ref).alias("kind"), PL.ref_id(ref).alias("id"))
+
+
+@query("sc16_ddl_facts")
+def q_sc16(spark, sf):
+    d = B.table_defs(spark, sf)
+    return d.select("db", "table", PL.ddl_provider("ddl").alias("provider"),
+                    PL.ddl_location("ddl").alias("location"), PL.ddl_n_columns("ddl").alias("n_columns"))
+
+
+@query("sc17_clean_key")
+def q_sc17(spark, sf):
+    c = B.table(spark, sf, "customer")
+    return c.select("c_custkey",
+                    P.clean_user_name(F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))).alias("user"),
+                    P.clean_db_name(F.concat(F.lit("db"), F.col("c_nationkey").cast("string"), F.lit("\n")))
+                    .alias("db"))
+
+
+# ---------------------------------------------------------------------------
+# Composite plans
+# ---------------------------------------------------------------------------
+from rehome.plans.compute import plan_cleanup, plan_clusters, plan_pools, plan_profiles  # noqa: E402
+from rehome.plans.identity import plan_groups, plan_users  # noqa: E402
+from rehome.plans.tables import plan_tables  # noqa: E402
+from rehome.plans.workspace import plan_acls, plan_home, plan_workspace  # noqa: E402
+
+
+@query("pl1_plan_users")
+def q_pl1(spark, sf):
+    return plan_users(B.src_users(spark, sf), B.tgt_users(spark, sf), B.role_pairs(spark, sf, True),
+                      B.role_pairs(spark, sf, False))
+
+
+@query("pl2_plan_groups")
+def q_pl2(spark, sf):
+    return plan_groups(B.groups_src(spark, sf), B.group_members(spark, sf), B.src_users(spark, sf),
+                       B.tgt_users(spark, sf), B.groups_tgt(spark, sf), B.group_roles(spark, sf),
+                       max_members=100)
+
+
+@query("pl3_plan_clusters")
+def q_pl3(spark, sf):
+    p = plan_clusters(B.clusters_full(spark, sf), B.tgt_clusters(spark, sf),
+                      B.profiles_registered(spark, sf), B.pools_src(spark, sf), B.pools_tgt(spark, sf))
+    return p.select("key", "action", "target_id", "stage",
+                    F.get_json_object("payload", "$.custom_tags.OriginalCreator").alias("creator_tag"),
+                    F.get_json_object("payload", "$.aws_attributes.instance_profile_arn").alias("profile"),
+                    F.get_json_object("payload", "$.node_type_id").alias("node_type_id"))
+
+
+@query("pl5_plan_workspace")
+def q_pl5(spark, sf):
+    plan, _gate = plan_workspace(B.ws_items(spark, sf), B.ws_target(spark, sf), archive_missing=True)
+    return plan.select("path", "object_type", "action", "upload_path", "stage")
+
+
+@query("pl6_plan_profiles_pools")
+def q_pl6(spark, sf):
+    return (plan_profiles(B.profiles_src(spark, sf), B.profiles_registered(spark, sf))
+            .unionByName(plan_pools(B.pools_src(spark, sf), B.pools_tgt(spark, sf))))
+
+
+@query("pl7_plan_acls")
+def q_pl7(spark, sf):
+    it = B.ws_items(spark, sf)
+    p = plan_acls(FL.filter_item_type(it, "NOTEBOOK"), FL.filter_item_type(it, "DIRECTORY"),
+                  B.acl_docs(spark, sf))
+    return p.select("ref", "permissions_path", "access_control_list", "apply_order", "stage")
+
+
+@query("pl8_plan_tables")
+def q_pl8(spark, sf):
+    plan, _summary = plan_tables(B.table_defs(spark, sf), B.failed_tables(spark, sf),
+                                 B.retry_roles(spark, sf), B.retry_attempts(spark, sf))
+    return plan
+
+
+@query("pl9_plan_home")
+def q_pl9(spark, sf):
+    plan, _gate = plan_home(B.ws_items(spark, sf), B.ws_target(spark, sf), "u1", archive_missing=False)
+    return plan.select("path", "object_type", "action", "upload_path", "stage")
+
+
+@query("pl10_plan_cleanup")
+def q_pl10(spark, sf):
+    jobs = B.table(spark, sf, "orders").select(F.col("o_orderkey").alias("job_id"))
+    return plan_cleanup(B.tgt_clusters(spark, sf), jobs).select("kind", "key", "action", "stage")
