@@ -507,3 +507,33 @@ ORACLE["pl10_plan_cleanup"] = f"""
 SELECT 'cluster' AS kind, cluster_id AS key, 'unpin' AS action, 1 AS stage FROM ({TGT_CLUSTERS})
 UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', 2 FROM ({TGT_CLUSTERS})
 UNION ALL SELECT 'job', CAST(o_orderkey AS VARCHAR), 'delete', 3 FROM orders"""
+
+# ---------------------------------------------------------------------------
+# Sources and sinks (the oracle reads the tables the round trip started from)
+# ---------------------------------------------------------------------------
+ORACLE["src1_read_jsonl"] = """
+SELECT CASE WHEN event_id % 97 <> 0 THEN event_id END AS event_id,
+  CASE WHEN event_id % 97 <> 0 THEN user_id END AS user_id,
+  CASE WHEN event_id % 97 <> 0 THEN event_type END AS event_type, event_id % 97 = 0 AS is_corrupt
+FROM events"""
+ORACLE["src2_read_json_docs"] = f"""
+SELECT target_group_id AS "group", CAST(sum(n_members) AS BIGINT) AS n_members, count(*) AS n_docs
+FROM ({GROUP_PATCHES}) GROUP BY target_group_id"""
+ORACLE["src3_read_definition_tree"] = f"""
+SELECT db, "table", CAST(length(ddl) AS INTEGER) AS n_chars, md5(ddl) AS ddl_md5 FROM ({TABLE_DEFS})"""
+ORACLE["src5_unwrap_listing"] = """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, 'objects' AS listing
+FROM events, (VALUES (1), (2)) t(x) WHERE event_type = 'click'
+UNION ALL
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT), 'elements' FROM events WHERE event_type = 'view'"""
+ORACLE["snk1_write_jsonl"] = "SELECT event_id, user_id, event_type, value FROM events"
+ORACLE["snk2_append_jsonl"] = "SELECT event_id, user_id, event_type FROM events"
+ORACLE["snk3_write_by_key"] = f"""
+SELECT db, "table", CAST(length(ddl) AS INTEGER) AS n_chars FROM ({TABLE_DEFS})"""
+ORACLE["flt11_scope_database"] = f"""
+SELECT db, "table", CAST(length(ddl) AS INTEGER) AS n_chars FROM ({TABLE_DEFS}) WHERE db = 'db7'"""
+ORACLE["snk4_split_write"] = f"""
+SELECT "table", role, CASE WHEN coalesce(ok, false) THEN 'good' ELSE 'bad' END AS side FROM ({ATTEMPTS})"""
+ORACLE["snk5_write_artifacts"] = """
+SELECT '/Shared/doc' || doc_id AS path, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes,
+  md5(text) AS md5 FROM documents"""

@@ -589,3 +589,133 @@ def q_pl9(spark, sf):
 def q_pl10(spark, sf):
     jobs = B.table(spark, sf, "orders").select(F.col("o_orderkey").alias("job_id"))
     return plan_cleanup(B.tgt_clusters(spark, sf), jobs).select("kind", "key", "action", "stage")
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks: round trips through the shared scratch space
+# ---------------------------------------------------------------------------
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType  # noqa: E402
+
+from rehome.session import scratch_path  # noqa: E402
+from rehome.sources import readers as RD  # noqa: E402
+from rehome.sources import sinks as SK  # noqa: E402
+
+EVENT_SCHEMA = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
+                           StructField("event_type", StringType())])
+
+
+@query("src1_read_jsonl")
+def q_src1(spark, sf):
+    """Every 97th line is cut short (malformed) and must land in the
+    corrupt-record column, not vanish."""
+    e = B.table(spark, sf, "events")
+    line = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    line = F.when(F.col("event_id") % 97 == 0, F.expr("substring(to_json(struct(event_id, user_id, "
+                                                        "event_type)), 1, 10)")).otherwise(line)
+    path = scratch_path(spark, "src1")
+    e.select(line.alias("value")).write.mode("overwrite").text(path)
+    df = RD.read_jsonl(spark, path, EVENT_SCHEMA)
+    bad = F.col(RD.CORRUPT).isNotNull()
+    return df.select(*[F.when(~bad, F.col(c)).alias(c) for c in ("event_id", "user_id", "event_type")],
+                     bad.alias("is_corrupt"))
+
+
+@query("src2_read_json_docs")
+def q_src2(spark, sf):
+    """Member patch documents written one folder per group, read back with
+    the group name taken from the folder."""
+    r = _resolved(spark, sf).where(F.col("status") == "resolved")
+    docs = MB.regroup_members(r, max_members=100)
+    path = scratch_path(spark, "src2")
+    SK.write_by_key(docs.select("target_group_id", F.col("patch").alias("value")), path,
+                    ["target_group_id"], fmt="text")
+    schema = "schemas array<string>, Operations array<struct<op:string,value:struct<members:array<struct<value:string>>>>>"
+    from pyspark.sql.types import _parse_datatype_string
+    back = RD.read_json_docs(spark, path, _parse_datatype_string(schema), "group", layout="partition")
+    n = F.aggregate(F.transform("Operations", lambda o: F.size(o["value"]["members"])), F.lit(0),
+                    lambda a, b: a + b)
+    return back.groupBy("group").agg(F.sum(n).cast("long").alias("n_members"),
+                                     F.count(F.lit(1)).alias("n_docs"))
+
+
+@query("src3_read_definition_tree")
+def q_src3(spark, sf):
+    path = scratch_path(spark, "src3")
+    SK.write_definition_tree(B.table_defs(spark, sf), path)
+    back = RD.read_definition_tree(spark, path, layout="partition")
+    return back.select("db", "table", F.length("ddl").alias("n_chars"), F.md5("ddl").alias("ddl_md5"))
+
+
+@query("src4_read_artifact_tree")
+def q_src4(spark, sf):
+    """The driver's own table files read as an artifact tree (binary)."""
+    a = RD.read_artifact_tree(spark, sf, ext=".parquet")
+    return a.select("path", "n_bytes", F.md5("content").alias("content_md5"))
+
+
+@query("src5_unwrap_listing")
+def q_src5(spark, sf):
+    e = B.table(spark, sf, "events")
+    doc = (F.when(F.col("event_type") == "click",
+                  F.concat(F.lit('{"objects": ['), F.col("props"), F.lit(", "), F.col("props"), F.lit("]}")))
+           .when(F.col("event_type") == "view", F.concat(F.lit("["), F.col("props"), F.lit("]")))
+           .otherwise(F.lit("{}")))
+    resp = e.select("event_id", doc.alias("resp"))
+    el = StructType([StructField("k", LongType())])
+    return (RD.unwrap_listing(resp, "resp", "objects", el).withColumn("listing", F.lit("objects"))
+            .unionByName(RD.unwrap_listing(resp, "resp", "elements", el)
+                         .withColumn("listing", F.lit("elements"))))
+
+
+@query("snk1_write_jsonl")
+def q_snk1(spark, sf):
+    path = scratch_path(spark, "snk1")
+    SK.write_jsonl(B.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value"), path)
+    sch = StructType(list(EVENT_SCHEMA.fields) + [StructField("value", DoubleType())])
+    return RD.read_jsonl(spark, path, sch, keep_corrupt=False)
+
+
+@query("snk2_append_jsonl")
+def q_snk2(spark, sf):
+    """A full run, then a rerun that appends the error events again."""
+    e = B.table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    path = scratch_path(spark, "snk2")
+    SK.append_jsonl(e, path, reset=True)
+    SK.append_jsonl(e.where(F.col("event_type") == "error"), path)
+    return SK.dedupe_log(RD.read_jsonl(spark, path, EVENT_SCHEMA, keep_corrupt=False), "event_id")
+
+
+def _written_defs(spark, sf):
+    d = B.table_defs(spark, sf).select("db", "table", F.length("ddl").alias("n_chars"))
+    path = scratch_path(spark, "defs")
+    SK.write_by_key(d, path, ["db"])
+    return spark.read.parquet(path)
+
+
+@query("snk3_write_by_key")
+def q_snk3(spark, sf):
+    return _written_defs(spark, sf).select("db", "table", "n_chars")
+
+
+@query("flt11_scope_database")
+def q_flt11(spark, sf):
+    return FL.scope_database(_written_defs(spark, sf), "db7").select("db", "table", "n_chars")
+
+
+@query("snk4_split_write")
+def q_snk4(spark, sf):
+    path = scratch_path(spark, "snk4")
+    good, bad = SK.split_write(B.retry_attempts(spark, sf), F.col("ok"), path)
+    return (spark.read.parquet(good).select("table", "role", F.lit("good").alias("side"))
+            .unionByName(spark.read.parquet(bad).select("table", "role", F.lit("bad").alias("side"))))
+
+
+@query("snk5_write_artifacts")
+def q_snk5(spark, sf):
+    d = B.table(spark, sf, "documents").select(
+        F.concat(F.lit("/Shared/doc"), F.col("doc_id").cast("string")).alias("path"),
+        PL.encode_b64(F.encode("text", "UTF-8")).alias("content"))
+    path = scratch_path(spark, "snk5")
+    SK.write_artifacts(d, path)
+    back = spark.read.parquet(path)
+    return back.select("path", F.octet_length("content").alias("n_bytes"), F.md5("content").alias("md5"))
