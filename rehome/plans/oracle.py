@@ -537,3 +537,7 @@ SELECT "table", role, CASE WHEN coalesce(ok, false) THEN 'good' ELSE 'bad' END A
 ORACLE["snk5_write_artifacts"] = """
 SELECT '/Shared/doc' || doc_id AS path, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes,
   md5(text) AS md5 FROM documents"""
+
+ORACLE["stream_ingest_logs"] = """
+SELECT event_id, CASE WHEN event_type = 'error' THEN user_id + 1000 ELSE user_id END AS user_id, event_type
+FROM events"""

@@ -719,3 +719,27 @@ def q_snk5(spark, sf):
     SK.write_artifacts(d, path)
     back = spark.read.parquet(path)
     return back.select("path", F.octet_length("content").alias("n_bytes"), F.md5("content").alias("md5"))
+
+
+# ---------------------------------------------------------------------------
+# Incremental ingestion (Structured Streaming)
+# ---------------------------------------------------------------------------
+@query("stream_ingest_logs")
+def q_stream(spark, sf):
+    """Two export runs land as log files (the second re-exports the error
+    events with a changed user and one truncated line); the stream ingests
+    both and the snapshot keeps the latest version of each event."""
+    from rehome.streaming import ingest_logs, latest_snapshot
+    e = B.table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    landing = scratch_path(spark, "landing")
+    e.select(F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value")) \
+        .write.mode("overwrite").text(landing)
+    rerun = e.where(F.col("event_type") == "error").withColumn("user_id", F.col("user_id") + 1000)
+    rerun_lines = rerun.select(F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value")) \
+        .unionByName(spark.range(1).select(F.lit('{"event_id": 1, "user_').alias("value")))
+    table_dir, ckpt = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-ckpt")
+    ingest_logs(spark, landing, EVENT_SCHEMA, table_dir, checkpoint=ckpt)
+    # the rerun's files land in the same folder; the same checkpoint picks up only them
+    rerun_lines.write.mode("append").text(landing)
+    ingest_logs(spark, landing, EVENT_SCHEMA, table_dir, checkpoint=ckpt)
+    return latest_snapshot(spark, table_dir, "event_id").select("event_id", "user_id", "event_type")
