@@ -13,11 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rehome.functions.defaults import default_cluster
-from rehome.session import DEFAULT_BROADCAST_ROWS, bounded_broadcast
-
-
-def _side(df: DataFrame, broadcast_rows: int | None) -> DataFrame:
-    return bounded_broadcast(df, broadcast_rows) if broadcast_rows else df
+from rehome.session import DEFAULT_BROADCAST_ROWS, side
 
 
 # -- AG4 / AG5 ---------------------------------------------------------------
@@ -61,7 +57,7 @@ def id_map(source: DataFrame, target: DataFrame, key: str, id_col: str,
             F.col(key).alias("name"), F.col(id_col).alias(alias))
 
     src = one(source, "old_id")
-    tgt = _side(one(target, "new_id"), broadcast_rows)
+    tgt = side(one(target, "new_id"), broadcast_rows)
     return src.join(tgt, "name", "inner")
 
 
@@ -75,7 +71,7 @@ def remap_pools(clusters: DataFrame, pool_map: DataFrame,
     or ``unresolved`` (the reference raises KeyError; here the row survives
     and goes to the dead letter).
     """
-    m = _side(pool_map.select(F.col("old_id").alias("_old_pool"),
+    m = side(pool_map.select(F.col("old_id").alias("_old_pool"),
                               F.col("new_id").alias("new_pool_id")), broadcast_rows)
     out = clusters.join(m, clusters[pool_col] == m["_old_pool"], "left").drop("_old_pool")
     status = (F.when(F.col(pool_col).isNull(), F.lit("none"))
@@ -93,7 +89,7 @@ def remap_clusters(jobs: DataFrame, cluster_map: DataFrame, cloud: str = "aws",
     ``rewired`` (id replaced), ``reset_default`` (the cluster is gone: the id
     is cleared and the default spec set).  Adds ``old_cluster_id``.
     """
-    m = _side(cluster_map.select(F.col("old_id").alias("_old_cid"),
+    m = side(cluster_map.select(F.col("old_id").alias("_old_cid"),
                                  F.col("new_id").alias("_new_cid")), broadcast_rows)
     old = F.col("settings.existing_cluster_id")
     j = jobs.join(m, old == m["_old_cid"], "left")
@@ -125,7 +121,7 @@ def skip_existing(candidates: DataFrame, target: DataFrame, key: str,
     created safely); the other two are an anti and a semi join.
     """
     tk = target_key or key
-    names = _side(target.select(F.col(tk).alias("_k")).where(F.col("_k").isNotNull())
+    names = side(target.select(F.col(tk).alias("_k")).where(F.col("_k").isNotNull())
                   .distinct(), broadcast_rows)
     valid = candidates.where(F.col(key).isNotNull())
     cond = valid[key] == names["_k"]
@@ -141,7 +137,7 @@ def null_unregistered_profile(clusters: DataFrame, profiles: DataFrame,
     """Clear ``aws_attributes.instance_profile_arn`` unless the arn is a
     registered profile; the other attributes are kept.  No registered
     profiles at all means every arn is cleared."""
-    reg = _side(profiles.select(F.col("instance_profile_arn").alias("_reg"))
+    reg = side(profiles.select(F.col("instance_profile_arn").alias("_reg"))
                 .where(F.col("_reg").isNotNull() & (F.col("_reg") != "")).distinct(),
                 broadcast_rows)
     arn = F.col("aws_attributes.instance_profile_arn")

@@ -84,6 +84,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows (bounded job).
+
+    Plans check each small *input* once: projections, filters, distincts and
+    per-key aggregates of that input can never have more rows, so every
+    join side derived from it inherits the bound without another job.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def side(df: DataFrame, bound) -> DataFrame:
+    """Join side for a bound given as ``True`` (already proven by the
+    caller), ``False``/``None`` (too big or unknown: shuffle join), or a row
+    count to check here."""
+    if bound is True:
+        return F.broadcast(df)
+    if bound is None or bound is False or bound == 0:
+        return df
+    return bounded_broadcast(df, int(bound))
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
