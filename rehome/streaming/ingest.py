@@ -28,8 +28,8 @@ def ingest_logs(spark: SparkSession, landing: str, schema: StructType, table_dir
                 checkpoint: str | None = None, max_files_per_trigger: int = 1000) -> str:
     """Ingest every log file now present in ``landing`` and stop.
 
-    Good rows go to ``<table_dir>/good`` (parquet, with ``_batch`` and
-    ``_line``), malformed lines to ``<table_dir>/bad``.  Returns the
+    Good rows go to ``<table_dir>/good`` (parquet partitioned by ``_batch``,
+    with ``_line``), malformed lines to ``<table_dir>/bad``.  Returns the
     checkpoint folder (reuse it to continue incrementally).
     """
     checkpoint = checkpoint or scratch_path(spark, "ingest-ckpt")
@@ -46,8 +46,11 @@ def ingest_logs(spark: SparkSession, landing: str, schema: StructType, table_dir
         parsed = parsed.withColumn("_line", F.monotonically_increasing_id())
         good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         bad = parsed.where(F.col(CORRUPT).isNotNull()).select("_file", "_batch", CORRUPT)
-        good.write.mode("append").parquet(table_dir + "/good")
-        bad.write.mode("append").parquet(table_dir + "/bad")
+        # Each micro-batch owns the ``_batch=<id>`` folder and overwrites it:
+        # a batch re-run after a failure replaces its own output (idempotent).
+        for part, path in ((good, "/good"), (bad, "/bad")):
+            (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_batch").parquet(table_dir + path))
 
     q = (lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
