@@ -407,6 +407,7 @@ def _plan(kind, key, action, target_id="NULL::VARCHAR", n_items="NULL::BIGINT",
 
 ORACLE["pl1_plan_users"] = f"""
 SELECT {_plan('user', 's.userName', "CASE WHEN t.userName IS NULL THEN 'create' ELSE 'skip_existing' END",
+              payload="""CASE WHEN t.userName IS NULL THEN '{"userName":"' || s.userName || '"}' END""",
               stage=2)}
 FROM ({SRC_USERS}) s LEFT JOIN (SELECT DISTINCT userName FROM ({TGT_USERS})) t ON s.userName = t.userName
 WHERE s.userName IS NOT NULL
@@ -492,6 +493,11 @@ FROM ({WS_ITEMS}) i
 JOIN (VALUES ('NOTEBOOK', 'notebooks', 1), ('DIRECTORY', 'directories', 2)) k(t, kind, ord) ON i.object_type = k.t
 LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id"""
 ORACLE["pl8_plan_tables"] = f"""
+SELECT NULL::VARCHAR AS "table", db, 'create_if_absent' AS action, NULL::VARCHAR AS import_route,
+  NULL::VARCHAR AS role, 10 AS stage
+FROM (SELECT db FROM ({TABLE_DEFS}) UNION SELECT split_part("table", '.', 1) FROM ({RETRY})
+      WHERE outcome = 'resolved')
+UNION ALL
 SELECT db || '.' || "table" AS "table", db,
   CASE WHEN ddl IS NULL OR length(ddl) <= 0 THEN 'failed' ELSE 'create' END AS action,
   CASE WHEN octet_length(encode(ddl)) IS NULL OR octet_length(encode(ddl)) <= 0 THEN 'error'
