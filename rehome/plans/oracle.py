@@ -547,3 +547,23 @@ SELECT '/Shared/doc' || doc_id AS path, CAST(octet_length(encode(text)) AS INTEG
 ORACLE["stream_ingest_logs"] = """
 SELECT event_id, CASE WHEN event_type = 'error' THEN user_id + 1000 ELSE user_id END AS user_id, event_type
 FROM events"""
+
+IMPORT_FILES = f"""SELECT path || '.dbc' AS file FROM ({WS_ITEMS}) WHERE object_type = 'NOTEBOOK' AND path <> '/'
+  AND {TRASH_KEEP}"""
+ORACLE["pl5_plan_import"] = f"""
+WITH np AS (SELECT {PARTS.format(p="substr(file, 1, length(file) - 4)")} AS parts FROM ({IMPORT_FILES})),
+nb AS (SELECT '/' || array_to_string(parts, '/') AS path, parts, 'NOTEBOOK' AS object_type FROM np
+       WHERE len(parts) >= 1),
+fo AS (SELECT DISTINCT '/' || array_to_string(parts[1:i], '/') AS path
+       FROM (SELECT parts, unnest(range(1, len(parts))) AS i FROM np WHERE len(parts) >= 2)),
+items AS (SELECT path, parts, object_type FROM nb
+          UNION ALL SELECT path, {PARTS.format(p='path')}, 'DIRECTORY' FROM fo),
+work AS (SELECT *, CASE WHEN len(parts) >= 2 AND parts[1] = 'Users' THEN parts[2] END AS u FROM items
+         WHERE object_type = 'NOTEBOOK'
+            OR NOT (path IN ('/Users/', '/Users') OR (len(parts) = 2 AND parts[1] = 'Users'))),
+r AS (SELECT w.*, w.u IS NOT NULL AND h.home IS NULL AS missing FROM work w LEFT JOIN ({HOMES}) h ON w.u = h.home)
+SELECT path, object_type,
+  CASE WHEN object_type = 'DIRECTORY' THEN 'mkdir' WHEN NOT missing THEN 'upload' ELSE 'archive' END AS action,
+  CASE WHEN missing THEN regexp_replace(path, '^(/*)Users', '\\1Archive') ELSE path END AS upload_path,
+  9 AS stage
+FROM r"""

@@ -526,7 +526,7 @@ def q_sc17(spark, sf):
 from rehome.plans.compute import plan_cleanup, plan_clusters, plan_pools, plan_profiles  # noqa: E402
 from rehome.plans.identity import plan_groups, plan_users  # noqa: E402
 from rehome.plans.tables import plan_tables  # noqa: E402
-from rehome.plans.workspace import plan_acls, plan_home, plan_workspace  # noqa: E402
+from rehome.plans.workspace import plan_acls, plan_home, plan_import, plan_workspace  # noqa: E402
 
 
 @query("pl1_plan_users")
@@ -558,6 +558,16 @@ def q_pl5(spark, sf):
     return plan.select("path", "object_type", "action", "upload_path", "stage")
 
 
+@query("pl5_plan_import")
+def q_pl5_import(spark, sf):
+    """Import side: the artifact files the export downloaded (reachable
+    notebooks), replayed onto the target with missing homes archived."""
+    nb = FL.filter_item_type(WS.reachable(B.ws_items(spark, sf), "/"), "NOTEBOOK")
+    files = nb.select(P.artifact_name("path").alias("file"))
+    plan, _gate = plan_import(files, B.ws_target(spark, sf), archive_missing=True)
+    return plan.select("path", "object_type", "action", "upload_path", "stage")
+
+
 @query("pl6_plan_profiles_pools")
 def q_pl6(spark, sf):
     return (plan_profiles(B.profiles_src(spark, sf), B.profiles_registered(spark, sf))
