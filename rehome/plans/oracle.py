@@ -567,3 +567,11 @@ SELECT path, object_type,
   CASE WHEN missing THEN regexp_replace(path, '^(/*)Users', '\\1Archive') ELSE path END AS upload_path,
   9 AS stage
 FROM r"""
+
+ORACLE["pl4_outcome_counts"] = f"""
+SELECT outcome, count(*) AS n_jobs FROM ({ORACLE["pl4_plan_jobs"]}) GROUP BY outcome"""
+ORACLE["so1_delta_count"] = f"SELECT count(*) AS n_role_rows FROM ({ROLE_DELTA})"
+ORACLE["sc10_route_counts"] = """
+SELECT count(*) FILTER (WHERE length(text) > 2048) AS n_export_file,
+  count(*) FILTER (WHERE octet_length(encode(text)) > 1024) AS n_import_upload, count(*) AS n_docs
+FROM documents"""

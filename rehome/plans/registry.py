@@ -753,3 +753,25 @@ def q_stream(spark, sf):
     rerun_lines.write.mode("append").text(landing)
     ingest_logs(spark, landing, EVENT_SCHEMA, table_dir, checkpoint=ckpt)
     return latest_snapshot(spark, table_dir, "event_id").select("event_id", "user_id", "event_type")
+
+
+# ---------------------------------------------------------------------------
+# Acceptance summaries
+# ---------------------------------------------------------------------------
+@query("pl4_outcome_counts")
+def q_pl4_counts(spark, sf):
+    p = q_pl4(spark, sf)
+    return p.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_jobs"))
+
+
+@query("so1_delta_count")
+def q_so1_count(spark, sf):
+    return SO.row_count(q_so1(spark, sf), "n_role_rows")
+
+
+@query("sc10_route_counts")
+def q_sc10_counts(spark, sf):
+    r = q_sc10(spark, sf)
+    return r.agg(F.count_if(F.col("export_route") == "file").alias("n_export_file"),
+                 F.count_if(F.col("import_route") == "upload").alias("n_import_upload"),
+                 F.count(F.lit(1)).alias("n_docs"))

@@ -50,14 +50,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
     (local tests) a private folder is created and registered.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is None:
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("spark.checkpoint.dir must be set for a Spark Connect session")
+        return conf.rstrip("/")
+    conf = sc.getConf().get("spark.checkpoint.dir", None)
     if conf:
-        spark.sparkContext.setCheckpointDir(conf)
+        sc.setCheckpointDir(conf)
         return conf.rstrip("/")
-    key = spark.sparkContext.applicationId
+    key = sc.applicationId
     if key not in _LOCAL_CKPT:
         path = tempfile.mkdtemp(prefix="rehome-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
+        sc.setCheckpointDir(path)
         _LOCAL_CKPT[key] = path
     return _LOCAL_CKPT[key]
 
