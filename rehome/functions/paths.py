@@ -28,9 +28,14 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# The predicates below are regular expressions over the non-empty parts of a
+# path (``[^/]+`` runs); they stay inside generated code, unlike lambdas.
+_SECOND_PART = r"^/*[^/]+/+([^/]+)"
+
+
 def path_parts(p) -> Column:
     """Non-empty ``/`` parts of a path."""
-    return F.filter(F.split(_c(p), "/"), lambda x: x != "")
+    return F.regexp_extract_all(_c(p), F.lit(r"[^/]+"), 0)
 
 
 def path_depth(p) -> Column:
@@ -39,21 +44,19 @@ def path_depth(p) -> Column:
 
 def is_user_item(p) -> Column:
     """At least two parts and the first one is ``Users``."""
-    parts = path_parts(p)
-    return (F.size(parts) >= 2) & (F.get(parts, 0) == F.lit(USERS_DIR))
+    return _c(p).rlike(r"^/*Users/+[^/]")
 
 
 def is_user_root(p) -> Column:
     """``/Users``, ``/Users/`` or a home folder ``/Users/<user>``."""
-    parts = path_parts(p)
     p = _c(p)
-    return (p.isin("/Users/", "/Users")
-            | ((F.size(parts) == 2) & (F.get(parts, 0) == F.lit(USERS_DIR))))
+    return p.isin("/Users/", "/Users") | p.rlike(r"^/*Users/+[^/]+/*$")
 
 
 def path_user(p) -> Column:
     """Second non-empty part; null when the path has fewer than two parts."""
-    return F.get(path_parts(p), 1)
+    p = _c(p)
+    return F.when(p.rlike(_SECOND_PART), F.regexp_extract(p, _SECOND_PART, 1))
 
 
 def is_trash_dir(p) -> Column:
