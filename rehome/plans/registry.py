@@ -604,7 +604,8 @@ def q_pl10(spark, sf):
 # ---------------------------------------------------------------------------
 # Sources and sinks: round trips through the shared scratch space
 # ---------------------------------------------------------------------------
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType  # noqa: E402
+from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField,  # noqa: E402
+                               StructType)
 
 from rehome.session import scratch_path  # noqa: E402
 from rehome.sources import readers as RD  # noqa: E402
@@ -612,6 +613,12 @@ from rehome.sources import sinks as SK  # noqa: E402
 
 EVENT_SCHEMA = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
                            StructField("event_type", StringType())])
+PATCH_DOC = StructType([
+    StructField("schemas", ArrayType(StringType())),
+    StructField("Operations", ArrayType(StructType([
+        StructField("op", StringType()),
+        StructField("value", StructType([StructField("members", ArrayType(
+            StructType([StructField("value", StringType())])))]))])))])
 
 
 @query("src1_read_jsonl")
@@ -639,9 +646,7 @@ def q_src2(spark, sf):
     path = scratch_path(spark, "src2")
     SK.write_by_key(docs.select("target_group_id", F.col("patch").alias("value")), path,
                     ["target_group_id"], fmt="text")
-    schema = "schemas array<string>, Operations array<struct<op:string,value:struct<members:array<struct<value:string>>>>>"
-    from pyspark.sql.types import _parse_datatype_string
-    back = RD.read_json_docs(spark, path, _parse_datatype_string(schema), "group", layout="partition")
+    back = RD.read_json_docs(spark, path, PATCH_DOC, "group", layout="partition")
     n = F.aggregate(F.transform("Operations", lambda o: F.size(o["value"]["members"])), F.lit(0),
                     lambda a, b: a + b)
     return back.groupBy("group").agg(F.sum(n).cast("long").alias("n_members"),
