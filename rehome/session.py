@@ -18,7 +18,7 @@ _LOCAL_CKPT: dict[str, str] = {}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "rehome") -> SparkSession:
+              app: str = "rehome", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Session with the settings the operators are tuned for.
 
     On a cluster ``master`` stays None and the submitter's settings win; the
@@ -37,6 +37,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     }
     if shuffle_partitions:
         defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    defaults.update(extra_conf or {})
     for key, value in defaults.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
