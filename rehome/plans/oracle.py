@@ -575,3 +575,15 @@ ORACLE["sc10_route_counts"] = """
 SELECT count(*) FILTER (WHERE length(text) > 2048) AS n_export_file,
   count(*) FILTER (WHERE octet_length(encode(text)) > 1024) AS n_import_upload, count(*) AS n_docs
 FROM documents"""
+
+ORACLE["hr1_orphans"] = f"""
+WITH w AS (SELECT path, object_id, object_type, {PARTS.format(p='path')} AS parts FROM ({WS_ITEMS})
+           WHERE starts_with(path, '/Users/')),
+dirs AS (SELECT DISTINCT '/' || array_to_string(parts, '/') AS anc FROM w WHERE object_type = 'DIRECTORY'),
+anc AS (SELECT path, object_id, '/' || array_to_string(parts[1:i], '/') AS anc
+        FROM (SELECT path, object_id, parts, unnest(range(2, len(parts))) AS i FROM w WHERE len(parts) > 2))
+SELECT DISTINCT path, object_id FROM anc WHERE anc NOT IN (SELECT anc FROM dirs)"""
+ORACLE["jn10_library_status"] = """
+SELECT l.library_id, '{"status":"INSTALLED","brand":"' || p.p_brand || '"}' AS status
+FROM (SELECT DISTINCT l_partkey AS library_id FROM lineitem) l
+LEFT JOIN part p ON p.p_partkey = l.library_id AND p.p_size % 2 = 0"""

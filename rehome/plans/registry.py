@@ -780,3 +780,21 @@ def q_sc10_counts(spark, sf):
     return r.agg(F.count_if(F.col("export_route") == "file").alias("n_export_file"),
                  F.count_if(F.col("import_route") == "upload").alias("n_import_upload"),
                  F.count(F.lit(1)).alias("n_docs"))
+
+
+@query("hr1_orphans")
+def q_hr1_orphans(spark, sf):
+    """Items below ``/Users`` whose ancestor folders (below ``/Users``) are
+    missing from the snapshot: order items sit in ``d`` folders that were
+    never listed, trash items mostly in ``Trash`` folders that were not."""
+    return WS.orphans(B.ws_items(spark, sf), "/Users")
+
+
+@query("jn10_library_status")
+def q_jn10_status(spark, sf):
+    """Per library (parts used by line items): its logged status, if any."""
+    libs = B.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("library_id")).distinct()
+    status = B.table(spark, sf, "part").where(F.col("p_size") % 2 == 0).select(
+        F.col("p_partkey").alias("library_id"),
+        F.concat(F.lit('{"status":"INSTALLED","brand":"'), F.col("p_brand"), F.lit('"}')).alias("status"))
+    return SO.attach_library_status(libs, status)
