@@ -86,22 +86,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
-    The check is a bounded job (each task stops after ``max_rows + 1`` rows).
-    Beyond the bound the side is returned unhinted, so the planner uses a
-    shuffle join and AQE may still split skewed partitions.
+    The check is one ``count()`` job: every task counts its own rows and only
+    those partial counts are shuffled.  (``limit(n).count()`` would instead
+    funnel up to n rows per task through a single partition.)  Beyond the
+    bound the side is returned unhinted, so the planner uses a shuffle join
+    and AQE may still split skewed partitions.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows (bounded job).
+    """True when ``df`` provably has at most ``max_rows`` rows.
 
-    Plans check each small *input* once: projections, filters, distincts and
-    per-key aggregates of that input can never have more rows, so every
-    join side derived from it inherits the bound without another job.
+    One ``count()`` job with map-side partial counts.  Plans check each
+    small *input* once: projections, filters, distincts and per-key
+    aggregates of that input can never have more rows, so every join side
+    derived from it inherits the bound without another job.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def side(df: DataFrame, bound) -> DataFrame:
