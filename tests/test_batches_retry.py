@@ -46,3 +46,23 @@ def test_retry_matrix_first_success_by_role_order(spark):
     # no roles at all: every valid failed table remains
     _, rem2, _ = retry_matrix(failed, roles.where("false"), attempts)
     assert rem2.count() == 3
+
+
+def test_row_index_hot_key_at_volume(spark):
+    """300k rows, a third of them in one key: indexes are exactly 0..n-1 per
+    key (checked with aggregates, nothing collected), and the hot key is
+    spread over several tasks."""
+    n = 300_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 997).cast("string")).alias("k"),
+        (F.col("id") * 7919 % n).alias("o"))
+    out = row_index(df, ["k"], ["o"], num_partitions=8)
+    per_key = out.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("row_index").alias("lo"),
+                                   F.max("row_index").alias("hi"),
+                                   F.count_distinct("row_index").alias("d"))
+    bad = per_key.where((F.col("lo") != 0) | (F.col("hi") != F.col("c") - 1) | (F.col("d") != F.col("c")))
+    assert bad.count() == 0
+    assert per_key.where("k = 'hot'").first().c == n // 3
+    hot_tasks = df.repartitionByRange(8, "k", "o").where("k = 'hot'") \
+        .select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot_tasks >= 2
