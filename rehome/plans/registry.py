@@ -37,7 +37,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from rehome.functions import paths as P  # noqa: E402
 from rehome.functions import payload as PL  # noqa: E402
-from rehome.functions.defaults import default_cluster  # noqa: E402
 from rehome.operators import filters as FL  # noqa: E402
 from rehome.operators import mapping as MP  # noqa: E402
 

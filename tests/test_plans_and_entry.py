@@ -1,7 +1,6 @@
 """Plans on driver tables (invariants) and every registered query against
 its DuckDB oracle on the smallest scale factor."""
 
-import math
 import os
 
 import pytest
