@@ -106,6 +106,19 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     return df.count() <= max_rows
 
 
+def fits_many(frames: dict[str, DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS
+              ) -> dict[str, bool]:
+    """``fits`` for several inputs in one job: a union of tagged,
+    column-pruned branches with one grouped count (a row per input)."""
+    names = list(frames)
+    tagged = None
+    for name in names:
+        t = frames[name].select(F.lit(name).alias("_input"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    counts = {r["_input"]: r["count"] for r in tagged.groupBy("_input").count().collect()}
+    return {name: counts.get(name, 0) <= max_rows for name in names}
+
+
 def side(df: DataFrame, bound) -> DataFrame:
     """Join side for a bound given as ``True`` (already proven by the
     caller), ``False``/``None`` (too big or unknown: shuffle join), or a row
