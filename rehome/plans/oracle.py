@@ -587,3 +587,43 @@ ORACLE["jn10_library_status"] = """
 SELECT l.library_id, '{"status":"INSTALLED","brand":"' || p.p_brand || '"}' AS status
 FROM (SELECT DISTINCT l_partkey AS library_id FROM lineitem) l
 LEFT JOIN part p ON p.p_partkey = l.library_id AND p.p_size % 2 = 0"""
+
+# Switching over: the same plans, restated on the tables the exports came from
+TGT_ROLE_PAIRS = (f"SELECT DISTINCT r.\"user\", r.role FROM ({ROLES.format(r=1)}) r "
+                  f"JOIN ({TGT_USERS}) t ON t.userName = r.\"user\"")
+SRC_ROLE_PAIRS = (f"SELECT DISTINCT r.\"user\", r.role FROM ({ROLES.format(r=0)}) r "
+                  f"JOIN ({SRC_USERS}) s ON s.userName = r.\"user\"")
+TGT_PROFILES = "SELECT 'arn:aws:iam::profile/' || n_nationkey AS arn FROM nation WHERE n_regionkey IN (0, 1)"
+EXPORTED_CLUSTER_MAP = f"""
+  SELECT c.cluster_name AS name, c.cluster_id AS old_id, t.cluster_id AS new_id
+  FROM ({CLUSTERS}) c JOIN ({TGT_CLUSTERS}) t ON c.cluster_name = t.cluster_name"""
+ORACLE["pl_all_from_exports"] = f"""
+WITH m AS ({EXPORTED_CLUSTER_MAP}), j AS ({JOBS}),
+delta AS (SELECT "user", count(*) AS n FROM ({SRC_ROLE_PAIRS} EXCEPT {TGT_ROLE_PAIRS}) GROUP BY "user")
+SELECT 'job' AS kind, CAST(j.job_id AS VARCHAR) AS key,
+       CASE WHEN j.ecid IS NULL THEN 'new_cluster' WHEN m.new_id IS NULL THEN 'reset_default'
+            ELSE 'rewired' END AS action,
+       CASE WHEN j.ecid IS NOT NULL THEN m.new_id END AS target_id, NULL::BIGINT AS n_items, 8 AS stage
+FROM j LEFT JOIN m ON j.ecid = m.old_id
+UNION ALL
+SELECT 'user', s.userName, CASE WHEN t.userName IS NULL THEN 'create' ELSE 'skip_existing' END,
+       NULL, NULL, 2
+FROM ({SRC_USERS}) s LEFT JOIN ({TGT_USERS}) t ON s.userName = t.userName
+UNION ALL
+SELECT 'user_roles', d."user", CASE WHEN t.id IS NULL THEN 'unknown_user' ELSE 'add_roles' END, t.id, d.n, 5
+FROM delta d LEFT JOIN ({TGT_USERS}) t ON d."user" = t.userName
+UNION ALL
+SELECT 'instance_profile', s.arn, CASE WHEN t.arn IS NULL THEN 'create' ELSE 'skip_existing' END, NULL, NULL, 1
+FROM ({REGISTERED}) s LEFT JOIN ({TGT_PROFILES}) t ON s.arn = t.arn
+UNION ALL
+SELECT 'instance_pool', s.instance_pool_name,
+       CASE WHEN t.instance_pool_name IS NULL THEN 'create' ELSE 'skip_existing' END,
+       CASE WHEN t.instance_pool_name IS NULL THEN s.instance_pool_id END, NULL, 6
+FROM ({POOLS_SRC}) s LEFT JOIN ({POOLS_TGT}) t ON s.instance_pool_name = t.instance_pool_name
+UNION ALL
+SELECT 'cluster', key, action, target_id, NULL, stage FROM ({ORACLE["pl3_plan_clusters"]})
+UNION ALL
+SELECT 'cluster', cluster_id, 'unpin', NULL, NULL, 1 FROM ({TGT_CLUSTERS})
+UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', NULL, NULL, 2 FROM ({TGT_CLUSTERS})
+UNION ALL SELECT 'job', CAST(o_orderkey + 1000000 AS VARCHAR), 'delete', NULL, NULL, 3 FROM orders
+  WHERE o_orderkey % 5 = 0"""

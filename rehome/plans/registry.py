@@ -797,3 +797,58 @@ def q_jn10_status(spark, sf):
         F.col("p_partkey").alias("library_id"),
         F.concat(F.lit('{"status":"INSTALLED","brand":"'), F.col("p_brand"), F.lit('"}')).alias("status"))
     return SO.attach_library_status(libs, status)
+
+
+# ---------------------------------------------------------------------------
+# Switching over: export folders in the reference layout -> plan_all
+# ---------------------------------------------------------------------------
+def _write_export(spark, root, users, clusters, pools, profiles, jobs, dirs):
+    SK.write_jsonl(users, f"{root}/users.log")
+    SK.write_jsonl(clusters, f"{root}/clusters.log")
+    SK.write_jsonl(pools, f"{root}/instance_pools.log")
+    SK.write_jsonl(profiles, f"{root}/instance_profiles.log")
+    SK.write_jsonl(jobs, f"{root}/jobs.log")
+    SK.write_jsonl(dirs, f"{root}/user_dirs.log")
+
+
+def _users_with_roles(users, pairs):
+    roles = pairs.groupBy("user").agg(F.sort_array(F.collect_set("role")).alias("_r"))
+    j = users.join(roles, users["userName"] == roles["user"], "left")
+    return j.select("id", "userName", F.transform("_r", lambda r: F.struct(r.alias("value"))).alias("roles"))
+
+
+@query("pl_all_from_exports")
+def q_pl_all(spark, sf):
+    """Both workspaces exported in the reference layout (from the driver
+    tables), then every plan computed from the two folders."""
+    from rehome.plans.migrate import plan_all
+    src_dir, tgt_dir = scratch_path(spark, "export-src"), scratch_path(spark, "export-tgt")
+    src_users = B.src_users(spark, sf).select("id", "userName")
+    tgt_users = B.tgt_users(spark, sf).select("id", "userName")
+    nation = B.table(spark, sf, "nation")
+    tgt_profiles = nation.where(F.col("n_regionkey").isin(0, 1)).select(
+        F.concat(F.lit(B.ARN_PREFIX), F.col("n_nationkey").cast("string")).alias("instance_profile_arn"))
+    tgt_jobs = B.table(spark, sf, "orders").where(F.col("o_orderkey") % 5 == 0).select(
+        (F.col("o_orderkey") + 1_000_000).alias("job_id"),
+        F.struct(F.concat(F.lit("old-"), F.col("o_orderkey").cast("string")).alias("name")).alias("settings"))
+    _write_export(spark, src_dir, _users_with_roles(src_users, B.role_pairs(spark, sf, True)),
+                  B.clusters_full(spark, sf).drop("state"), B.pools_src(spark, sf),
+                  B.profiles_registered(spark, sf), B.jobs(spark, sf),
+                  B.ws_items(spark, sf).where("object_type = 'DIRECTORY'").select("path", "object_id"))
+    _write_export(spark, tgt_dir, _users_with_roles(tgt_users, B.role_pairs(spark, sf, False)),
+                  B.tgt_clusters(spark, sf).select("cluster_id", "cluster_name"), B.pools_tgt(spark, sf),
+                  tgt_profiles, tgt_jobs,
+                  B.ws_target(spark, sf).where("object_type = 'DIRECTORY'").select("path", "object_id"))
+    plans = plan_all(spark, src_dir, tgt_dir)
+    cols = ["kind", "key", "action", "target_id", "n_items", "stage"]
+    jobs = plans["jobs"].select(F.lit("job").alias("kind"), F.col("job_id").cast("string").alias("key"),
+                                F.col("outcome").alias("action"), F.col("new_cluster_id").alias("target_id"),
+                                F.lit(None).cast("bigint").alias("n_items"), "stage")
+    out = jobs
+    for k in ("users", "instance_profiles", "instance_pools", "clusters", "cleanup"):
+        p = plans[k]
+        if k == "cleanup":
+            p = p.select("kind", "key", "action", F.lit(None).cast("string").alias("target_id"),
+                         F.lit(None).cast("bigint").alias("n_items"), "stage")
+        out = out.unionByName(p.select(*cols))
+    return out
