@@ -621,6 +621,9 @@ SELECT 'instance_pool', s.instance_pool_name,
        CASE WHEN t.instance_pool_name IS NULL THEN s.instance_pool_id END, NULL, 6
 FROM ({POOLS_SRC}) s LEFT JOIN ({POOLS_TGT}) t ON s.instance_pool_name = t.instance_pool_name
 UNION ALL
+SELECT kind, key, action, target_id, n_items, stage
+FROM ({ORACLE["pl2_plan_groups"].replace("// 100", "// 1000")})
+UNION ALL
 SELECT 'cluster', key, action, target_id, NULL, stage FROM ({ORACLE["pl3_plan_clusters"]})
 UNION ALL
 SELECT 'cluster', cluster_id, 'unpin', NULL, NULL, 1 FROM ({TGT_CLUSTERS})

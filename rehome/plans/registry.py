@@ -817,6 +817,22 @@ def _users_with_roles(users, pairs):
     return j.select("id", "userName", F.transform("_r", lambda r: F.struct(r.alias("value"))).alias("roles"))
 
 
+def _write_group_docs(spark, sf, path):
+    """Group documents in the reference shape, at most 1,000 members each
+    (a group with more members is written as several documents)."""
+    m = B.group_members(spark, sf)
+    batched = assign_batches(m, ["group_id"], ["value"], size=1000)
+    member = F.struct("display", "value", F.col("ref").alias("$ref"))
+    docs = batched.groupBy("group_id", "group_name", "batch").agg(
+        F.sort_array(F.collect_list(member)).alias("members"))
+    roles = B.group_roles(spark, sf).groupBy("group_name").agg(
+        F.sort_array(F.collect_set("role")).alias("_r"))
+    docs = docs.join(roles, "group_name", "left").select(
+        F.col("group_id").alias("id"), F.col("group_name").alias("displayName"), "members",
+        F.transform("_r", lambda r: F.struct(r.alias("value"))).alias("roles"))
+    SK.write_jsonl(docs, path)
+
+
 @query("pl_all_from_exports")
 def q_pl_all(spark, sf):
     """Both workspaces exported in the reference layout (from the driver
@@ -835,6 +851,8 @@ def q_pl_all(spark, sf):
                   B.clusters_full(spark, sf).drop("state"), B.pools_src(spark, sf),
                   B.profiles_registered(spark, sf), B.jobs(spark, sf),
                   B.ws_items(spark, sf).where("object_type = 'DIRECTORY'").select("path", "object_id"))
+    _write_group_docs(spark, sf, f"{src_dir}/groups")
+    SK.write_jsonl(B.groups_tgt(spark, sf), f"{tgt_dir}/groups")
     _write_export(spark, tgt_dir, _users_with_roles(tgt_users, B.role_pairs(spark, sf, False)),
                   B.tgt_clusters(spark, sf).select("cluster_id", "cluster_name"), B.pools_tgt(spark, sf),
                   tgt_profiles, tgt_jobs,
@@ -845,7 +863,7 @@ def q_pl_all(spark, sf):
                                 F.col("outcome").alias("action"), F.col("new_cluster_id").alias("target_id"),
                                 F.lit(None).cast("bigint").alias("n_items"), "stage")
     out = jobs
-    for k in ("users", "instance_profiles", "instance_pools", "clusters", "cleanup"):
+    for k in ("users", "groups", "instance_profiles", "instance_pools", "clusters", "cleanup"):
         p = plans[k]
         if k == "cleanup":
             p = p.select("kind", "key", "action", F.lit(None).cast("string").alias("target_id"),
