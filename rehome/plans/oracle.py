@@ -629,4 +629,11 @@ UNION ALL
 SELECT 'cluster', cluster_id, 'unpin', NULL, NULL, 1 FROM ({TGT_CLUSTERS})
 UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', NULL, NULL, 2 FROM ({TGT_CLUSTERS})
 UNION ALL SELECT 'job', CAST(o_orderkey + 1000000 AS VARCHAR), 'delete', NULL, NULL, 3 FROM orders
-  WHERE o_orderkey % 5 = 0"""
+  WHERE o_orderkey % 5 = 0
+UNION ALL
+SELECT k.kind, '/' || k.kind || '/' || i.object_id,
+  CASE WHEN a.access_control_list IS NOT NULL THEN 'set_acl' ELSE 'no_acl' END, a.access_control_list,
+  k.ord, 10
+FROM ({WS_ITEMS}) i
+JOIN (VALUES ('NOTEBOOK', 'notebooks', 1), ('DIRECTORY', 'directories', 2)) k(t, kind, ord) ON i.object_type = k.t
+LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id"""

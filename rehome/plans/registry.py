@@ -852,6 +852,13 @@ def q_pl_all(spark, sf):
                   B.profiles_registered(spark, sf), B.jobs(spark, sf),
                   B.ws_items(spark, sf).where("object_type = 'DIRECTORY'").select("path", "object_id"))
     _write_group_docs(spark, sf, f"{src_dir}/groups")
+    items = B.ws_items(spark, sf)
+    SK.write_jsonl(items.where("object_type = 'NOTEBOOK'").select("path", "object_id"),
+                   f"{src_dir}/user_workspace.log")
+    acls = B.acl_docs(spark, sf)
+    SK.write_jsonl(acls.where(F.col("object_id").startswith("/notebooks/")), f"{src_dir}/acl_notebooks.log")
+    SK.write_jsonl(acls.where(F.col("object_id").startswith("/directories/")),
+                   f"{src_dir}/acl_directories.log")
     SK.write_jsonl(B.groups_tgt(spark, sf), f"{tgt_dir}/groups")
     _write_export(spark, tgt_dir, _users_with_roles(tgt_users, B.role_pairs(spark, sf, False)),
                   B.tgt_clusters(spark, sf).select("cluster_id", "cluster_name"), B.pools_tgt(spark, sf),
@@ -869,4 +876,9 @@ def q_pl_all(spark, sf):
             p = p.select("kind", "key", "action", F.lit(None).cast("string").alias("target_id"),
                          F.lit(None).cast("bigint").alias("n_items"), "stage")
         out = out.unionByName(p.select(*cols))
-    return out
+    acl = plans["acls"].select(
+        F.col("kind"), F.col("ref").alias("key"),
+        F.when(F.col("has_acl"), F.lit("set_acl")).otherwise(F.lit("no_acl")).alias("action"),
+        F.col("access_control_list").alias("target_id"),
+        F.col("apply_order").cast("bigint").alias("n_items"), "stage")
+    return out.unionByName(acl)
