@@ -852,6 +852,8 @@ def q_pl_all(spark, sf):
                   B.profiles_registered(spark, sf), B.jobs(spark, sf),
                   B.ws_items(spark, sf).where("object_type = 'DIRECTORY'").select("path", "object_id"))
     _write_group_docs(spark, sf, f"{src_dir}/groups")
+    SK.write_jsonl(B.failed_tables(spark, sf).withColumn("resultType", F.lit("error")),
+                   f"{src_dir}/failed_metastore.log")
     items = B.ws_items(spark, sf)
     SK.write_jsonl(items.where("object_type = 'NOTEBOOK'").select("path", "object_id"),
                    f"{src_dir}/user_workspace.log")
@@ -881,4 +883,7 @@ def q_pl_all(spark, sf):
         F.when(F.col("has_acl"), F.lit("set_acl")).otherwise(F.lit("no_acl")).alias("action"),
         F.col("access_control_list").alias("target_id"),
         F.col("apply_order").cast("bigint").alias("n_items"), "stage")
-    return out.unionByName(acl)
+    tables = plans["tables"].select(
+        F.lit("table").alias("kind"), F.col("table").alias("key"), "action",
+        F.col("role").alias("target_id"), F.lit(None).cast("bigint").alias("n_items"), "stage")
+    return out.unionByName(acl).unionByName(tables)
