@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rehome.session import bounded_broadcast, fits_many, side
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -220,7 +222,7 @@ def group_members(spark, sf) -> DataFrame:
     group, and each nation group inside the segment groups it occurs in.
     Every 97th customer's segment membership has no ``$ref``."""
     c = table(spark, sf, "customer")
-    n = F.broadcast(table(spark, sf, "nation").select("n_nationkey", "n_name"))
+    n = bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_name"))
     cols = ["group_id", "group_name", "value", "display", "ref", "userName", "type"]
     none = F.lit(None).cast("string")
     seg_users = c.select(
@@ -277,8 +279,10 @@ def retry_attempts(spark, sf) -> DataFrame:
     """Each line item is an attempt to export its part's table under the
     role of its supplier's region."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    s = F.broadcast(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"))
-    n = F.broadcast(table(spark, sf, "nation").select("n_nationkey", "n_regionkey"))
+    # supplier grows with the scale factor: broadcast only below the checked bound
+    ok = fits_many({"s": table(spark, sf, "supplier"), "n": table(spark, sf, "nation")})
+    s = side(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), ok["s"])
+    n = side(table(spark, sf, "nation").select("n_nationkey", "n_regionkey"), ok["n"])
     j = li.join(s, li["l_suppkey"] == s["s_suppkey"]).join(n, F.col("s_nationkey") == n["n_nationkey"])
     return j.select(_tbl_name(F.col("l_partkey")).alias("table"),
                     F.concat(F.lit("arn:role/R"), _s("n_regionkey")).alias("role"),
