@@ -4,9 +4,9 @@ A window ``row_number() OVER (PARTITION BY k ORDER BY o)`` would put each
 whole key into one task, and one key may hold a third of all rows.  Instead
 the rows are range-partitioned on ``(k, o)`` (a hot key spans many tasks),
 numbered inside each task, and each task's rows are offset by the counts of
-the tasks before it for the same key.  The numbered frame is checkpointed
-once into the shared checkpoint folder so the counts and the numbering read
-the same materialized partitions.
+the tasks before it for the same key.  The numbered rows (with their task
+id and position) are written once as a table in the shared checkpoint
+folder, so the counts and the numbering read the same materialized rows.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rehome.session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, cut_lineage
+from rehome.session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialize
 
 
 def row_index(df: DataFrame, partition_by: list[str], order_by: list[str],
@@ -31,7 +31,7 @@ def row_index(df: DataFrame, partition_by: list[str], order_by: list[str],
                 .sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    numbered = cut_lineage(numbered)
+    numbered = materialize(numbered, "row-index")
     stats = (numbered.groupBy("_pid", *partition_by)
              .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     w = Window.partitionBy(*partition_by).orderBy("_pid")

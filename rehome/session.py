@@ -78,11 +78,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
+    """Reliable checkpoint into the shared checkpoint folder (never local).
+
+    Note that an eager checkpoint computes ``df`` twice (once to count, once
+    to write); ``materialize`` computes it once when only column values,
+    not the physical partitioning, must survive.
+    """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a parquet table below the shared checkpoint root
+    and read it back: the lineage is cut, the rows are computed exactly once,
+    and a lost executor cannot change what later stages read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
