@@ -638,6 +638,6 @@ FROM ({WS_ITEMS}) i
 JOIN (VALUES ('NOTEBOOK', 'notebooks', 1), ('DIRECTORY', 'directories', 2)) k(t, kind, ord) ON i.object_type = k.t
 LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id
 UNION ALL
-SELECT 'table', "table", CASE WHEN regexp_matches("table", '^[^.]+\.[^.]+$') THEN 'failed'
+SELECT 'table', "table", CASE WHEN regexp_matches("table", '^[^.]+\\.[^.]+$') THEN 'failed'
   ELSE 'invalid_name' END, NULL, NULL, 11
 FROM ({FAILED})"""
