@@ -10,9 +10,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+
+from rehome.functions import paths as P
+from rehome.functions import payload as PL
+from rehome.operators import filters as FL
+from rehome.operators import mapping as MP
+from rehome.operators import members as MB
+from rehome.operators import retry as RT
+from rehome.operators import setops as SO
+from rehome.operators import workspace as WS
+from rehome.operators.batches import assign_batches
+from rehome.operators.clusters import clean_pool_cluster
 from rehome.plans import bindings as B
+from rehome.plans.compute import plan_cleanup, plan_clusters, plan_pools, plan_profiles
+from rehome.plans.identity import plan_groups, plan_users
 from rehome.plans.jobs import plan_jobs
+from rehome.plans.tables import plan_tables
+from rehome.plans.workspace import plan_acls, plan_home, plan_import, plan_workspace
+from rehome.session import scratch_path
+from rehome.sources import readers as RD
+from rehome.sources import sinks as SK
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,12 +52,6 @@ def q_pl4(spark, sf):
 # ---------------------------------------------------------------------------
 # Id maps, lookups, filters, projections
 # ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from rehome.functions import paths as P  # noqa: E402
-from rehome.functions import payload as PL  # noqa: E402
-from rehome.operators import filters as FL  # noqa: E402
-from rehome.operators import mapping as MP  # noqa: E402
 
 
 @query("jn1_id_map")
@@ -200,11 +213,6 @@ def q_flt10(spark, sf):
 # ---------------------------------------------------------------------------
 # Groups, workspace, retries, batches, set operations
 # ---------------------------------------------------------------------------
-from rehome.operators import members as MB  # noqa: E402
-from rehome.operators import retry as RT  # noqa: E402
-from rehome.operators import setops as SO  # noqa: E402
-from rehome.operators import workspace as WS  # noqa: E402
-from rehome.operators.batches import assign_batches  # noqa: E402
 
 
 def _enriched(spark, sf):
@@ -379,7 +387,6 @@ def q_jn10(spark, sf):
 # ---------------------------------------------------------------------------
 # Scalar column functions
 # ---------------------------------------------------------------------------
-from rehome.operators.clusters import clean_pool_cluster  # noqa: E402
 
 
 @query("sc1_archive_path")
@@ -522,10 +529,6 @@ def q_sc17(spark, sf):
 # ---------------------------------------------------------------------------
 # Composite plans
 # ---------------------------------------------------------------------------
-from rehome.plans.compute import plan_cleanup, plan_clusters, plan_pools, plan_profiles  # noqa: E402
-from rehome.plans.identity import plan_groups, plan_users  # noqa: E402
-from rehome.plans.tables import plan_tables  # noqa: E402
-from rehome.plans.workspace import plan_acls, plan_home, plan_import, plan_workspace  # noqa: E402
 
 
 @query("pl1_plan_users")
@@ -603,12 +606,7 @@ def q_pl10(spark, sf):
 # ---------------------------------------------------------------------------
 # Sources and sinks: round trips through the shared scratch space
 # ---------------------------------------------------------------------------
-from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField,  # noqa: E402
-                               StructType)
 
-from rehome.session import scratch_path  # noqa: E402
-from rehome.sources import readers as RD  # noqa: E402
-from rehome.sources import sinks as SK  # noqa: E402
 
 EVENT_SCHEMA = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
                            StructField("event_type", StringType())])
