@@ -398,7 +398,7 @@ ORACLE["sc17_clean_key"] = "SELECT c_custkey, c_name AS \"user\", 'db' || c_nati
 # ---------------------------------------------------------------------------
 # Composite plans
 # ---------------------------------------------------------------------------
-def _plan(kind, key, action, target_id="NULL::VARCHAR", n_items="NULL::BIGINT", payload="NULL::VARCHAR",
+def _plan(kind, key, action, target_id="NULL::VARCHAR", n_items="0", payload="NULL::VARCHAR",
           stage=0):
     return (f"'{kind}' AS kind, CAST({key} AS VARCHAR) AS key, {action} AS action, "
             f"CAST({target_id} AS VARCHAR) AS target_id, CAST({n_items} AS BIGINT) AS n_items, "
@@ -603,32 +603,32 @@ delta AS (SELECT "user", count(*) AS n FROM ({SRC_ROLE_PAIRS} EXCEPT {TGT_ROLE_P
 SELECT 'job' AS kind, CAST(j.job_id AS VARCHAR) AS key,
        CASE WHEN j.ecid IS NULL THEN 'new_cluster' WHEN m.new_id IS NULL THEN 'reset_default'
             ELSE 'rewired' END AS action,
-       CASE WHEN j.ecid IS NOT NULL THEN m.new_id END AS target_id, NULL::BIGINT AS n_items, 8 AS stage
+       CASE WHEN j.ecid IS NOT NULL THEN m.new_id END AS target_id, CAST(0 AS BIGINT) AS n_items, 8 AS stage
 FROM j LEFT JOIN m ON j.ecid = m.old_id
 UNION ALL
 SELECT 'user', s.userName, CASE WHEN t.userName IS NULL THEN 'create' ELSE 'skip_existing' END,
-       NULL, NULL, 2
+       NULL, 0, 2
 FROM ({SRC_USERS}) s LEFT JOIN ({TGT_USERS}) t ON s.userName = t.userName
 UNION ALL
 SELECT 'user_roles', d."user", CASE WHEN t.id IS NULL THEN 'unknown_user' ELSE 'add_roles' END, t.id, d.n, 5
 FROM delta d LEFT JOIN ({TGT_USERS}) t ON d."user" = t.userName
 UNION ALL
-SELECT 'instance_profile', s.arn, CASE WHEN t.arn IS NULL THEN 'create' ELSE 'skip_existing' END, NULL, NULL, 1
+SELECT 'instance_profile', s.arn, CASE WHEN t.arn IS NULL THEN 'create' ELSE 'skip_existing' END, NULL, 0, 1
 FROM ({REGISTERED}) s LEFT JOIN ({TGT_PROFILES}) t ON s.arn = t.arn
 UNION ALL
 SELECT 'instance_pool', s.instance_pool_name,
        CASE WHEN t.instance_pool_name IS NULL THEN 'create' ELSE 'skip_existing' END,
-       CASE WHEN t.instance_pool_name IS NULL THEN s.instance_pool_id END, NULL, 6
+       CASE WHEN t.instance_pool_name IS NULL THEN s.instance_pool_id END, 0, 6
 FROM ({POOLS_SRC}) s LEFT JOIN ({POOLS_TGT}) t ON s.instance_pool_name = t.instance_pool_name
 UNION ALL
 SELECT kind, key, action, target_id, n_items, stage
 FROM ({ORACLE["pl2_plan_groups"].replace("// 100", "// 1000")})
 UNION ALL
-SELECT 'cluster', key, action, target_id, NULL, stage FROM ({ORACLE["pl3_plan_clusters"]})
+SELECT 'cluster', key, action, target_id, 0, stage FROM ({ORACLE["pl3_plan_clusters"]})
 UNION ALL
-SELECT 'cluster', cluster_id, 'unpin', NULL, NULL, 1 FROM ({TGT_CLUSTERS})
-UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', NULL, NULL, 2 FROM ({TGT_CLUSTERS})
-UNION ALL SELECT 'job', CAST(o_orderkey + 1000000 AS VARCHAR), 'delete', NULL, NULL, 3 FROM orders
+SELECT 'cluster', cluster_id, 'unpin', NULL, 0, 1 FROM ({TGT_CLUSTERS})
+UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', NULL, 0, 2 FROM ({TGT_CLUSTERS})
+UNION ALL SELECT 'job', CAST(o_orderkey + 1000000 AS VARCHAR), 'delete', NULL, 0, 3 FROM orders
   WHERE o_orderkey % 5 = 0
 UNION ALL
 SELECT k.kind, '/' || k.kind || '/' || i.object_id,
@@ -639,5 +639,5 @@ JOIN (VALUES ('NOTEBOOK', 'notebooks', 1), ('DIRECTORY', 'directories', 2)) k(t,
 LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id
 UNION ALL
 SELECT 'table', "table", CASE WHEN regexp_matches("table", '^[^.]+\\.[^.]+$') THEN 'failed'
-  ELSE 'invalid_name' END, NULL, NULL, 11
+  ELSE 'invalid_name' END, NULL, 0, 11
 FROM ({FAILED})"""

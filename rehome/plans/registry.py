@@ -868,13 +868,13 @@ def q_pl_all(spark, sf):
     cols = ["kind", "key", "action", "target_id", "n_items", "stage"]
     jobs = plans["jobs"].select(F.lit("job").alias("kind"), F.col("job_id").cast("string").alias("key"),
                                 F.col("outcome").alias("action"), F.col("new_cluster_id").alias("target_id"),
-                                F.lit(None).cast("bigint").alias("n_items"), "stage")
+                                F.lit(0).cast("bigint").alias("n_items"), "stage")
     out = jobs
     for k in ("users", "groups", "instance_profiles", "instance_pools", "clusters", "cleanup"):
         p = plans[k]
         if k == "cleanup":
             p = p.select("kind", "key", "action", F.lit(None).cast("string").alias("target_id"),
-                         F.lit(None).cast("bigint").alias("n_items"), "stage")
+                         F.lit(0).cast("bigint").alias("n_items"), "stage")
         out = out.unionByName(p.select(*cols))
     acl = plans["acls"].select(
         F.col("kind"), F.col("ref").alias("key"),
@@ -883,5 +883,5 @@ def q_pl_all(spark, sf):
         F.col("apply_order").cast("bigint").alias("n_items"), "stage")
     tables = plans["tables"].select(
         F.lit("table").alias("kind"), F.col("table").alias("key"), "action",
-        F.col("role").alias("target_id"), F.lit(None).cast("bigint").alias("n_items"), "stage")
+        F.col("role").alias("target_id"), F.lit(0).cast("bigint").alias("n_items"), "stage")
     return out.unionByName(acl).unionByName(tables)
