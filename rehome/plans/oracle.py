@@ -30,7 +30,7 @@ AWS_DEFAULT_JSON = ('{"spark_version":"6.1.x-scala2.11","node_type_id":"i3.xlarg
 
 ORACLE["pl4_plan_jobs"] = f"""
 WITH m AS ({CLUSTER_MAP}), j AS ({JOBS})
-SELECT j.job_id, j.name AS job_name,
+SELECT j.job_id, j.name AS job_name, 'create' AS action,
        CASE WHEN j.ecid IS NULL THEN 'new_cluster'
             WHEN m.new_id IS NULL THEN 'reset_default' ELSE 'rewired' END AS outcome,
        j.ecid AS old_cluster_id,
