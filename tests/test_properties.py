@@ -45,3 +45,51 @@ def test_retry_matrix_equals_nested_retry_loop(spark, attempts, role_order):
     assert {x.table: x.resolved_role for x in res.collect()} == resolved
     assert sorted(x.table for x in rem.collect()) == sorted(remaining)
     assert [x.table for x in inv.collect()] == ["x.y.z"]
+
+
+SEGS = st.sampled_from(["Users", "u", "v", "Trash", "d"])
+
+
+def _walk(items, root):
+    """Reference-style listing: list a folder, recurse into sub-folders that
+    are not ``<x>/Users/<u>/Trash``; the root itself is never tested."""
+    import os
+    kinds = dict(items)
+    out = []
+
+    def is_trash(p):
+        s = p.split("/")
+        return len(s) == 4 and s[1] == "Users" and s[3] == "Trash"
+
+    def ls(d):
+        for p in sorted(kinds):
+            if os.path.dirname(p) == d:
+                if kinds[p] != "DIRECTORY":
+                    out.append(p)
+                elif not is_trash(p):
+                    out.append(p)
+                    ls(p)
+    ls(root)
+    return sorted(out)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.lists(SEGS, min_size=1, max_size=4),
+                          st.sampled_from(["DIRECTORY", "NOTEBOOK", "LIBRARY"])), min_size=1, max_size=25))
+def test_reachable_equals_walk_on_random_trees(spark, entries):
+    from rehome.operators.workspace import reachable
+    kinds = {}
+    for segs, kind in entries:
+        path = "/" + "/".join(segs)
+        for i in range(1, len(segs)):  # complete tree: every ancestor is a folder
+            kinds["/" + "/".join(segs[:i])] = "DIRECTORY"
+        kinds.setdefault(path, kind)
+    # a path that is an ancestor of another must be a folder
+    for p in list(kinds):
+        if any(q.startswith(p + "/") for q in kinds):
+            kinds[p] = "DIRECTORY"
+    items = spark.createDataFrame([(p, i, t) for i, (p, t) in enumerate(sorted(kinds.items()))],
+                                  "path string, object_id long, object_type string")
+    for root in ["/", "/Users", "/Users/u", "/Users/u/Trash"]:
+        got = sorted(r.path for r in reachable(items, root).collect())
+        assert got == _walk(kinds.items(), root), root
