@@ -93,3 +93,37 @@ def test_reachable_equals_walk_on_random_trees(spark, entries):
     for root in ["/", "/Users", "/Users/u", "/Users/u/Trash"]:
         got = sorted(r.path for r in reachable(items, root).collect())
         assert got == _walk(kinds.items(), root), root
+
+
+ROLES = st.one_of(st.none(), st.lists(st.sampled_from(["r1", "r2", "r3"]), max_size=3))
+
+
+@SETTINGS
+@given(st.dictionaries(st.sampled_from(["a", "b", "c"]), ROLES), st.dictionaries(st.sampled_from(["a", "b", "d"]), ROLES))
+def test_role_delta_equals_set_difference(spark, saved, current):
+    from rehome.operators.setops import role_delta, role_pairs
+    sch = "userName string, roles array<struct<value:string>>"
+
+    def frame(d):
+        rows = [(u, None if rs is None else [{"value": r} for r in rs]) for u, rs in d.items()]
+        return spark.createDataFrame(rows or [("zz", None)], sch)
+    got = sorted(tuple(r) for r in role_delta(role_pairs(frame(saved)), role_pairs(frame(current))).collect())
+    want = sorted((u, r) for u, rs in saved.items()
+                  for r in set(rs or []) - set(current.get(u) or []))
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.sampled_from(["a", "b", "c", None]), max_size=12),
+       st.lists(st.sampled_from(["a", "c", "e", None]), max_size=6))
+def test_skip_existing_partitions_its_input(spark, cands, target):
+    from rehome.operators.mapping import skip_existing
+    c = spark.createDataFrame([(i, k) for i, k in enumerate(cands)] or [(0, None)], "i long, name string")
+    t = spark.createDataFrame([(k,) for k in target] or [(None,)], "name string")
+    create, skipped, invalid = skip_existing(c, t, "name")
+    ids = [sorted(r.i for r in df.collect()) for df in (create, skipped, invalid)]
+    assert sorted(ids[0] + ids[1] + ids[2]) == sorted(r.i for r in c.collect())
+    names = {r.name for r in c.collect()}
+    tset = {k for k in target if k is not None}
+    assert {r.name for r in create.collect()} == {n for n in names if n is not None and n not in tset}
+    assert all(r.name is None for r in invalid.collect())
