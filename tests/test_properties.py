@@ -127,3 +127,19 @@ def test_skip_existing_partitions_its_input(spark, cands, target):
     tset = {k for k in target if k is not None}
     assert {r.name for r in create.collect()} == {n for n in names if n is not None and n not in tset}
     assert all(r.name is None for r in invalid.collect())
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.dictionaries(st.sampled_from(["id", "name", "x", "y", "z"]),
+                                          st.one_of(st.none(), st.integers(0, 9), st.just([]))),
+                          st.just("not json")), max_size=12))
+def test_unexpected_fields_equals_python_json(spark, docs):
+    import json
+    from collections import Counter
+
+    from rehome.operators.setops import unexpected_fields
+    texts = [d if isinstance(d, str) else json.dumps(d) for d in docs]
+    df = spark.createDataFrame([(t,) for t in texts] or [(None,)], "doc string")
+    got = {r.field: r.n for r in unexpected_fields(df, "doc", ["id", "name"]).collect()}
+    want = Counter(k for d in docs if isinstance(d, dict) for k in d if k not in ("id", "name"))
+    assert got == dict(want)
