@@ -1,5 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
+from rehome.llm import licenses
+
 ORACLE = {}
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -38,3 +40,100 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)
 """
+
+ORACLE["op2_url_rules"] = f"""
+WITH u AS (SELECT page_id, url, strpos(url, '://') AS p FROM pages),
+r AS (SELECT page_id, CASE WHEN p > 0 THEN substr(url, p + 3) ELSE '' END AS rest FROM u),
+h AS (SELECT page_id, {lower("regexp_extract(coalesce(rest, ''), '^[^/?#]*')")} AS host,
+             regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+rules(rhost, rpath, rverdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+      ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fit AS (SELECT page_id, host, path, rhost || rpath AS rule, rverdict FROM h JOIN rules
+        ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)),
+best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule,
+                arg_max(rverdict, length(rule)) AS verdict FROM fit GROUP BY page_id)
+SELECT h.page_id, h.host, h.path, best.rule, coalesce(best.verdict, 'allow') AS verdict
+FROM h LEFT JOIN best USING (page_id)
+"""
+
+
+def _invert(u: str, w0: float, w1: float) -> str:
+    """Time at which a straight schedule from w0 to w1 reaches share u."""
+    area = f"({u}) * {(w0 + w1) / 2.0}::DOUBLE"
+    return (f"(0.0::DOUBLE + 2.0::DOUBLE * ({area}) / ({w0}::DOUBLE + sqrt(greatest("
+            f"{w0 * w0}::DOUBLE + {2.0 * (w1 - w0)}::DOUBLE * ({area}), 0.0::DOUBLE))))")
+
+
+def _time(u: str) -> str:
+    return (f"CASE kind WHEN 0 THEN {_invert(u, 7.5, 2.5)} WHEN 1 THEN {_invert(u, 2.0, 2.0)} "
+            f"ELSE {_invert(u, 0.5, 1.5)} END")
+
+
+# The level is found from the sources in order of the level at which each is
+# capped: the first l = (budget - caps before) / (weights from here) that does
+# not reach the next cap.
+ORACLE["op4_mixing"] = f"""
+WITH d AS (SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS h,
+                  len(regexp_extract_all(coalesce(text, ''), '{_BLANK}'))::BIGINT AS size
+           FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+k AS (SELECT source, source_size, 2 * source_size AS cap,
+             (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS kind FROM s),
+w AS (SELECT *, CASE kind WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END
+             AS weight FROM k),
+b AS (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE AS budget FROM s),
+o AS (SELECT *, row_number() OVER (ORDER BY cap / weight, source) AS rn FROM w),
+lv AS (SELECT rn, cap, weight, (budget - coalesce(sum(cap) OVER (ORDER BY rn
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+              / sum(weight) OVER (ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+              AS level FROM o, b),
+lev AS (SELECT arg_min(level, rn) AS level FROM lv WHERE cap > level * weight),
+t AS (SELECT source, source_size, kind, CASE WHEN cap <= level * weight THEN cap::DOUBLE
+             ELSE level * weight END AS target FROM w, lev),
+c AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.kind,
+             floor(t.target + 0.5::DOUBLE)::BIGINT AS words,
+             (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
+              ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+x AS (SELECT *, least(size, greatest(0, words - start)) AS t0,
+             least(size, greatest(0, words - source_size - start)) AS t1 FROM c)
+SELECT doc_id, size, source_size, target, (t0 + t1)::BIGINT AS taken,
+       CASE WHEN t0 > 0 THEN {_time("(0 * source_size + start) / target")} END AS position,
+       CASE WHEN t1 > 0 THEN {_time("(1 * source_size + start) / target")} END AS repeat_position
+FROM x
+"""
+
+
+def _places(i: int) -> str:
+    ws = licenses.PHRASES[i][0].split()
+    cond = " AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(ws))
+    return (f"SELECT rid, i - 1 AS pos, '{licenses.PHRASES[i][1]}' AS label FROM "
+            f"(SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM d) WHERE {cond}")
+
+
+def _template(i: int) -> str:
+    label, text = licenses.TEMPLATES[i]
+    ws = sorted(set(text.split()))
+    return f"({i}, '{label}', [{', '.join(repr(x) for x in ws)}], {len(ws)})"
+
+
+# Brute force: every block against every template.
+ORACLE["op8_licenses"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words('text', _ALNUM)} AS w FROM documents),
+pl AS ({' UNION ALL '.join(_places(i) for i in range(len(licenses.PHRASES)))}),
+base AS (SELECT rid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+                list_sort(list(DISTINCT label)) AS labels FROM pl GROUP BY rid),
+tp(tid, label, toks, n) AS (VALUES {', '.join(_template(i) for i in range(len(licenses.TEMPLATES)))}),
+bl AS (SELECT rid, list_distinct(w[i:i + {2 * licenses.SPAN - 1}]) AS b
+       FROM (SELECT rid, w, unnest(range(1, len(w) + 1, {licenses.SPAN})) AS i FROM d)),
+fit AS (SELECT rid, label, len(list_intersect(b, toks)) / n::DOUBLE AS share
+        FROM bl, tp WHERE len(list_intersect(b, toks)) >= ceil({licenses.THRESHOLD} * n - 1e-9)),
+more AS (SELECT rid, list(DISTINCT label) AS labels, max(share) AS share FROM fit GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+       first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(array_to_string(base.labels, ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []),
+                       coalesce(more.labels, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN base USING (rid) LEFT JOIN more USING (rid)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rehome.llm import decontam, langid, pii, secrets
+from rehome.llm import decontam, langid, licenses, mixing, pii, secrets, urlrules
 from rehome.llm.common import read_table
 
 QUERIES = {}
@@ -17,6 +17,22 @@ def query(name):
     return deco
 
 
+# Host, path and verdict of each rule.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query("op2_url_rules")
+def op2_url_rules(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge_urls(read_table(spark, sf_dir, "pages"), rules)
+
+
+@query("op4_mixing")
+def op4_mixing(spark, sf_dir):
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+
+
 @query("op6_secrets")
 def op6_secrets(spark, sf_dir):
     return secrets.find_secrets(read_table(spark, sf_dir, "documents"), keep=("doc_id",))
@@ -31,6 +47,11 @@ def op7_decontam(spark, sf_dir):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op8_licenses")
+def op8_licenses(spark, sf_dir):
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 @query("op9_pii")
 def op9_pii(spark, sf_dir):
     return pii.find_pii(read_table(spark, sf_dir, "documents"), keep=("doc_id",))
