@@ -137,3 +137,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
 FROM d LEFT JOIN base USING (rid) LEFT JOIN more USING (rid)
 """
+
+# Brute force: all pairs that share a shingle, then the closure of the links.
+ORACLE["op1_minhash"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {words('text', _BLANK)} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+             FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+inter AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y
+          ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM inter JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+         WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+reach(node, seen) AS (SELECT doc_id, doc_id FROM d UNION
+                      SELECT reach.node, link.b FROM reach JOIN link ON reach.seen = link.a),
+comp AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id,
+       d.doc_id = component_id AS kept
+FROM d JOIN comp ON comp.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rehome.llm import decontam, langid, licenses, mixing, pii, secrets, urlrules
+from rehome.llm import decontam, langid, licenses, minhash, mixing, pii, secrets, urlrules
 from rehome.llm.common import read_table
 
 QUERIES = {}
@@ -17,6 +17,11 @@ def query(name):
     return deco
 
 
+@query("op1_minhash")
+def op1_minhash(spark, sf_dir):
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 # Host, path and verdict of each rule.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
