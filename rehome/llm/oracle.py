@@ -156,3 +156,19 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id,
        d.doc_id = component_id AS kept
 FROM d JOIN comp ON comp.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
+
+# Brute force: every window of 50 words that stands in two documents.
+ORACLE["op5_repeats"] = f"""
+WITH d AS (SELECT doc_id, {words('text', _BLANK)} AS w FROM documents),
+win AS (SELECT doc_id, i - 1 AS s, md5(array_to_string(w[i:i + 49], ' ')) AS h
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+sh AS (SELECT h FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+f AS (SELECT doc_id, s, s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) > 50 AS gap
+      FROM win SEMI JOIN sh USING (h)),
+g AS (SELECT doc_id, s, sum(CASE WHEN gap THEN 1 ELSE 0 END)
+             OVER (PARTITION BY doc_id ORDER BY s) AS grp FROM f),
+sp AS (SELECT doc_id, min(s) AS b, max(s) + 50 AS e FROM g GROUP BY doc_id, grp)
+SELECT doc_id, len(any_value(w))::BIGINT AS n_words, sum(e - b)::BIGINT AS n_repeated,
+       string_agg(b || ',' || e, ',' ORDER BY b) AS spans
+FROM sp JOIN d USING (doc_id) GROUP BY doc_id
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rehome.llm import decontam, langid, licenses, minhash, mixing, pii, secrets, urlrules
+from rehome.llm import ann, decontam, langid, licenses, minhash, mixing, pii, secrets, suffix, urlrules
 from rehome.llm.common import read_table
 
 QUERIES = {}
@@ -33,11 +33,22 @@ def op2_url_rules(spark, sf_dir):
     return urlrules.judge_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
+@query("op3_ann")
+def op3_ann(spark, sf_dir):
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op4_mixing")
 def op4_mixing(spark, sf_dir):
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+@query("op5_repeats")
+def op5_repeats(spark, sf_dir):
+    out = suffix.repeated_passages(read_table(spark, sf_dir, "documents"))
+    return out.withColumn("spans", F.array_join(F.transform("spans", lambda x: x.cast("string")), ","))
+
+
 @query("op6_secrets")
 def op6_secrets(spark, sf_dir):
     return secrets.find_secrets(read_table(spark, sf_dir, "documents"), keep=("doc_id",))
