@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from rehome.session import materialize
 
-THRESHOLD = 0.8
+THRESHOLD = 0.9
 SPAN = 40
 
 # Phrases and their labels.
