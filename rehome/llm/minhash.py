@@ -13,9 +13,11 @@ blank-separated words; all words as one shingle if there are fewer).  Steps:
    far below the threshold drop out, the rest is confirmed on the full sets.
 3. Connected components of the confirmed links.
 4. The exact rest: in buckets that still hold several components, all pairs
-   across components are compared block by block on the packed signatures,
-   the candidates are confirmed on the full sets, and components are joined.
-   So no link is lost to the star pairs of step 2, whatever a bucket's size.
+   across components are compared block by block, on the packed signatures and
+   then on the sets themselves; only pairs that are similar leave a block.
+   They are confirmed on the full sets, and components are joined.  So no link
+   is lost to the star pairs of step 2, whatever a bucket's size.  Buckets of
+   the same members are compared once, and a pair only in its first bucket.
 
 Links missed by chance: a pair at the threshold shares no band with
 probability (1 - 0.85^4)^32 = 6e-11, and the estimate is off by the allowed
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from rehome.llm.common import blank_words, map_texts
 from rehome.llm.components import connected
-from rehome.session import materialize
+from rehome.session import fits, materialize
 
 SHINGLE = 5
 PERCENT = 85
@@ -150,6 +152,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_texts(named, "_text", make, fields, ["_id"])
 
 
+def texts_of(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, _text as bytes) of the documents, where the ids are proven few
+    enough to broadcast only of those ids: other texts are not shuffled then."""
+    named = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"),
+                        F.col(f"`{text_col}`").cast("binary").alias("_text"))
+    return named.join(F.broadcast(ids), "_id", "left_semi") if fits(ids) else named
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
@@ -164,8 +174,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Da
     need = (dealt.select(F.col("a").alias("_id"), "b", "_chunk", F.lit(1).alias("_member"))
             .unionByName(dealt.select(F.col("b").alias("_id"), "b", "_chunk",
                                       F.lit(0).alias("_member")).distinct()))
-    texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"),
-                        F.col(f"`{text_col}`").cast("binary").alias("_text"))
+    texts = texts_of(need.select("_id").distinct(), docs, id_col, text_col)
     rows = (need.join(texts, "_id").repartition(n, "b", "_chunk")
             .sortWithinPartitions("b", "_chunk", "_member")
             .select("_id", "b", "_chunk", "_member", "_text"))
@@ -196,38 +205,56 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Da
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def short_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, set): 32-bit shingle hashes of the documents with these ids."""
+    def make():
+        hashes = WordHashes()
+
+        def one(text):
+            s = shingle_set(blank_words(text or b""), hashes)
+            return np.unique((s >> np.uint64(32)).astype(np.uint32)).view(np.int32)
+        return lambda texts: [[one(t) for t in texts]]
+
+    texts = texts_of(ids, docs, id_col, text_col).join(ids, "_id", "left_semi")
+    return map_texts(texts, "_text", make, [("set", "array<int>")], ["_id"])
+
+
 def cross_pairs(rows: DataFrame) -> DataFrame:
-    """Candidate pairs across components within buckets.
+    """Similar pairs across components within buckets.
 
-    ``rows``: bucket key, id, component, signature, and whether the row is
-    outside its bucket's leading component (``_odd``).  Odd rows meet every
-    block of their bucket; neither side of a meeting exceeds about ``BLOCK``
-    rows, and only pairs that pass the estimate leave it.
+    ``rows``: bucket key and band, id, component, signature, all band keys
+    (32 bits each), set, and whether the row is outside its bucket's leading
+    component (``_odd``).  Odd rows meet every block of their bucket; neither
+    side of a meeting exceeds about ``BLOCK`` rows.
     """
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"),
-                                    F.sum(F.col("_odd").cast("bigint")).alias("_m"))
+    counts = materialize(rows.groupBy("_k").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col("_odd").cast("bigint")).alias("_m")),
+        "minhash-counts")
     rows = rows.join(counts, "_k")
     blocks = F.floor(F.col("_n") / BLOCK) + 1
     chunks = F.floor(F.col("_m") / BLOCK) + 1
     own = F.xxhash64("_id")
-    base = rows.select("_k", "_id", "_c", "sig", F.lit(0).alias("_side"),
-                       F.pmod(own, blocks).alias("_x"),
+    cols = ["_k", "_band", "_id", "_c", "sig", "keys", "set"]
+    base = rows.select(*cols, F.lit(0).alias("_side"), F.pmod(own, blocks).alias("_x"),
                        F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)).alias("_y"))
     odd = rows.where("_odd").select(
-        "_k", "_id", "_c", "sig", F.lit(1).alias("_side"),
+        *cols, F.lit(1).alias("_side"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("_x"),
         F.pmod(own, chunks).alias("_y"))
     met = (base.unionByName(odd).repartition(n, "_k", "_x", "_y")
            .sortWithinPartitions("_k", "_x", "_y")
-           .select("_k", "_x", "_y", "_side", "_id", "_c", "sig"))
+           .select("_k", "_x", "_y", "_band", "_side", "_id", "_c", "sig", "keys", "set"))
 
     def compare(group):
-        side = np.array([r[0] for r in group])
-        ids = np.array([r[1] for r in group], np.int64)
-        comp = np.array([r[2] for r in group], np.int64)
-        sig = np.array([r[3] for r in group], np.int64).view(np.uint64)
+        band = group[0][0]
+        side = np.array([r[1] for r in group])
+        ids = np.array([r[2] for r in group], np.int64)
+        comp = np.array([r[3] for r in group], np.int64)
+        sig = np.stack([r[4] for r in group]).view(np.uint64)
+        keys = np.stack([r[5] for r in group])[:, :band]
+        sets = [r[6].view(np.uint32) for r in group]
         left, right = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
         one = np.uint64(_LOW_BITS)
         for i in left:
@@ -235,8 +262,18 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
             x |= x >> np.uint64(1)
             x |= x >> np.uint64(2)
             same = HASHES - np.bitwise_count(x & one).sum(axis=1)
-            for j in right[(same >= MIN_EQUAL) & (comp[right] != comp[i])]:
-                yield int(max(ids[i], ids[j])), int(min(ids[i], ids[j]))
+            near = right[(same >= MIN_EQUAL) & (comp[right] != comp[i])]
+            if band:  # pairs that met in an earlier band are done there
+                near = near[~(keys[near] == keys[i]).any(axis=1)]
+            for j in near:
+                small, large = (i, j) if len(sets[i]) < len(sets[j]) else (j, i)
+                a, b = sets[small], sets[large]
+                if 100 * (len(a) + 1) < PERCENT * len(b):
+                    continue
+                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                both = int((b[at] == a).sum()) + 1  # 32-bit hashes may merge shingles
+                if 100 * both >= PERCENT * (len(a) + len(b) - both):
+                    yield int(max(ids[i], ids[j])), int(min(ids[i], ids[j]))
 
     def run(batches):
         key, group = None, []
@@ -248,19 +285,45 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
                  pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(7)]
-            for r in zip(*cols, strict=True):
-                if r[:3] != key:
+            plain = [batch.column(i).to_pylist() for i in range(7)]
+            lists = [batch.column(i) for i in range(7, 10)]
+            for i in range(batch.num_rows):
+                now = tuple(c[i] for c in plain[:3])
+                if now != key:
                     if group:
                         yield flush()
-                    key, group = r[:3], []
-                group.append(r[3:])
+                    key, group = now, []
+                group.append((*(c[i] for c in plain[3:]),
+                              *(np.array(c[i].values) for c in lists)))
         if group:
             yield flush()
 
     return met.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def unsettled(placed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (_k, _band, _id, _c, _odd) of the buckets of three or more that hold
+    several components; of buckets of the same members the first band's.  The
+    leading component of a bucket is its most frequent one."""
+    full = placed.where(F.col("_n") > 2).join(
+        labels.withColumnRenamed("node", "_id"), "_id", "left")
+    full = materialize(full.select("_k", "_band", "_id",
+                                   F.coalesce("component", "_id").alias("_c")), "minhash-full")
+    lead = full.groupBy("_k", "_c").agg(F.count(F.lit(1)).alias("_n")).groupBy("_k").agg(
+        F.max_by("_c", F.struct("_n", -F.col("_c"))).alias("_lead"),
+        F.count(F.lit(1)).alias("_comps"))
+    wide = "decimal(38,0)"
+    members = full.groupBy("_k").agg(
+        F.min("_band").alias("_band"), F.count(F.lit(1)).alias("_n"),
+        F.sum(F.xxhash64("_id").cast(wide)).alias("_h1"),
+        F.sum(F.xxhash64(F.lit(1), "_id").cast(wide)).alias("_h2"))
+    once = (members.join(lead.where(F.col("_comps") > 1), "_k")
+            .groupBy("_n", "_h1", "_h2").agg(F.min(F.struct("_band", "_k", "_lead")).alias("_one")))
+    once = materialize(once.select("_one._k", "_one._lead"), "minhash-mixed")
+    return full.join(once, "_k").select("_k", "_band", "_id", "_c",
+                                        (F.col("_c") != F.col("_lead")).alias("_odd"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id that
     is reachable over links), kept (whether the row is that document)."""
@@ -273,9 +336,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                          F.col("_one.bands").alias("bands")), "minhash-classes")
 
     banded = classes.select("_id", "sig", F.posexplode("bands").alias("_band", "_key"))
-    banded = banded.select("_id", F.xxhash64("_band", "_key").alias("_k"))
+    banded = banded.select("_id", F.xxhash64("_band", "_key").alias("_k"), "_band")
     buckets = banded.groupBy("_k").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    buckets = buckets.where(F.col("_n") > 1)
+    # Written, so that the join below can split the rows of a hot bucket.
+    buckets = materialize(buckets.where(F.col("_n") > 1), "minhash-keys")
     placed = materialize(banded.join(buckets, "_k"), "minhash-buckets")
     slim = classes.select("_id", "sig")
     star = placed.where(F.col("_id") != F.col("_first")).select(
@@ -287,18 +351,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialize(confirm(star, docs, id_col, text_col), "minhash-links")
     labels = connected(links)  # (node, component) of linked nodes
 
-    # Buckets of three or more that still hold several components.
-    full = placed.where(F.col("_n") > 2).join(
-        labels.withColumnRenamed("node", "_id"), "_id", "left")
-    full = full.withColumn("_c", F.coalesce("component", "_id"))
-    mixed = full.groupBy("_k").agg(F.min("_c").alias("_lead"), F.max("_c").alias("_other"))
-    mixed = mixed.where(F.col("_lead") != F.col("_other"))
-    rows = full.join(mixed.select("_k", "_lead"), "_k").join(slim, "_id").select(
-        "_k", "_id", "_c", "sig", (F.col("_c") != F.col("_lead")).alias("_odd"))
-    rest = materialize(cross_pairs(rows).join(star, ["a", "b"], "left_anti"), "minhash-rest")
-    if not rest.isEmpty():
-        more = materialize(confirm(rest, docs, id_col, text_col), "minhash-more")
-        labels = connected(links.unionByName(more))
+    rows = materialize(unsettled(placed, labels), "minhash-unsettled")
+    if not rows.isEmpty():
+        ids = rows.select("_id").distinct()
+        sets = materialize(short_sets(ids, docs, id_col, text_col), "minhash-sets")
+        facts = classes.select("_id", "sig", F.transform(
+            "bands", lambda x: F.shiftright(x, 32).cast("int")).alias("keys"))
+        rest = materialize(cross_pairs(rows.join(facts, "_id").join(sets, "_id"))
+                           .join(star, ["a", "b"], "left_anti"), "minhash-rest")
+        if not rest.isEmpty():
+            more = materialize(confirm(rest, docs, id_col, text_col), "minhash-more")
+            labels = connected(links.unionByName(more))
 
     of_class = classes.select("digest", "_id").join(
         labels.withColumnRenamed("node", "_id"), "_id", "left").select(
