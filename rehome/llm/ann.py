@@ -5,8 +5,9 @@ every shard, so a query block meets the rows in blocks and nothing is paired
 by a join.  In a shard each of ``PROJECTIONS`` random projections gives one
 sorted array.  A query opens a window of a half-width around its own value in
 each array and counts, per vector, the windows that hold it.  Vectors over the
-collision threshold are verified by their exact distance.  Virtual rehashing
-widens all windows by ``GROWTH`` until the k-th distance found is no more than
+collision threshold are verified by their exact distance.  The first
+half-width is a little under the k-th distance that a few of the shard's own
+vectors have; virtual rehashing widens all windows by ``GROWTH`` until the k-th distance found is no more than
 the half-width (a vector that near is over the threshold with about 95 % or
 more) or all vectors are verified.  Nothing caps the verified vectors.
 
@@ -25,10 +26,11 @@ from pyspark.sql import functions as F
 
 from rehome.session import materialize
 
-PROJECTIONS = 128
-THRESHOLD = 0.61
-GROWTH = 1.15
-FIRST_SHARE = 0.05
+PROJECTIONS = 64
+THRESHOLD = 0.62
+GROWTH = 1.12
+FIRST_SHARE = 0.82
+SAMPLE = 32
 SHARD_ROWS = 16384
 QUERY_ROWS = 4096
 SEED = 7
@@ -47,9 +49,21 @@ class Shard:
         p = x @ self.a.T
         self.order = np.argsort(p, axis=0, kind="stable").T.astype(np.int32)
         self.values = np.sort(p, axis=0).T
-        self.reach = float(np.sqrt((x * x).sum(axis=1).mean()))
+        self.first: dict[int, float] = {}
         self.need = int(np.ceil(THRESHOLD * len(self.a)))
 
+    def first_width(self, k: int) -> float:
+        """Half-width to begin with; it only steers how much work is done."""
+        if k not in self.first:
+            some = self.x[np.linspace(0, len(self.x) - 1, SAMPLE).astype(int)]
+            square = (self.x * self.x).sum(axis=1)
+            d = (some * some).sum(axis=1)[:, None] + square - 2.0 * some @ self.x.T
+            kth = np.sqrt(np.maximum(np.partition(d, min(k, d.shape[1] - 1), axis=1)
+                                     [:, min(k, d.shape[1] - 1)], 0.0))
+            self.first[k] = FIRST_SHARE * float(np.median(kth)) or 1e-3 * float(
+                np.sqrt(square.mean()))
+        return self.first[k]
+
     def search(self, query_id: int, q: np.ndarray, k: int):
         """The k nearest found: (distance, id), nearest first."""
         n, m = len(self.ids), len(self.a)
@@ -59,7 +73,7 @@ class Shard:
         counts = np.zeros(n, np.int32)
         done = self.ids == query_id
         best_d, best_i = np.empty(0), np.empty(0, np.int64)
-        width = FIRST_SHARE * max(self.reach, float(np.sqrt(q @ q)))
+        width = self.first_width(k)
         while True:
             new_low = [np.searchsorted(v, c - width) for v, c in zip(self.values, at, strict=True)]
             new_high = [np.searchsorted(v, c + width, "right")
