@@ -151,12 +151,20 @@ def ref_id(ref) -> Column:
 
 
 # -- SC16 ------------------------------------------------------------------
-_COLUMN_LIST = (r"(?s)^\s*CREATE[^(]*?\((.*?)\)\s*"
-                r"(?:USING|STORED|PARTITIONED|CLUSTERED|COMMENT|LOCATION|TBLPROPERTIES|ROW|OPTIONS|$)")
+# Quoted text and quoted names may hold any of the signs a definition is made
+# of, so they are blanked before it is taken apart.
+_STRINGS = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
+_HEAD = r"(?is)^\s*CREATE\b.*\b(?:TABLE|VIEW)\s+(?:IF\s+NOT\s+EXISTS\s+)?\S+\s*$"
+_COLUMN = r"(?is)^\s*(?!(?:CONSTRAINT|PRIMARY|FOREIGN|CHECK|UNIQUE)\b)[^\s]+\s+\S"
+_GENERIC = r"(?is)\b(?:ARRAY|MAP|STRUCT)\s*$"
+
+
+def _blanked(ddl: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(ddl, _STRINGS, "s"), r"`[^`]*`", "q")
 
 
 def ddl_provider(ddl) -> Column:
-    return F.upper(F.regexp_extract(_c(ddl), r"(?i)\bUSING\s+([A-Za-z0-9_.]+)", 1))
+    return F.upper(F.regexp_extract(_blanked(_c(ddl)), r"(?i)\bUSING\s+([A-Za-z0-9_.]+)", 1))
 
 
 def ddl_location(ddl) -> Column:
@@ -168,10 +176,39 @@ def ddl_location(ddl) -> Column:
 
 
 def ddl_n_columns(ddl) -> Column:
-    """Top-level column definitions (quoted name followed by a space; nested
-    struct fields use ``name:`` and are not counted)."""
-    cols = F.regexp_extract(_c(ddl), _COLUMN_LIST, 1)
-    return F.size(F.regexp_extract_all(cols, F.lit(r"(?:^|,\s*)`[^`]+` "), 0))
+    """Column definitions in the list right after the table's name; 0 without
+    such a list.
+
+    The definition is cut at parentheses, commas and angle brackets and folded
+    with the current depth, so type arguments, nested types and default
+    expressions belong to their column; a column is an item of the list that
+    starts with a (quoted or plain) name and more text.
+    """
+    parts = F.regexp_extract_all(_blanked(_c(ddl)), F.lit(r"[(),<>]|[^(),<>]+"), 0)
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("angle"), F.lit(0).alias("n"),
+                    F.lit(0).alias("state"), F.lit(True).alias("fresh"),
+                    F.lit(False).alias("generic"))
+
+    # state: 0 before the list, 1 inside, 2 after it (or no list at all)
+    def fold(s, x):
+        text = ~x.isin("(", ")", ",", "<", ">")
+        starts = (s["state"] == 0) & (x == "(")
+        inside = s["state"] == 1
+        top = inside & (s["depth"] == 1) & (s["angle"] == 0)
+        depth = s["depth"] + F.when(x == "(", 1).when(x == ")", -1).otherwise(0)
+        angle = s["angle"] + F.when((x == "<") & (s["generic"] | (s["angle"] > 0)), 1).when(
+            (x == ">") & (s["angle"] > 0), -1).otherwise(0)
+        state = (F.when((s["state"] == 0) & text & ~x.rlike(_HEAD), 2)
+                 .when(starts, 1).when(inside & (depth == 0), 2).otherwise(s["state"]))
+        counts = top & s["fresh"] & text & x.rlike(_COLUMN)
+        return F.struct(
+            F.when(starts | inside, depth).otherwise(0).alias("depth"),
+            F.when(inside, angle).otherwise(0).alias("angle"),
+            (s["n"] + F.when(counts, 1).otherwise(0)).alias("n"), state.alias("state"),
+            F.when(top & (x == ","), True).when(top & text, False).otherwise(s["fresh"])
+            .alias("fresh"), (text & x.rlike(_GENERIC)).alias("generic"))
+
+    return F.when(_c(ddl).isNotNull(), F.aggregate(parts, zero, fold, lambda s: s["n"]))
 
 
 # -- FLT8 ------------------------------------------------------------------

@@ -83,8 +83,7 @@ def drop_builtin_admin(df: DataFrame) -> DataFrame:
 # -- FLT4 ----------------------------------------------------------------------
 def filter_item_type(df: DataFrame, item_type: str) -> DataFrame:
     if item_type not in WS_ITEM_TYPES:
-        raise ValueError(f"Unsupported type provided: {item_type}. "
-                         f"Supported types: {sorted(WS_ITEM_TYPES)}")
+        raise ValueError(f"no item type {item_type!r}; one of {', '.join(WS_ITEM_TYPES)} is needed")
     return df.where(F.col("object_type") == item_type)
 
 

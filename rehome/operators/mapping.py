@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rehome.functions.defaults import default_cluster
-from rehome.session import DEFAULT_BROADCAST_ROWS, side
+from rehome.session import DEFAULT_BROADCAST_ROWS, left_lookup, side
 
 
 # -- AG4 / AG5 ---------------------------------------------------------------
@@ -26,6 +26,14 @@ def last_wins(df: DataFrame, key: str, ord_col: str, cols: list[str] | None = No
             .select(key, "_v.*"))
 
 
+def unique_rows(df: DataFrame, key: str, ord_col: str) -> DataFrame:
+    """``last_wins`` that keeps every row without a key and drops the order."""
+    keep = [c for c in df.columns if c != ord_col]
+    return last_wins(df.where(F.col(key).isNotNull()), key, ord_col,
+                     [c for c in keep if c != key]).select(*keep).unionByName(
+        df.where(F.col(key).isNull()).select(*keep))
+
+
 def first_match(df: DataFrame, key: str, ord_col: str, cols: list[str] | None = None) -> DataFrame:
     """One row per ``key``: the first listed one (smallest ``ord_col``)."""
     cols = cols or [c for c in df.columns if c != key]
@@ -71,9 +79,8 @@ def remap_pools(clusters: DataFrame, pool_map: DataFrame,
     or ``unresolved`` (the reference raises KeyError; here the row survives
     and goes to the dead letter).
     """
-    m = side(pool_map.select(F.col("old_id").alias("_old_pool"),
-                              F.col("new_id").alias("new_pool_id")), broadcast_rows)
-    out = clusters.join(m, clusters[pool_col] == m["_old_pool"], "left").drop("_old_pool")
+    m = pool_map.select(F.col("old_id").alias("_old_pool"), F.col("new_id").alias("new_pool_id"))
+    out = left_lookup(clusters, m, F.col(pool_col), "_old_pool", broadcast_rows).drop("_old_pool")
     status = (F.when(F.col(pool_col).isNull(), F.lit("none"))
               .when(F.col("new_pool_id").isNull(), F.lit("unresolved"))
               .otherwise(F.lit("mapped")))
@@ -89,10 +96,9 @@ def remap_clusters(jobs: DataFrame, cluster_map: DataFrame, cloud: str = "aws",
     ``rewired`` (id replaced), ``reset_default`` (the cluster is gone: the id
     is cleared and the default spec set).  Adds ``old_cluster_id``.
     """
-    m = side(cluster_map.select(F.col("old_id").alias("_old_cid"),
-                                 F.col("new_id").alias("_new_cid")), broadcast_rows)
+    m = cluster_map.select(F.col("old_id").alias("_old_cid"), F.col("new_id").alias("_new_cid"))
     old = F.col("settings.existing_cluster_id")
-    j = jobs.join(m, old == m["_old_cid"], "left")
+    j = left_lookup(jobs, m, old, "_old_cid", broadcast_rows)
     outcome = (F.when(old.isNull(), F.lit("new_cluster"))
                .when(F.col("_new_cid").isNull(), F.lit("reset_default"))
                .otherwise(F.lit("rewired")))
@@ -111,24 +117,28 @@ def remap_clusters(jobs: DataFrame, cluster_map: DataFrame, cloud: str = "aws",
 
 
 # -- JN4 ---------------------------------------------------------------------
+def decide_existing(candidates: DataFrame, target: DataFrame, key: str,
+                    target_key: str | None = None, col: str = "decision",
+                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Candidates with ``decision`` create, skip_existing or invalid_key (null
+    keys can neither match nor be created safely), in one pass."""
+    names = (target.select(F.col(target_key or key).alias("_name"))
+             .where(F.col("_name").isNotNull()).distinct().withColumn("_there", F.lit(True)))
+    out = left_lookup(candidates, names, F.col(key), "_name", broadcast_rows)
+    return out.withColumn(col, F.when(F.col(key).isNull(), F.lit("invalid_key"))
+                          .when(F.col("_there"), F.lit("skip_existing"))
+                          .otherwise(F.lit("create"))).drop("_name", "_there")
+
+
 def skip_existing(candidates: DataFrame, target: DataFrame, key: str,
                   target_key: str | None = None,
                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
                   ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Split candidates into (to_create, skipped, invalid).
-
-    ``invalid`` holds null-key candidates (they can neither match nor be
-    created safely); the other two are an anti and a semi join.
-    """
-    tk = target_key or key
-    names = side(target.select(F.col(tk).alias("_k")).where(F.col("_k").isNotNull())
-                  .distinct(), broadcast_rows)
-    valid = candidates.where(F.col(key).isNotNull())
-    cond = valid[key] == names["_k"]
-    create = valid.join(names, cond, "left_anti")
-    skipped = valid.join(names, cond, "left_semi")
-    invalid = candidates.where(F.col(key).isNull())
-    return create, skipped, invalid
+    """Split candidates into (to_create, skipped, invalid) by
+    ``decide_existing``."""
+    d = decide_existing(candidates, target, key, target_key, "_decision", broadcast_rows)
+    return tuple(d.where(F.col("_decision") == x).drop("_decision")
+                 for x in ("create", "skip_existing", "invalid_key"))
 
 
 # -- JN5 ---------------------------------------------------------------------
@@ -137,11 +147,10 @@ def null_unregistered_profile(clusters: DataFrame, profiles: DataFrame,
     """Clear ``aws_attributes.instance_profile_arn`` unless the arn is a
     registered profile; the other attributes are kept.  No registered
     profiles at all means every arn is cleared."""
-    reg = side(profiles.select(F.col("instance_profile_arn").alias("_reg"))
-                .where(F.col("_reg").isNotNull() & (F.col("_reg") != "")).distinct(),
-                broadcast_rows)
+    reg = (profiles.select(F.col("instance_profile_arn").alias("_reg"))
+           .where(F.col("_reg").isNotNull() & (F.col("_reg") != "")).distinct())
     arn = F.col("aws_attributes.instance_profile_arn")
-    j = clusters.join(reg, arn == reg["_reg"], "left")
+    j = left_lookup(clusters, reg, arn, "_reg", broadcast_rows)
     attrs = F.when(arn.isNotNull() & F.col("_reg").isNull(),
                    F.col("aws_attributes").withField("instance_profile_arn",
                                                      F.lit(None).cast("string"))

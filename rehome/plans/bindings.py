@@ -48,6 +48,14 @@ def tgt_users(spark, sf) -> DataFrame:
                     F.col("c_name").alias("userName"), F.col("c_custkey").alias("ord"))
 
 
+# Undeclared and nested keys that a payload must keep as they are.
+JOB_REST = (',"libraries":[{"jar":"dbfs:/x.jar"},{"pypi":{"package":"p"}}],"email_notifications":'
+            '{"on_failure":["a@example.com"]},"max_retries":null,"spark_jar_task":'
+            '{"main_class_name":"m.M","parameters":["1",2,1.5]}')
+CLUSTER_REST = (',"init_scripts":[{"dbfs":{"destination":"dbfs:/i.sh"}}],"cluster_log_conf":'
+                '{"dbfs":{"destination":"dbfs:/logs"}}')
+
+
 # -- B-job: jobs ----------------------------------------------------------------
 def jobs(spark, sf) -> DataFrame:
     o = table(spark, sf, "orders")
@@ -60,7 +68,15 @@ def jobs(spark, sf) -> DataFrame:
                          "aws_attributes:struct<zone_id:string,first_on_demand:bigint,"
                          "availability:string>>").alias("new_cluster"),
     )
-    return o.select(F.col("o_orderkey").alias("job_id"), settings.alias("settings"))
+    return o.select(F.col("o_orderkey").alias("job_id"), settings.alias("settings"),
+                    F.concat(F.lit('{"job_id":'), _s("o_orderkey"), F.lit(',"settings":{"name":"order-'),
+                             _s("o_orderkey"), F.lit('"'),
+                             F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(F.concat(
+                                 F.lit(',"existing_cluster_id":"'), _s("o_custkey"), F.lit('"'))),
+                             F.lit(',"schedule":{"quartz_cron_expression":"0 0 '),
+                             _s(F.col("o_orderkey") % 24),
+                             F.lit(' * * ?","timezone_id":"UTC"}'), F.lit(JOB_REST),
+                             F.lit("}}")).alias("doc"))
 
 
 def user_name(custkey) -> Column:
@@ -111,20 +127,28 @@ def ws_target(spark, sf) -> DataFrame:
 
 
 def acl_docs(spark, sf) -> DataFrame:
-    """ACLs logged for items with an even id, keyed ``/<kind>/<id>``."""
+    """ACLs logged for items with an even id, keyed ``/<kind>/<id>``; every
+    twelfth id was logged again later (``ord`` 2) with other rights."""
     it = ws_items(spark, sf).where((F.col("object_id") % 2 == 0)
                                    & F.col("object_type").isin("NOTEBOOK", "DIRECTORY"))
     kind = F.when(F.col("object_type") == "NOTEBOOK", F.lit("notebooks")).otherwise(
         F.lit("directories"))
-    acl = F.concat(F.lit('[{"user_name":"'), F.regexp_extract("path", r"^/Users/([^/]*)", 1),
-                   F.lit('","permission_level":"CAN_MANAGE"}]'))
-    return it.select(F.concat(F.lit("/"), kind, F.lit("/"), _s("object_id")).alias("object_id"),
-                     acl.alias("access_control_list"))
+
+    def logged(items, ord_, right):
+        acl = F.concat(F.lit('[{"user_name":"'), F.regexp_extract("path", r"^/Users/([^/]*)", 1),
+                       F.lit(f'","permission_level":"{right}"}}]'))
+        return items.select(F.concat(F.lit("/"), kind, F.lit("/"), _s("object_id")).alias("object_id"),
+                            acl.alias("access_control_list"), F.lit(ord_).cast("long").alias("ord"))
+    return logged(it, 1, "CAN_MANAGE").unionByName(
+        logged(it.where(F.col("object_id") % 12 == 0), 2, "CAN_READ"))
 
 
 # -- B-role ---------------------------------------------------------------------
-def role_pairs(spark, sf, saved: bool) -> DataFrame:
-    o = table(spark, sf, "orders").where(F.col("o_orderkey") % 2 == (0 if saved else 1))
+def role_pairs(spark, sf, saved: bool | None) -> DataFrame:
+    """(user, role): saved or current roles by the key's parity, all for None."""
+    o = table(spark, sf, "orders")
+    if saved is not None:
+        o = o.where(F.col("o_orderkey") % 2 == (0 if saved else 1))
     return o.select(user_name("o_custkey").alias("user"),
                     F.col("o_orderpriority").alias("role")).distinct()
 
@@ -132,14 +156,25 @@ def role_pairs(spark, sf, saved: bool) -> DataFrame:
 # -- B-pool / clusters with pools, profiles ---------------------------------------
 def pools_src(spark, sf) -> DataFrame:
     n = table(spark, sf, "nation")
+    doc = F.concat(F.lit('{"instance_pool_id":"pool-'), _s("n_nationkey"),
+                   F.lit('","instance_pool_name":"'), F.col("n_name"),
+                   F.lit('","min_idle_instances":'), _s("n_regionkey"),
+                   F.lit(',"custom":{"b":[1,null],"a":1.0}}'))
     return n.select(F.concat(F.lit("pool-"), _s("n_nationkey")).alias("instance_pool_id"),
-                    F.col("n_name").alias("instance_pool_name"))
+                    F.col("n_name").alias("instance_pool_name"),
+                    F.lit(1).cast("long").alias("ord"), doc.alias("doc"))
 
 
 def pools_tgt(spark, sf) -> DataFrame:
+    """Four of five pools; every third name is listed again later under
+    another id, which counts."""
     n = table(spark, sf, "nation").where(F.col("n_nationkey") % 5 != 0)
-    return n.select(F.concat(F.lit("pool-"), _s(F.col("n_nationkey") + 1000)).alias("instance_pool_id"),
-                    F.col("n_name").alias("instance_pool_name"))
+
+    def listed(rows, shift, ord_):
+        return rows.select(F.concat(F.lit("pool-"), _s(F.col("n_nationkey") + shift))
+                           .alias("instance_pool_id"), F.col("n_name").alias("instance_pool_name"),
+                           F.lit(ord_).cast("long").alias("ord"))
+    return listed(n, 1000, 1).unionByName(listed(n.where(F.col("n_nationkey") % 3 == 0), 2000, 2))
 
 
 ARN_PREFIX = "arn:aws:iam::profile/"
@@ -182,10 +217,36 @@ def clusters_full(spark, sf) -> DataFrame:
         aws.alias("aws_attributes"),
         F.when(k % 3 == 0, F.create_map(F.lit("team"), F.col("c_mktsegment"))).alias("custom_tags"),
         F.lit(None).cast("map<string,string>").alias("spark_conf"),
-        F.when(k % 5 == 0, F.concat(F.lit("pool-"), _s("c_nationkey"))).alias("instance_pool_id"),
+        F.when(k % 45 == 0, F.lit("pool-gone"))
+        .when(k % 5 == 0, F.concat(F.lit("pool-"), _s("c_nationkey"))).alias("instance_pool_id"),
         F.when(F.col("c_acctbal") > 9000, F.lit("admin")).alias("pinned_by_user_name"),
         F.col("c_mktsegment").alias("state"),
-    )
+    ).withColumn("doc", cluster_doc())
+
+
+def _opt(col: str, before: str, after: str = '"') -> Column:
+    """A key of a JSON text that is left out for null."""
+    return F.coalesce(F.concat(F.lit(before), F.col(col).cast("string"), F.lit(after)), F.lit(""))
+
+
+def cluster_doc() -> Column:
+    """The whole document of a ``clusters_full`` row, undeclared keys included."""
+    return F.concat(
+        F.lit('{"cluster_id":"'), F.col("cluster_id"), F.lit('","cluster_name":"'),
+        F.col("cluster_name"), F.lit('","spark_version":"'), F.col("spark_version"),
+        F.lit('","node_type_id":"i3.xlarge","driver_node_type_id":"i3.xlarge","num_workers":'),
+        _s("num_workers"), F.lit(',"autotermination_minutes":60,"enable_elastic_disk":'),
+        _s("enable_elastic_disk"), F.lit(',"creator_user_name":"'), F.col("creator_user_name"),
+        F.lit('","aws_attributes":{"availability":"SPOT_WITH_FALLBACK","ebs_volume_size":100,'
+              '"ebs_volume_type":"GENERAL_PURPOSE_SSD","first_on_demand":1'),
+        F.coalesce(F.concat(F.lit(',"instance_profile_arn":"'),
+                            F.col("aws_attributes.instance_profile_arn"), F.lit('"')), F.lit("")),
+        F.lit(',"zone_id":"us-east-1a"}'),
+        F.coalesce(F.concat(F.lit(',"custom_tags":{"team":"'), F.col("custom_tags")["team"],
+                            F.lit('"}')), F.lit("")),
+        _opt("instance_pool_id", ',"instance_pool_id":"'),
+        _opt("pinned_by_user_name", ',"pinned_by_user_name":"'),
+        F.lit(CLUSTER_REST), F.lit(',"state":"RUNNING","undeclared":{"a":[1,null]}}'))
 
 
 def supplier_clusters(spark, sf) -> DataFrame:
@@ -211,10 +272,16 @@ def groups_src(spark, sf) -> DataFrame:
 
 
 def groups_tgt(spark, sf) -> DataFrame:
+    """Target groups; the first region's nation groups are listed again later
+    under another id, which counts."""
     seg = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("displayName")).distinct()
-    nat = table(spark, sf, "nation").where(F.col("n_regionkey") != 2) \
-        .select(F.col("n_name").alias("displayName"))
-    return seg.unionByName(nat).select(F.concat(F.lit("T-"), "displayName").alias("id"), "displayName")
+    n = table(spark, sf, "nation")
+    nat = n.where(F.col("n_regionkey") != 2).select(F.col("n_name").alias("displayName"))
+    again = n.where(F.col("n_regionkey") == 0).select(F.col("n_name").alias("displayName"))
+    return (seg.unionByName(nat).select(F.concat(F.lit("T-"), "displayName").alias("id"),
+                                        "displayName", F.lit(1).cast("long").alias("ord"))
+            .unionByName(again.select(F.concat(F.lit("T2-"), "displayName").alias("id"),
+                                      "displayName", F.lit(2).cast("long").alias("ord"))))
 
 
 def group_members(spark, sf) -> DataFrame:
@@ -262,11 +329,16 @@ def _tbl_name(k) -> Column:
     return F.concat(F.lit("db"), _s(k % 20), F.lit(".t"), _s(k))
 
 
-def failed_tables(spark, sf) -> DataFrame:
-    p = table(spark, sf, "part").where(F.col("p_size") % 3 == 0)
+def table_names(spark, sf) -> DataFrame:
+    """A qualified name per part; every seventeenth has a third part."""
+    p = table(spark, sf, "part")
     name = F.when(F.col("p_partkey") % 17 == 0, F.concat(_tbl_name(F.col("p_partkey")), F.lit(".x"))) \
         .otherwise(_tbl_name(F.col("p_partkey")))
-    return p.select(name.alias("table"))
+    return p.select(name.alias("table"), "p_size")
+
+
+def failed_tables(spark, sf) -> DataFrame:
+    return table_names(spark, sf).where(F.col("p_size") % 3 == 0).select("table")
 
 
 def retry_roles(spark, sf) -> DataFrame:
@@ -289,17 +361,25 @@ def retry_attempts(spark, sf) -> DataFrame:
                     ((F.col("l_orderkey") + F.col("l_linenumber")) % 29 == 0).alias("ok"))
 
 
+DDL_TYPES = ("INT", "STRING COMMENT 'a, `x` INT) COMMENT'", "DECIMAL(10,2) COMMENT 'x'",
+             "STRUCT<a:INT,b:ARRAY<STRING>>", "MAP<STRING,DECIMAL(5,1)>")
+
+
 def table_defs(spark, sf) -> DataFrame:
     """(db, table, ddl): a CREATE TABLE text per part."""
     p = table(spark, sf, "part")
     k = F.col("p_partkey")
     db = F.concat(F.lit("db"), _s(k % 20))
     tb = F.concat(F.lit("t"), _s(k))
+    # Quoted and plain names; types and comments with commas, brackets and
+    # parentheses of their own.
+    tick = F.when(k % 2 == 0, F.lit("`")).otherwise(F.lit(""))
     cols = F.array_join(F.transform(
         F.sequence(F.lit(1), F.col("p_size") % 20 + 1),
-        lambda i: F.concat(F.lit("`c"), i.cast("string"), F.lit("` "),
-                           F.when(i % 3 == 0, F.lit("INT")).when(i % 3 == 1, F.lit("STRING"))
-                           .otherwise(F.lit("DOUBLE")))), ", ")
+        lambda i: F.concat(tick, F.lit("c"), i.cast("string"), tick, F.lit(" "),
+                           F.when(i % 5 == 0, F.lit(DDL_TYPES[0])).when(i % 5 == 1, F.lit(DDL_TYPES[1]))
+                           .when(i % 5 == 2, F.lit(DDL_TYPES[2])).when(i % 5 == 3, F.lit(DDL_TYPES[3]))
+                           .otherwise(F.lit(DDL_TYPES[4])))), ", ")
     provider = F.when(F.col("p_size") % 3 == 0, F.lit("CSV")).when(
         F.col("p_size") % 3 == 1, F.lit("PARQUET")).otherwise(F.lit("JSON"))
     opts = F.when(k % 2 == 0, F.concat(F.lit("\nOPTIONS (\n  `header` 'true',\n  path '/data/"),

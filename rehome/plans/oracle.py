@@ -28,37 +28,26 @@ AWS_DEFAULT_JSON = ('{"spark_version":"6.1.x-scala2.11","node_type_id":"i3.xlarg
                     '"num_workers":8,"enable_elastic_disk":false,'
                     '"spark_env_vars":{"PYSPARK_PYTHON":"/usr/bin/python3"}}')
 
-ORACLE["pl4_plan_jobs"] = f"""
-WITH m AS ({CLUSTER_MAP}), j AS ({JOBS})
-SELECT j.job_id, j.name AS job_name, 'create' AS action,
-       CASE WHEN j.ecid IS NULL THEN 'new_cluster'
-            WHEN m.new_id IS NULL THEN 'reset_default' ELSE 'rewired' END AS outcome,
-       j.ecid AS old_cluster_id,
-       CASE WHEN j.ecid IS NOT NULL THEN m.new_id END AS new_cluster_id,
-       CASE WHEN j.ecid IS NOT NULL AND m.new_id IS NULL THEN '6.1.x-scala2.11' END
-         AS new_cluster_version,
-       CASE WHEN j.ecid IS NULL THEN '{{"name":"' || j.name || '"}}'
-            WHEN m.new_id IS NULL THEN '{{"name":"' || j.name || '","new_cluster":{AWS_DEFAULT_JSON}}}'
-            ELSE '{{"name":"' || j.name || '","existing_cluster_id":"' || m.new_id || '"}}'
-       END AS settings_json,
-       8 AS stage
-FROM j LEFT JOIN m ON j.ecid = m.old_id
-"""
-
 # ---------------------------------------------------------------------------
 SRC_USERS = "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS userName, c_custkey AS ord FROM customer"
 TGT_USERS = ("SELECT CAST(c_custkey + 500000 AS VARCHAR) AS id, c_name AS userName, c_custkey AS ord "
              "FROM customer WHERE c_custkey % 4 <> 0")
-POOLS_SRC = "SELECT 'pool-' || n_nationkey AS instance_pool_id, n_name AS instance_pool_name FROM nation"
-POOLS_TGT = ("SELECT 'pool-' || (n_nationkey + 1000) AS instance_pool_id, n_name AS instance_pool_name "
-             "FROM nation WHERE n_nationkey % 5 <> 0")
+POOLS_SRC = ("SELECT 'pool-' || n_nationkey AS instance_pool_id, n_name AS instance_pool_name, n_regionkey "
+             "FROM nation")
+POOLS_LISTED = """SELECT 'pool-' || (n_nationkey + 1000) AS instance_pool_id, n_name AS instance_pool_name,
+    1 AS ord FROM nation WHERE n_nationkey % 5 <> 0
+  UNION ALL SELECT 'pool-' || (n_nationkey + 2000), n_name, 2 FROM nation
+  WHERE n_nationkey % 5 <> 0 AND n_nationkey % 3 = 0"""
+POOLS_TGT = f"""SELECT instance_pool_name, arg_max(instance_pool_id, ord) AS instance_pool_id
+  FROM ({POOLS_LISTED}) GROUP BY instance_pool_name"""
 POOL_MAP = f"""SELECT s.instance_pool_name AS name, s.instance_pool_id AS old_id, t.instance_pool_id AS new_id
   FROM ({POOLS_SRC}) s JOIN ({POOLS_TGT}) t ON s.instance_pool_name = t.instance_pool_name"""
 CLUSTERS = """SELECT CAST(c_custkey AS VARCHAR) AS cluster_id,
   CASE WHEN c_custkey % 50 = 0 THEN 'job-' || c_custkey || '-run-' || c_nationkey
        WHEN c_custkey % 70 = 0 THEN 'mlflow-model-' || c_custkey ELSE c_name END AS cluster_name,
   CASE WHEN c_custkey % 2 = 0 THEN 'arn:aws:iam::profile/' || c_nationkey END AS arn,
-  CASE WHEN c_custkey % 5 = 0 THEN 'pool-' || c_nationkey END AS instance_pool_id,
+  CASE WHEN c_custkey % 45 = 0 THEN 'pool-gone' WHEN c_custkey % 5 = 0 THEN 'pool-' || c_nationkey END
+    AS instance_pool_id,
   CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS team,
   'u' || c_custkey AS creator, c_acctbal > 9000 AS pinned, c_custkey, c_nationkey
   FROM customer"""
@@ -163,9 +152,11 @@ UNION ALL
 SELECT DISTINCT 'seg-' || c_mktsegment, c_mktsegment, 'nat-' || c_nationkey, n_name,
   'scim/v2/Groups/nat-' || c_nationkey
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
-GROUPS_TGT = """SELECT 'T-' || displayName AS id, displayName FROM (
-  SELECT DISTINCT c_mktsegment AS displayName FROM customer
-  UNION ALL SELECT n_name FROM nation WHERE n_regionkey <> 2)"""
+GROUPS_LISTED = """SELECT 'T-' || displayName AS id, displayName, 1 AS ord FROM (
+    SELECT DISTINCT c_mktsegment AS displayName FROM customer
+    UNION ALL SELECT n_name FROM nation WHERE n_regionkey <> 2)
+  UNION ALL SELECT 'T2-' || n_name, n_name, 2 FROM nation WHERE n_regionkey = 0"""
+GROUPS_TGT = f"SELECT displayName, arg_max(id, ord) AS id FROM ({GROUPS_LISTED}) GROUP BY displayName"
 ENRICHED = f"""
 SELECT m.group_name, m.value, m.display,
   CASE WHEN m.ref IS NULL THEN NULL WHEN contains(m.ref, 'scim/v2/Users') THEN 'user' ELSE 'group' END AS type,
@@ -204,12 +195,13 @@ SELECT path, object_id, CAST(len({PARTS.format(p='path')}) AS INTEGER) AS depth
 FROM ({WS_ITEMS}) WHERE path <> '/' AND {TRASH_KEEP}"""
 ACLS = f"""SELECT '/' || CASE WHEN object_type = 'NOTEBOOK' THEN 'notebooks' ELSE 'directories' END
     || '/' || object_id AS object_id,
-  '[{{"user_name":"' || regexp_extract(path, '^/Users/([^/]*)', 1) || '","permission_level":"CAN_MANAGE"}}]'
-    AS access_control_list
-  FROM ({WS_ITEMS}) WHERE object_id % 2 = 0 AND object_type IN ('NOTEBOOK', 'DIRECTORY')"""
+  '[{{"user_name":"' || regexp_extract(path, '^/Users/([^/]*)', 1) || '","permission_level":"' || l.lvl || '"}}]'
+    AS access_control_list, l.ord AS ord
+  FROM ({WS_ITEMS}) JOIN (VALUES ('CAN_MANAGE', 1::BIGINT, 2), ('CAN_READ', 2::BIGINT, 12)) l(lvl, ord, every)
+  ON object_id % l.every = 0 WHERE object_type IN ('NOTEBOOK', 'DIRECTORY')"""
 ORACLE["jn8_attach_acls"] = f"""
 SELECT i.object_id, 'notebooks' AS kind, '/notebooks/' || i.object_id AS ref,
-  '/permissions/notebooks/' || i.object_id AS permissions_path, a.access_control_list,
+  '/permissions/notebooks/' || i.object_id AS permissions_path, a.access_control_list, a.ord AS acl_order,
   a.access_control_list IS NOT NULL AS has_acl
 FROM ({WS_ITEMS}) i LEFT JOIN ({ACLS}) a ON a.object_id = '/notebooks/' || i.object_id
 WHERE i.object_type = 'NOTEBOOK'"""
@@ -260,8 +252,9 @@ UNION ALL SELECT exported_users, current_users, CASE WHEN current_users = 0 THEN
   true FROM c
 UNION ALL SELECT exported_users, 0, 'NO_USERS', true FROM c"""
 
-FAILED = """SELECT CASE WHEN p_partkey % 17 = 0 THEN 'db' || (p_partkey % 20) || '.t' || p_partkey || '.x'
-  ELSE 'db' || (p_partkey % 20) || '.t' || p_partkey END AS "table" FROM part WHERE p_size % 3 = 0"""
+TABLE_NAMES = """SELECT CASE WHEN p_partkey % 17 = 0 THEN 'db' || (p_partkey % 20) || '.t' || p_partkey || '.x'
+  ELSE 'db' || (p_partkey % 20) || '.t' || p_partkey END AS "table", p_size FROM part"""
+FAILED = f"SELECT \"table\" FROM ({TABLE_NAMES}) WHERE p_size % 3 = 0"
 ATTEMPTS = """SELECT 'db' || (l_partkey % 20) || '.t' || l_partkey AS "table", 'arn:role/R' || n_regionkey AS role,
   n_regionkey AS ord, (l_orderkey + l_linenumber) % 29 = 0 AS ok
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""
@@ -320,7 +313,7 @@ SELECT path, CASE WHEN regexp_matches(regexp_extract(path, '^(.*/)', 1), '^/+$')
 ORACLE["sc3_strip_ext"] = f"SELECT path || '.dbc' AS artifact, path FROM ({WS_ITEMS})"
 ORACLE["sc4_split_qualified"] = f"""
 SELECT "table", split_part("table", '.', 1) AS db, split_part("table", '.', 2) AS table_name,
-  coalesce(regexp_matches("table", '^[^.]+\\.[^.]+$'), false) AS ok FROM ({FAILED})"""
+  coalesce(regexp_matches("table", '^[^.]+\\.[^.]+$'), false) AS ok FROM ({TABLE_NAMES})"""
 ORACLE["sc5_base64"] = """
 SELECT doc_id, md5(to_base64(encode(text))) AS b64_md5, CAST(length(to_base64(encode(text))) AS INTEGER) AS b64_len,
   decode(from_base64(to_base64(encode(text)))) = text AS roundtrip_ok FROM documents"""
@@ -352,7 +345,7 @@ FROM ({CLUSTERS}) c LEFT JOIN ({POOL_MAP}) m ON c.instance_pool_id = m.old_id
 WHERE c.instance_pool_id IS NOT NULL"""
 ROLE_DELTA = f"{ROLES.format(r=0)} EXCEPT {ROLES.format(r=1)}"
 ROLE_PATCHES = f"""
-SELECT "user", CAST(count(*) AS INTEGER) AS n_roles,
+SELECT "user", CAST(0 AS BIGINT) AS batch, CAST(count(*) AS INTEGER) AS n_roles,
   '{{"schemas":["{PATCH_URN}"],"Operations":[{{"op":"add","path":"roles","value":['
   || string_agg('{{"value":"' || role || '"}}', ',' ORDER BY role) || ']}}]}}' AS patch
 FROM ({ROLE_DELTA}) GROUP BY "user" """
@@ -366,32 +359,31 @@ SELECT job_id, 'aws' AS cloud, '{AWS_DEFAULT_JSON}' AS new_cluster FROM r
 UNION ALL SELECT job_id, 'azure', '{AZURE_DEFAULT_JSON}' FROM r"""
 ORACLE["sc14_wrap_values"] = f"""
 SELECT "user", '[' || string_agg('{{"value":"' || role || '"}}', ',' ORDER BY role) || ']' AS roles_json
-FROM ({ROLES.format(r=0)}) GROUP BY "user" """
+FROM ({ROLES.replace(' WHERE o_orderkey % 2 = {r}', '')}) GROUP BY "user" """
 ORACLE["sc15_object_ref"] = f"""
 WITH k AS (SELECT CASE WHEN object_type = 'NOTEBOOK' THEN 'notebooks' ELSE 'directories' END AS kind, object_id
            FROM ({WS_ITEMS}) WHERE object_type IN ('NOTEBOOK', 'DIRECTORY'))
 SELECT '/' || kind || '/' || object_id AS ref, '/permissions/' || kind || '/' || object_id AS permissions_path,
   kind, CAST(object_id AS VARCHAR) AS id FROM k"""
 TABLE_DEFS = """
-SELECT 'db' || (p_partkey % 20) AS db, 't' || p_partkey AS "table",
+SELECT 'db' || (p_partkey % 20) AS db, 't' || p_partkey AS "table", p_size % 20 + 1 AS cols,
+  CASE WHEN p_size % 3 = 0 THEN 'CSV' WHEN p_size % 3 = 1 THEN 'PARQUET' ELSE 'JSON' END AS prov,
+  CASE WHEN p_partkey % 2 = 0 THEN '/data/' || p_partkey ELSE '' END AS loc,
   'CREATE TABLE `db' || (p_partkey % 20) || '`.`t' || p_partkey || '` ('
-  || array_to_string(list_transform(range(1, p_size % 20 + 2), lambda i: '`c' || i || '` '
-       || CASE WHEN i % 3 = 0 THEN 'INT' WHEN i % 3 = 1 THEN 'STRING' ELSE 'DOUBLE' END), ', ')
+  || array_to_string(list_transform(range(1, p_size % 20 + 2), lambda i:
+       CASE WHEN p_partkey % 2 = 0 THEN '`' ELSE '' END || 'c' || i
+       || CASE WHEN p_partkey % 2 = 0 THEN '`' ELSE '' END || ' '
+       || CASE i % 5 WHEN 0 THEN 'INT' WHEN 1 THEN 'STRING COMMENT ' || chr(39) || 'a, `x` INT) COMMENT' || chr(39)
+          WHEN 2 THEN 'DECIMAL(10,2) COMMENT ' || chr(39) || 'x' || chr(39) WHEN 3 THEN 'STRUCT<a:INT,b:ARRAY<STRING>>'
+          ELSE 'MAP<STRING,DECIMAL(5,1)>' END), ', ')
   || ')' || chr(10) || 'USING ' || CASE WHEN p_size % 3 = 0 THEN 'CSV' WHEN p_size % 3 = 1 THEN 'PARQUET'
        ELSE 'JSON' END
   || CASE WHEN p_partkey % 2 = 0 THEN chr(10) || 'OPTIONS (' || chr(10) || '  `header` ''true'',' || chr(10)
-       || '  path ''/data/' || p_partkey || '''' || chr(10) || ')' ELSE '' END
-  || chr(10) || 'COMMENT ''' || repeat(p_name, p_size) || '''' AS ddl
+       || '  path ' || chr(39) || '/data/' || p_partkey || chr(39) || chr(10) || ')' ELSE '' END
+  || chr(10) || 'COMMENT ' || chr(39) || repeat(p_name, p_size) || chr(39) AS ddl
 FROM part"""
-COLUMN_LIST = (r"(?s)^\s*CREATE[^(]*?\((.*?)\)\s*"
-               r"(?:USING|STORED|PARTITIONED|CLUSTERED|COMMENT|LOCATION|TBLPROPERTIES|ROW|OPTIONS|$)")
-DDL_FACTS = f"""
-upper(regexp_extract(ddl, '(?i)\\bUSING\\s+([A-Za-z0-9_.]+)', 1)) AS provider,
-CASE WHEN regexp_extract(ddl, '(?i)\\bpath\\s+''([^'']*)''', 1) <> ''
-     THEN regexp_extract(ddl, '(?i)\\bpath\\s+''([^'']*)''', 1)
-     ELSE regexp_extract(ddl, '(?i)\\bLOCATION\\s+''([^'']*)''', 1) END AS location,
-CAST(len(regexp_extract_all(regexp_extract(ddl, '{COLUMN_LIST}', 1), '(?:^|,\\s*)`[^`]+` ', 0)) AS INTEGER)
-  AS n_columns"""
+# The facts are known from how the definitions were made; nothing is parsed.
+DDL_FACTS = "prov AS provider, loc AS location, CAST(cols AS INTEGER) AS n_columns"
 ORACLE["sc16_ddl_facts"] = f"SELECT db, \"table\", {DDL_FACTS} FROM ({TABLE_DEFS})"
 ORACLE["sc17_clean_key"] = "SELECT c_custkey, c_name AS \"user\", 'db' || c_nationkey AS db FROM customer"
 
@@ -399,12 +391,14 @@ ORACLE["sc17_clean_key"] = "SELECT c_custkey, c_name AS \"user\", 'db' || c_nati
 # Composite plans
 # ---------------------------------------------------------------------------
 def _plan(kind, key, action, target_id="NULL::VARCHAR", n_items="0", payload="NULL::VARCHAR",
-          stage=0):
+          stage=0, target_ref="NULL::VARCHAR"):
     return (f"'{kind}' AS kind, CAST({key} AS VARCHAR) AS key, {action} AS action, "
-            f"CAST({target_id} AS VARCHAR) AS target_id, CAST({n_items} AS BIGINT) AS n_items, "
+            f"CAST({target_id} AS VARCHAR) AS target_id, CAST({target_ref} AS VARCHAR) AS target_ref, "
+            f"CAST({n_items} AS BIGINT) AS n_items, "
             f"CAST({payload} AS VARCHAR) AS payload, {stage} AS stage")
 
 
+# Users missing on the target are created first, so their roles follow.
 ORACLE["pl1_plan_users"] = f"""
 SELECT {_plan('user', 's.userName', "CASE WHEN t.userName IS NULL THEN 'create' ELSE 'skip_existing' END",
               payload="""CASE WHEN t.userName IS NULL THEN '{"userName":"' || s.userName || '"}' END""",
@@ -412,15 +406,34 @@ SELECT {_plan('user', 's.userName', "CASE WHEN t.userName IS NULL THEN 'create'
 FROM ({SRC_USERS}) s LEFT JOIN (SELECT DISTINCT userName FROM ({TGT_USERS})) t ON s.userName = t.userName
 WHERE s.userName IS NOT NULL
 UNION ALL
-SELECT {_plan('user_roles', 'p."user"', "CASE WHEN t.id IS NULL THEN 'unknown_user' ELSE 'add_roles' END",
-              't.id', 'p.n_roles', 'p.patch', 5)}
-FROM ({ROLE_PATCHES}) p LEFT JOIN ({TGT_USERS}) t ON p."user" = t.userName"""
+SELECT {_plan('user_roles', 'p."user"', """CASE WHEN t.id IS NOT NULL THEN 'add_roles'
+                WHEN s.userName IS NOT NULL THEN 'add_roles_after_create' ELSE 'unknown_user' END""",
+              't.id', 'p.n_roles', 'p.patch', 5,
+              """CASE WHEN t.id IS NULL AND s.userName IS NOT NULL THEN 'user:' || p."user" END""")}
+FROM ({ROLE_PATCHES}) p LEFT JOIN ({TGT_USERS}) t ON p."user" = t.userName
+LEFT JOIN (SELECT DISTINCT userName FROM ({SRC_USERS})) s ON p."user" = s.userName"""
 
 GROUP_PATCHES = ORACLE["ag6_regroup_members"]
 GROUPS_SRC = """SELECT DISTINCT 'seg-' || c_mktsegment AS id, c_mktsegment AS displayName FROM customer
   UNION ALL SELECT 'nat-' || n_nationkey, n_name FROM nation"""
 GROUP_ROLES = """SELECT DISTINCT c_mktsegment AS group_name, o_orderpriority AS role
   FROM orders JOIN customer ON o_custkey = c_custkey"""
+# Members of groups, or in groups, that are created first: references by name.
+LATER = f"""
+WITH l AS (SELECT DISTINCT e.group_name, g.id AS gid,
+    coalesce(tu.id, tg.id, CASE WHEN e.type = 'user' THEN 'user:' || e.userName ELSE 'group:' || e.display END)
+      AS token, g.id IS NULL OR coalesce(tu.id, tg.id) IS NULL AS later
+  FROM ({ENRICHED}) e
+  LEFT JOIN ({TGT_USERS}) tu ON e.type = 'user' AND e.userName = tu.userName
+  LEFT JOIN ({GROUPS_TGT}) tg ON e.type = 'group' AND e.display = tg.displayName
+  LEFT JOIN ({GROUPS_TGT}) g ON e.group_name = g.displayName
+  WHERE e.status = 'ok'),
+b AS (SELECT *, (row_number() OVER (PARTITION BY group_name ORDER BY token) - 1) // 100 AS batch
+      FROM l WHERE later)
+SELECT group_name, gid, CAST(batch AS BIGINT) AS batch, count(*) AS n,
+  '{{"schemas":["{PATCH_URN}"],"Operations":[{{"op":"add","value":{{"members":['
+  || string_agg('{{"value":"' || token || '"}}', ',' ORDER BY token) || ']}}}}]}}' AS patch
+FROM b GROUP BY group_name, gid, batch"""
 ORACLE["pl2_plan_groups"] = f"""
 SELECT {_plan('group', 'g.displayName', "CASE WHEN t.id IS NULL THEN 'create' ELSE 'skip_existing' END",
               stage=3)}
@@ -430,52 +443,104 @@ SELECT {_plan('group_members', "target_group_id || '#' || batch", "'add_members'
               'n_members', 'patch', 3)}
 FROM ({GROUP_PATCHES})
 UNION ALL
-SELECT {_plan('group_members', "group_name || '#' || value", 'status', stage=3)}
-FROM ({ENRICHED}) WHERE status <> 'ok'
+SELECT {_plan('group_members', "group_name || '#' || batch", "'add_members_after_create'", 'gid', 'n', 'patch', 3,
+              "CASE WHEN gid IS NULL THEN 'group:' || group_name END")}
+FROM ({LATER})
 UNION ALL
 SELECT {_plan('group_members', "group_name || '#' || value", 'status', stage=3)}
-FROM ({RESOLVED}) WHERE status <> 'resolved'
+FROM ({ENRICHED}) WHERE status <> 'ok'
 UNION ALL
-SELECT {_plan('group_roles', 'r.group_name', "CASE WHEN t.id IS NULL THEN 'unresolved_group' ELSE 'add_roles' END",
-              't.id', 'r.n', 'r.patch', 4)}
+SELECT {_plan('group_roles', 'r.group_name', """CASE WHEN t.id IS NULL THEN 'add_roles_after_create'
+                ELSE 'add_roles' END""", 't.id', 'r.n', 'r.patch', 4,
+              "CASE WHEN t.id IS NULL THEN 'group:' || r.group_name END")}
 FROM (SELECT group_name, count(*) AS n,
         '{{"schemas":["{PATCH_URN}"],"Operations":[{{"op":"add","path":"roles","value":['
         || string_agg('{{"value":"' || role || '"}}', ',' ORDER BY role) || ']}}]}}' AS patch
       FROM ({GROUP_ROLES}) GROUP BY group_name) r
 LEFT JOIN ({GROUPS_TGT}) t ON r.group_name = t.displayName"""
 
-ORACLE["pl3_plan_clusters"] = f"""
-WITH c AS (SELECT c.*, coalesce(regexp_matches(cluster_name, '^job-[0-9]+-run-[0-9]+$')
-                  OR starts_with(cluster_name, 'mlflow-model-'), false) AS automated,
-             CASE WHEN arn IN (SELECT arn FROM ({REGISTERED})) THEN arn END AS kept_arn,
-             cluster_name IN (SELECT cluster_name FROM ({TGT_CLUSTERS})) AS exists_tgt
-           FROM ({CLUSTERS}) c),
-m AS ({POOL_MAP})
-SELECT cluster_id AS key,
+CLUSTER_REST = (',"init_scripts":[{"dbfs":{"destination":"dbfs:/i.sh"}}],"cluster_log_conf":'
+                '{"dbfs":{"destination":"dbfs:/logs"}}')
+# A pool that is missing on the target is created first when it was exported.
+DECIDED = f"""
+SELECT c.*, m.new_id, s.instance_pool_name AS pool_name,
   CASE WHEN automated THEN 'skip_automated' WHEN exists_tgt THEN 'skip_existing'
-       WHEN instance_pool_id IS NOT NULL AND m.new_id IS NULL THEN 'unresolved_pool'
+       WHEN c.instance_pool_id IS NOT NULL AND s.instance_pool_id IS NULL THEN 'unresolved_pool'
        WHEN pinned THEN 'create_and_pin' ELSE 'create' END AS action,
-  CASE WHEN NOT automated AND NOT exists_tgt THEN m.new_id END AS target_id, 7 AS stage,
-  CASE WHEN NOT automated AND NOT exists_tgt THEN creator END AS creator_tag,
-  CASE WHEN NOT automated AND NOT exists_tgt THEN kept_arn END AS profile,
-  CASE WHEN NOT automated AND NOT exists_tgt AND instance_pool_id IS NULL THEN 'i3.xlarge' END AS node_type_id
-FROM c LEFT JOIN m ON c.instance_pool_id = m.old_id"""
+  NOT automated AND NOT exists_tgt AS work
+FROM (SELECT c.*, coalesce(regexp_matches(cluster_name, '^job-[0-9]+-run-[0-9]+$')
+        OR starts_with(cluster_name, 'mlflow-model-'), false) AS automated,
+        CASE WHEN arn IN (SELECT arn FROM ({REGISTERED})) THEN arn END AS kept_arn,
+        cluster_name IN (SELECT cluster_name FROM ({TGT_CLUSTERS})) AS exists_tgt
+      FROM ({CLUSTERS}) c) c
+LEFT JOIN ({POOL_MAP}) m ON c.instance_pool_id = m.old_id
+LEFT JOIN ({POOLS_SRC}) s ON c.instance_pool_id = s.instance_pool_id"""
+# Allow-listed keys in their order; rewritten keys move to the end; nested
+# objects come out with sorted keys.
+CLUSTER_PAYLOAD = f"""'{{"cluster_name":"' || cluster_name || '","spark_version":"' || (c_nationkey % 12 + 1) || '.'
+  || (c_custkey % 4) || '.x-scala2.12"'
+  || CASE WHEN instance_pool_id IS NULL THEN ',"node_type_id":"i3.xlarge","driver_node_type_id":"i3.xlarge"' ELSE '' END
+  || ',"num_workers":' || c_nationkey || ',"autotermination_minutes":60'
+  || CASE WHEN instance_pool_id IS NULL THEN ',"enable_elastic_disk":' || (c_custkey % 2 = 1) ELSE '' END
+  || CASE WHEN pinned THEN ',"pinned_by_user_name":"admin"' ELSE '' END || '{CLUSTER_REST}'
+  || ',"custom_tags":{{"OriginalCreator":"' || creator || '"' || coalesce(',"team":"' || team || '"', '') || '}}'
+  || CASE WHEN instance_pool_id IS NULL
+       THEN ',"aws_attributes":{{"availability":"SPOT_WITH_FALLBACK","ebs_volume_size":100,'
+         || '"ebs_volume_type":"GENERAL_PURPOSE_SSD","first_on_demand":1'
+         || coalesce(',"instance_profile_arn":"' || kept_arn || '"', '') || ',"zone_id":"us-east-1a"}}'
+       ELSE coalesce(',"aws_attributes":{{"instance_profile_arn":"' || kept_arn || '"}}', '')
+         || coalesce(',"instance_pool_id":"' || new_id || '"', '') END || '}}'"""
+ORACLE["pl3_plan_clusters"] = f"""
+SELECT {_plan('cluster', 'cluster_id', 'action', 'CASE WHEN work THEN new_id END',
+              payload=f'CASE WHEN work THEN {CLUSTER_PAYLOAD} END', stage=7,
+              target_ref="CASE WHEN work AND new_id IS NULL THEN 'pool:' || pool_name END")}
+FROM ({DECIDED})"""
 
+# Jobs: an exported cluster that the plan creates is rewired after that.
+SETTINGS_REST = ""","libraries":[{"jar":"dbfs:/x.jar"},{"pypi":{"package":"p"}}],"email_notifications":""" \
+    """{"on_failure":["a@example.com"]},"max_retries":null,"spark_jar_task":""" \
+    """{"main_class_name":"m.M","parameters":["1",2,1.5]}"""
+DEFAULT_SORTED = ('{"enable_elastic_disk":false,"node_type_id":"i3.xlarge","num_workers":8,'
+                  '"spark_env_vars":{"PYSPARK_PYTHON":"/usr/bin/python3"},"spark_version":"6.1.x-scala2.11"}')
+PLANNED_JOBS = f"""
+SELECT j.job_id, j.name, j.ecid, m.new_id, d.cluster_name AS later_name,
+  CASE WHEN j.ecid IS NULL THEN 'new_cluster' WHEN m.new_id IS NOT NULL THEN 'rewired'
+       WHEN d.cluster_id IS NOT NULL THEN 'rewire_after_create' ELSE 'reset_default' END AS outcome,
+  '{{"name":"' || j.name || '","schedule":{{"quartz_cron_expression":"0 0 ' || (j.job_id % 24)
+    || ' * * ?","timezone_id":"UTC"}}{SETTINGS_REST}' AS body
+FROM ({JOBS}) j
+LEFT JOIN (SELECT c.cluster_id AS old_id, t.cluster_id AS new_id FROM ({CLUSTERS}) c
+           JOIN ({TGT_CLUSTERS}) t ON c.cluster_name = t.cluster_name) m ON j.ecid = m.old_id
+LEFT JOIN (SELECT cluster_id, cluster_name FROM ({DECIDED}) WHERE action IN ('create', 'create_and_pin')) d
+  ON j.ecid = d.cluster_id"""
+ORACLE["pl4_plan_jobs"] = f"""
+SELECT job_id, name AS job_name, 'create' AS action, outcome, ecid AS old_cluster_id,
+  CASE WHEN outcome = 'rewired' THEN new_id END AS new_cluster_id,
+  CASE WHEN outcome = 'rewire_after_create' THEN 'cluster:' || later_name END AS target_ref,
+  CASE WHEN outcome = 'reset_default' THEN '6.1.x-scala2.11' END AS new_cluster_version,
+  body || CASE outcome WHEN 'rewired' THEN ',"existing_cluster_id":"' || new_id || '"'
+               WHEN 'reset_default' THEN ',"new_cluster":{DEFAULT_SORTED}' ELSE '' END || '}}' AS settings_json,
+  8 AS stage
+FROM ({PLANNED_JOBS})"""
+
+# Folders are tested by the path they get, so archive folders are created.
+USER_ROOT = f"({{p}} IN ('/Users/', '/Users') OR (len({PARTS}) = 2 AND {PARTS}[1] = 'Users'))"
 WS_HOME_ROUTE = f"""
 WITH listed AS (SELECT *, {PARTS.format(p='path')} AS parts FROM ({WS_ITEMS}) WHERE {{scope}} AND {TRASH_KEEP}),
 work AS (SELECT *, CASE WHEN len(parts) >= 2 AND parts[1] = 'Users' THEN parts[2] END AS u FROM listed
-         WHERE object_type = 'NOTEBOOK' OR (object_type = 'DIRECTORY'
-           AND NOT (path IN ('/Users/', '/Users') OR (len(parts) = 2 AND parts[1] = 'Users')))),
-r AS (SELECT w.*, w.u IS NOT NULL AND h.home IS NULL AS missing FROM work w LEFT JOIN ({HOMES}) h ON w.u = h.home)
-SELECT path, object_type,
+         WHERE object_type IN ('NOTEBOOK', 'DIRECTORY')),
+r AS (SELECT w.*, w.u IS NOT NULL AND h.home IS NULL AS missing FROM work w LEFT JOIN ({HOMES}) h ON w.u = h.home),
+o AS (SELECT path, object_type,
   CASE WHEN object_type = 'DIRECTORY' THEN CASE WHEN missing AND NOT {{arch}} THEN 'blocked' ELSE 'mkdir' END
        WHEN NOT missing THEN 'upload' WHEN {{arch}} THEN 'archive' ELSE 'blocked' END AS action,
   CASE WHEN missing AND {{arch}} THEN regexp_replace(path, '^(/*)Users', '\\1Archive') ELSE path END
     AS upload_path, 9 AS stage
-FROM r"""
+FROM r)
+SELECT * FROM o WHERE NOT (object_type = 'DIRECTORY' AND {USER_ROOT.format(p='upload_path')})"""
 ORACLE["pl5_plan_workspace"] = WS_HOME_ROUTE.replace("{scope}", "path <> '/'").replace("{arch}", "true")
-ORACLE["pl9_plan_home"] = (WS_HOME_ROUTE.replace("{scope}", "starts_with(path, '/Users/u1/')")
-                           .replace("{arch}", "false"))
+ORACLE["pl9_plan_home"] = " UNION ALL ".join(
+    "SELECT * FROM (" + WS_HOME_ROUTE.replace("{scope}", f"starts_with(path, '/Users/{u}/')")
+    .replace("{arch}", arch) + ")" for u, arch in (("u1", "false"), ("u4", "true")))
 PROFILES_SRC = "SELECT 'arn:aws:iam::profile/' || n_nationkey AS arn FROM nation"
 ORACLE["pl6_plan_profiles_pools"] = f"""
 SELECT {_plan('instance_profile', 's.arn', "CASE WHEN r.arn IS NULL THEN 'create' ELSE 'skip_existing' END",
@@ -484,17 +549,22 @@ FROM ({PROFILES_SRC}) s LEFT JOIN ({REGISTERED}) r ON s.arn = r.arn
 UNION ALL
 SELECT {_plan('instance_pool', 's.instance_pool_name',
               "CASE WHEN t.instance_pool_name IS NULL THEN 'create' ELSE 'skip_existing' END",
-              "CASE WHEN t.instance_pool_name IS NULL THEN s.instance_pool_id END", stage=6)}
+              payload="""CASE WHEN t.instance_pool_name IS NULL THEN '{"instance_pool_id":"' || s.instance_pool_id
+                || '","instance_pool_name":"' || s.instance_pool_name || '","min_idle_instances":'
+                || s.n_regionkey || ',"custom":{"b":[1,null],"a":1.0}}' END""", stage=6)}
 FROM ({POOLS_SRC}) s LEFT JOIN ({POOLS_TGT}) t ON s.instance_pool_name = t.instance_pool_name"""
 ORACLE["pl7_plan_acls"] = f"""
 SELECT '/' || k.kind || '/' || i.object_id AS ref, '/permissions/' || k.kind || '/' || i.object_id
-  AS permissions_path, a.access_control_list, k.ord AS apply_order, 10 AS stage
+  AS permissions_path, a.access_control_list, a.ord AS acl_order, k.ord AS apply_order,
+  t.object_id AS target_object_id, '/permissions/' || k.kind || '/' || t.object_id AS target_permissions_path,
+  10 AS stage
 FROM ({WS_ITEMS}) i
 JOIN (VALUES ('NOTEBOOK', 'notebooks', 1), ('DIRECTORY', 'directories', 2)) k(t, kind, ord) ON i.object_type = k.t
-LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id"""
+LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id
+LEFT JOIN ({WS_TARGET}) t ON t.path = i.path AND t.object_type = i.object_type"""
 ORACLE["pl8_plan_tables"] = f"""
 SELECT NULL::VARCHAR AS "table", db, 'create_if_absent' AS action, NULL::VARCHAR AS import_route,
-  NULL::VARCHAR AS role, 10 AS stage
+  NULL::VARCHAR AS role, 11 AS stage
 FROM (SELECT db FROM ({TABLE_DEFS}) UNION SELECT split_part("table", '.', 1) FROM ({RETRY})
       WHERE outcome = 'resolved')
 UNION ALL
@@ -502,17 +572,17 @@ SELECT db || '.' || "table" AS "table", db,
   CASE WHEN ddl IS NULL OR length(ddl) <= 0 THEN 'failed' ELSE 'create' END AS action,
   CASE WHEN octet_length(encode(ddl)) IS NULL OR octet_length(encode(ddl)) <= 0 THEN 'error'
        WHEN octet_length(encode(ddl)) > 1024 THEN 'upload' ELSE 'inline' END AS import_route,
-  NULL::VARCHAR AS role, 11 AS stage
+  NULL::VARCHAR AS role, 12 AS stage
 FROM ({TABLE_DEFS})
 UNION ALL
 SELECT "table", CASE WHEN outcome <> 'invalid' THEN split_part("table", '.', 1) END AS db,
   CASE outcome WHEN 'resolved' THEN 'create_after_retry' WHEN 'remaining' THEN 'failed' ELSE 'invalid_name' END,
-  NULL::VARCHAR, role, 11
+  NULL::VARCHAR, role, 12
 FROM ({RETRY})"""
 ORACLE["pl10_plan_cleanup"] = f"""
-SELECT 'cluster' AS kind, cluster_id AS key, 'unpin' AS action, 1 AS stage FROM ({TGT_CLUSTERS})
-UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', 2 FROM ({TGT_CLUSTERS})
-UNION ALL SELECT 'job', CAST(o_orderkey AS VARCHAR), 'delete', 3 FROM orders"""
+SELECT 'cluster' AS kind, cluster_id AS key, 'unpin' AS action, 101 AS stage FROM ({TGT_CLUSTERS})
+UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', 102 FROM ({TGT_CLUSTERS})
+UNION ALL SELECT 'job', CAST(o_orderkey AS VARCHAR), 'delete', 103 FROM orders"""
 
 # ---------------------------------------------------------------------------
 # Sources and sinks (the oracle reads the tables the round trip started from)
@@ -533,7 +603,9 @@ FROM events, (VALUES (1), (2)) t(x) WHERE event_type = 'click'
 UNION ALL
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT), 'elements' FROM events WHERE event_type = 'view'"""
 ORACLE["snk1_write_jsonl"] = "SELECT event_id, user_id, event_type, value FROM events"
-ORACLE["snk2_append_jsonl"] = "SELECT event_id, user_id, event_type FROM events"
+ORACLE["snk2_append_jsonl"] = """
+SELECT event_id, CASE WHEN event_type = 'error' THEN user_id + 1000 ELSE user_id END AS user_id, event_type
+FROM events"""
 ORACLE["snk3_write_by_key"] = f"""
 SELECT db, "table", CAST(length(ddl) AS INTEGER) AS n_chars FROM ({TABLE_DEFS})"""
 ORACLE["flt11_scope_database"] = f"""
@@ -545,8 +617,12 @@ SELECT '/Shared/doc' || doc_id AS path, CAST(octet_length(encode(text)) AS INTEG
   md5(text) AS md5 FROM documents"""
 
 ORACLE["stream_ingest_logs"] = """
-SELECT event_id, CASE WHEN event_type = 'error' THEN user_id + 1000 ELSE user_id END AS user_id, event_type
+SELECT event_id, CASE event_type WHEN 'error' THEN user_id + 1000 WHEN 'view' THEN user_id + 2000 ELSE user_id
+  END AS user_id, event_type
 FROM events"""
+ORACLE["src4_read_artifact_tree"] = """
+SELECT '/artifact=s' || s_suppkey || '%2520x' AS path, CAST(length(s_name || ' ' || s_nationkey) + 1 AS BIGINT) AS n_bytes,
+  md5(s_name || ' ' || s_nationkey || chr(10)) AS content_md5 FROM supplier"""
 
 IMPORT_FILES = f"""SELECT path || '.dbc' AS file FROM ({WS_ITEMS}) WHERE object_type = 'NOTEBOOK' AND path <> '/'
   AND {TRASH_KEEP}"""
@@ -558,18 +634,17 @@ fo AS (SELECT DISTINCT '/' || array_to_string(parts[1:i], '/') AS path
        FROM (SELECT parts, unnest(range(1, len(parts))) AS i FROM np WHERE len(parts) >= 2)),
 items AS (SELECT path, parts, object_type FROM nb
           UNION ALL SELECT path, {PARTS.format(p='path')}, 'DIRECTORY' FROM fo),
-work AS (SELECT *, CASE WHEN len(parts) >= 2 AND parts[1] = 'Users' THEN parts[2] END AS u FROM items
-         WHERE object_type = 'NOTEBOOK'
-            OR NOT (path IN ('/Users/', '/Users') OR (len(parts) = 2 AND parts[1] = 'Users'))),
-r AS (SELECT w.*, w.u IS NOT NULL AND h.home IS NULL AS missing FROM work w LEFT JOIN ({HOMES}) h ON w.u = h.home)
-SELECT path, object_type,
+work AS (SELECT *, CASE WHEN len(parts) >= 2 AND parts[1] = 'Users' THEN parts[2] END AS u FROM items),
+r AS (SELECT w.*, w.u IS NOT NULL AND h.home IS NULL AS missing FROM work w LEFT JOIN ({HOMES}) h ON w.u = h.home),
+o AS (SELECT path, object_type,
   CASE WHEN object_type = 'DIRECTORY' THEN 'mkdir' WHEN NOT missing THEN 'upload' ELSE 'archive' END AS action,
   CASE WHEN missing THEN regexp_replace(path, '^(/*)Users', '\\1Archive') ELSE path END AS upload_path,
   9 AS stage
-FROM r"""
+FROM r)
+SELECT * FROM o WHERE NOT (object_type = 'DIRECTORY' AND {USER_ROOT.format(p='upload_path')})"""
 
 ORACLE["pl4_outcome_counts"] = f"""
-SELECT outcome, count(*) AS n_jobs FROM ({ORACLE["pl4_plan_jobs"]}) GROUP BY outcome"""
+SELECT outcome, count(*) AS n_jobs FROM ({ORACLE["jn3_remap_clusters"]}) GROUP BY outcome"""
 ORACLE["so1_delta_count"] = f"SELECT count(*) AS n_role_rows FROM ({ROLE_DELTA})"
 ORACLE["sc10_route_counts"] = """
 SELECT count(*) FILTER (WHERE length(text) > 2048) AS n_export_file,
@@ -594,50 +669,91 @@ TGT_ROLE_PAIRS = (f"SELECT DISTINCT r.\"user\", r.role FROM ({ROLES.format(r=1)}
 SRC_ROLE_PAIRS = (f"SELECT DISTINCT r.\"user\", r.role FROM ({ROLES.format(r=0)}) r "
                   f"JOIN ({SRC_USERS}) s ON s.userName = r.\"user\"")
 TGT_PROFILES = "SELECT 'arn:aws:iam::profile/' || n_nationkey AS arn FROM nation WHERE n_regionkey IN (0, 1)"
-EXPORTED_CLUSTER_MAP = f"""
-  SELECT c.cluster_name AS name, c.cluster_id AS old_id, t.cluster_id AS new_id
-  FROM ({CLUSTERS}) c JOIN ({TGT_CLUSTERS}) t ON c.cluster_name = t.cluster_name"""
+def _row(kind, key, action, target_id="NULL", target_ref="NULL", n_items="0", stage="0"):
+    return (f"SELECT {kind} AS kind, CAST({key} AS VARCHAR) AS key, CAST({action} AS VARCHAR) AS action, "
+            f"CAST({target_id} AS VARCHAR) AS target_id, CAST({target_ref} AS VARCHAR) AS target_ref, "
+            f"CAST({n_items} AS BIGINT) AS n_items, {stage} AS stage")
+
+
+# Twenty-five notebooks /Users/u<k>/d/x <k>%20.dbc and definitions db<k % 3>.t<k>.
+N_HOMES = f"SELECT n_nationkey AS k, 'u' || n_nationkey IN (SELECT home FROM ({HOMES})) AS home FROM nation"
+N_UP = "'/' || CASE WHEN home THEN 'Users' ELSE 'Archive' END || '/u' || k"
+EXPORT_ROLES = """SELECT "table", arg_min(nk, nk) AS first FROM (
+  SELECT 'db' || (l_partkey % 20) || '.t' || l_partkey AS "table", n_regionkey AS nk,
+    (l_orderkey + l_linenumber) % 29 = 0 AS ok
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
+  WHERE ok AND nk IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 2) GROUP BY "table" """
+EXPORT_FAILED = f"""SELECT DISTINCT f."table", r.first, regexp_matches(f."table", '^[^.]+\\.[^.]+$') AS ok
+  FROM ({FAILED}) f LEFT JOIN ({EXPORT_ROLES}) r ON f."table" = r."table" """
 ORACLE["pl_all_from_exports"] = f"""
-WITH m AS ({EXPORTED_CLUSTER_MAP}), j AS ({JOBS}),
-delta AS (SELECT "user", count(*) AS n FROM ({SRC_ROLE_PAIRS} EXCEPT {TGT_ROLE_PAIRS}) GROUP BY "user")
-SELECT 'job' AS kind, CAST(j.job_id AS VARCHAR) AS key,
-       CASE WHEN j.ecid IS NULL THEN 'new_cluster' WHEN m.new_id IS NULL THEN 'reset_default'
-            ELSE 'rewired' END AS action,
-       CASE WHEN j.ecid IS NOT NULL THEN m.new_id END AS target_id, CAST(0 AS BIGINT) AS n_items, 8 AS stage
-FROM j LEFT JOIN m ON j.ecid = m.old_id
-UNION ALL
-SELECT 'user', s.userName, CASE WHEN t.userName IS NULL THEN 'create' ELSE 'skip_existing' END,
-       NULL, 0, 2
+{_row("'job'", 'job_id', 'outcome', "CASE WHEN outcome = 'rewired' THEN new_id END",
+      "CASE WHEN outcome = 'rewire_after_create' THEN 'cluster:' || later_name END", stage="8")}
+FROM ({PLANNED_JOBS})
+UNION ALL
+{_row("'user'", 's.userName', "CASE WHEN t.userName IS NULL THEN 'create' ELSE 'skip_existing' END", stage="2")}
 FROM ({SRC_USERS}) s LEFT JOIN ({TGT_USERS}) t ON s.userName = t.userName
 UNION ALL
-SELECT 'user_roles', d."user", CASE WHEN t.id IS NULL THEN 'unknown_user' ELSE 'add_roles' END, t.id, d.n, 5
-FROM delta d LEFT JOIN ({TGT_USERS}) t ON d."user" = t.userName
+{_row("'user_roles'", 'd."user"', "CASE WHEN t.id IS NULL THEN 'add_roles_after_create' ELSE 'add_roles' END", 't.id',
+      """CASE WHEN t.id IS NULL THEN 'user:' || d."user" END""", 'd.n', '5')}
+FROM (SELECT "user", count(*) AS n FROM ({SRC_ROLE_PAIRS} EXCEPT {TGT_ROLE_PAIRS}) GROUP BY "user") d
+LEFT JOIN ({TGT_USERS}) t ON d."user" = t.userName
 UNION ALL
-SELECT 'instance_profile', s.arn, CASE WHEN t.arn IS NULL THEN 'create' ELSE 'skip_existing' END, NULL, 0, 1
+{_row("'instance_profile'", 's.arn', "CASE WHEN t.arn IS NULL THEN 'create' ELSE 'skip_existing' END", stage="1")}
 FROM ({REGISTERED}) s LEFT JOIN ({TGT_PROFILES}) t ON s.arn = t.arn
 UNION ALL
-SELECT 'instance_pool', s.instance_pool_name,
-       CASE WHEN t.instance_pool_name IS NULL THEN 'create' ELSE 'skip_existing' END,
-       CASE WHEN t.instance_pool_name IS NULL THEN s.instance_pool_id END, 0, 6
-FROM ({POOLS_SRC}) s LEFT JOIN ({POOLS_TGT}) t ON s.instance_pool_name = t.instance_pool_name
+SELECT kind, key, action, target_id, target_ref, n_items, stage FROM ({ORACLE["pl6_plan_profiles_pools"]})
+WHERE kind = 'instance_pool'
 UNION ALL
-SELECT kind, key, action, target_id, n_items, stage
+SELECT kind, key, action, target_id, target_ref, n_items, stage
 FROM ({ORACLE["pl2_plan_groups"].replace("// 100", "// 1000")})
 UNION ALL
-SELECT 'cluster', key, action, target_id, 0, stage FROM ({ORACLE["pl3_plan_clusters"]})
+SELECT kind, key, action, target_id, target_ref, n_items, stage FROM ({ORACLE["pl3_plan_clusters"]})
 UNION ALL
-SELECT 'cluster', cluster_id, 'unpin', NULL, 0, 1 FROM ({TGT_CLUSTERS})
-UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', NULL, 0, 2 FROM ({TGT_CLUSTERS})
-UNION ALL SELECT 'job', CAST(o_orderkey + 1000000 AS VARCHAR), 'delete', NULL, 0, 3 FROM orders
-  WHERE o_orderkey % 5 = 0
+{_row("split_part(ref, '/', 2)", 'ref', "CASE WHEN access_control_list IS NOT NULL THEN 'set_acl' ELSE 'no_acl' END",
+      'access_control_list', 'target_permissions_path', 'apply_order', 'stage')}
+FROM (SELECT p.* REPLACE (CASE WHEN p.ref LIKE '/directories/%' THEN p.target_permissions_path END
+        AS target_permissions_path) FROM ({ORACLE["pl7_plan_acls"]}) p)
 UNION ALL
-SELECT k.kind, '/' || k.kind || '/' || i.object_id,
-  CASE WHEN a.access_control_list IS NOT NULL THEN 'set_acl' ELSE 'no_acl' END, a.access_control_list,
-  k.ord, 10
-FROM ({WS_ITEMS}) i
-JOIN (VALUES ('NOTEBOOK', 'notebooks', 1), ('DIRECTORY', 'directories', 2)) k(t, kind, ord) ON i.object_type = k.t
-LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id
+{_row("'table'", '"table"', "CASE WHEN NOT ok THEN 'invalid_name' WHEN first IS NULL THEN 'failed' ELSE 'create_after_retry' END",
+      "CASE WHEN ok THEN 'arn:aws:iam::profile/' || first END", stage="12")} FROM ({EXPORT_FAILED})
+UNION ALL
+{_row("'table'", "'db' || (n_nationkey % 3) || '.t' || n_nationkey", "'create'", stage="12")} FROM nation
+UNION ALL
+{_row("'table'", 'db', "'create_if_absent'", stage="11")}
+FROM (SELECT 'db' || (n_nationkey % 3) AS db FROM nation
+      UNION SELECT split_part("table", '.', 1) FROM ({EXPORT_FAILED}) WHERE ok AND first IS NOT NULL)
+UNION ALL
+{_row("'workspace'", N_UP + " || '/d/x ' || k || '%20'", "CASE WHEN home THEN 'upload' ELSE 'archive' END", stage="9")}
+FROM ({N_HOMES})
+UNION ALL
+{_row("'workspace'", N_UP + " || '/d'", "'mkdir'", stage="9")} FROM ({N_HOMES})
+UNION ALL
+{_row("'workspace'", N_UP, "'mkdir'", stage="9")} FROM ({N_HOMES}) WHERE NOT home
+UNION ALL
+{_row("'gate'", f"(SELECT count(*) FROM ({HOMES}))", "'OK'", n_items="(SELECT count(*) FROM nation)")}
+UNION ALL
+{_row("'artifact'", 'path', "'missing'")}
+FROM (SELECT DISTINCT rtrim(path) AS path FROM ({WS_ITEMS}) WHERE object_type = 'NOTEBOOK')
+UNION ALL
+{_row("'library'", 'path', "CASE WHEN object_id % 2 = 0 THEN 'INSTALLED' ELSE 'unknown' END")}
+FROM ({WS_ITEMS}) WHERE object_type = 'LIBRARY'
+UNION ALL
+{_row("'cluster_libraries'", 'c.cluster_id', "'attached'", n_items='coalesce(l.n, 0)')}
+FROM ({CLUSTERS}) c LEFT JOIN (SELECT CAST(l_suppkey AS VARCHAR) AS id, count(DISTINCT l_partkey) AS n
+  FROM lineitem GROUP BY l_suppkey) l ON l.id = c.cluster_id
+UNION ALL
+{_row("'mount'", "'/mnt/' || s_name", "'s3a://b-' || s_nationkey")} FROM supplier
+UNION ALL
+{_row("'dropped_field'", 'f', "'clusters'", n_items='(SELECT count(*) FROM customer)')}
+FROM (VALUES ('state'), ('undeclared')) v(f)
+UNION ALL
+{_row("'dropped_field'", "'id'", "'users'", n_items='(SELECT count(*) FROM customer)')}
+UNION ALL
+{_row("'malformed'", 'l', 's')}
+FROM (VALUES ('users.log', 'source'), ('users.log', 'target'), ('groups/broken', 'source')) v(l, s)
+UNION ALL
+{_row("'ambiguous'", 'instance_pool_name', "'instance_pools'", "'target'", n_items='n')}
+FROM (SELECT instance_pool_name, count(*) AS n FROM ({POOLS_LISTED}) GROUP BY 1 HAVING count(*) > 1)
 UNION ALL
-SELECT 'table', "table", CASE WHEN regexp_matches("table", '^[^.]+\\.[^.]+$') THEN 'failed'
-  ELSE 'invalid_name' END, NULL, 0, 11
-FROM ({FAILED})"""
+{_row("'ambiguous'", 'displayName', "'groups'", "'target'", n_items='n')}
+FROM (SELECT displayName, count(*) AS n FROM ({GROUPS_LISTED}) GROUP BY 1 HAVING count(*) > 1)"""

@@ -24,7 +24,8 @@ from rehome.operators import workspace as WS
 from rehome.operators.batches import assign_batches
 from rehome.operators.clusters import clean_pool_cluster
 from rehome.plans import bindings as B
-from rehome.plans.compute import plan_cleanup, plan_clusters, plan_pools, plan_profiles
+from rehome.plans.compute import (decide_clusters, plan_cleanup, plan_clusters, plan_pools,
+                                  plan_profiles, planned_clusters)
 from rehome.plans.identity import plan_groups, plan_users
 from rehome.plans.jobs import plan_jobs
 from rehome.plans.tables import plan_tables
@@ -46,7 +47,12 @@ def query(name: str):
 
 @query("pl4_plan_jobs")
 def q_pl4(spark, sf):
-    return plan_jobs(B.jobs(spark, sf), B.src_clusters(spark, sf), B.tgt_clusters(spark, sf))
+    """Clusters that the cluster plan creates count as present."""
+    clusters = B.clusters_full(spark, sf).withColumn("ord", F.col("cluster_id").cast("long"))
+    decided = decide_clusters(clusters, B.tgt_clusters(spark, sf), B.profiles_registered(spark, sf),
+                              B.pools_src(spark, sf), B.pools_tgt(spark, sf), ord_col="ord")
+    return plan_jobs(B.jobs(spark, sf), clusters, B.tgt_clusters(spark, sf),
+                     planned_clusters=planned_clusters(decided))
 
 
 # ---------------------------------------------------------------------------
@@ -62,7 +68,7 @@ def q_jn1(spark, sf):
 @query("jn2_remap_pools")
 def q_jn2(spark, sf):
     pm = MP.id_map(B.pools_src(spark, sf), B.pools_tgt(spark, sf), "instance_pool_name",
-                   "instance_pool_id")
+                   "instance_pool_id", "ord")
     cl = B.clusters_full(spark, sf).select("cluster_id", "instance_pool_id")
     return MP.remap_pools(cl, pm).select("cluster_id", F.col("instance_pool_id").alias("old_pool_id"),
                                          "new_pool_id", "pool_status")
@@ -216,12 +222,12 @@ def q_flt10(spark, sf):
 
 
 def _enriched(spark, sf):
-    return MB.enrich_members(B.group_members(spark, sf), B.src_users(spark, sf))
+    return MB.enrich_members(B.group_members(spark, sf), B.src_users(spark, sf), ord_col="ord")
 
 
 def _resolved(spark, sf):
     e = _enriched(spark, sf).where(F.col("status") == "ok")
-    return MB.resolve_members(e, B.tgt_users(spark, sf), B.groups_tgt(spark, sf))
+    return MB.resolve_members(e, B.tgt_users(spark, sf), B.groups_tgt(spark, sf), ord_col="ord")
 
 
 @query("flt7_member_kind")
@@ -255,8 +261,8 @@ def q_hr1(spark, sf):
 @query("jn8_attach_acls")
 def q_jn8(spark, sf):
     nb = FL.filter_item_type(B.ws_items(spark, sf), "NOTEBOOK")
-    return WS.attach_acls(nb, B.acl_docs(spark, sf), "notebooks").select(
-        "object_id", "kind", "ref", "permissions_path", "access_control_list", "has_acl")
+    return WS.attach_acls(nb, B.acl_docs(spark, sf), "notebooks", ord_col="ord").select(
+        "object_id", "kind", "ref", "permissions_path", "access_control_list", "acl_order", "has_acl")
 
 
 @query("so2_union_acls")
@@ -409,7 +415,7 @@ def q_sc3(spark, sf):
 
 @query("sc4_split_qualified")
 def q_sc4(spark, sf):
-    t = B.failed_tables(spark, sf)
+    t = B.table_names(spark, sf)
     db, tb = PL.split_qualified("table")
     return t.select("table", db.alias("db"), tb.alias("table_name"), PL.qualified_ok("table").alias("ok"))
 
@@ -466,7 +472,7 @@ def q_sc10(spark, sf):
 def q_sc11(spark, sf):
     c = B.clusters_full(spark, sf).where(F.col("instance_pool_id").isNotNull())
     pm = MP.id_map(B.pools_src(spark, sf), B.pools_tgt(spark, sf), "instance_pool_name",
-                   "instance_pool_id")
+                   "instance_pool_id", "ord")
     out = clean_pool_cluster(c, pm)
     return out.select("cluster_id", "instance_pool_id", "pool_status", "node_type_id",
                       "enable_elastic_disk",
@@ -496,7 +502,7 @@ def q_sc13(spark, sf):
 
 @query("sc14_wrap_values")
 def q_sc14(spark, sf):
-    r = B.role_pairs(spark, sf, True).groupBy("user").agg(
+    r = B.role_pairs(spark, sf, None).groupBy("user").agg(
         F.sort_array(F.collect_set("role")).alias("roles"))
     return r.select("user", F.to_json(PL.wrap_values("roles")).alias("roles_json"))
 
@@ -541,17 +547,14 @@ def q_pl1(spark, sf):
 def q_pl2(spark, sf):
     return plan_groups(B.groups_src(spark, sf), B.group_members(spark, sf), B.src_users(spark, sf),
                        B.tgt_users(spark, sf), B.groups_tgt(spark, sf), B.group_roles(spark, sf),
-                       max_members=100)
+                       max_members=100, ord_col="ord")
 
 
 @query("pl3_plan_clusters")
 def q_pl3(spark, sf):
-    p = plan_clusters(B.clusters_full(spark, sf), B.tgt_clusters(spark, sf),
-                      B.profiles_registered(spark, sf), B.pools_src(spark, sf), B.pools_tgt(spark, sf))
-    return p.select("key", "action", "target_id", "stage",
-                    F.get_json_object("payload", "$.custom_tags.OriginalCreator").alias("creator_tag"),
-                    F.get_json_object("payload", "$.aws_attributes.instance_profile_arn").alias("profile"),
-                    F.get_json_object("payload", "$.node_type_id").alias("node_type_id"))
+    return plan_clusters(B.clusters_full(spark, sf), B.tgt_clusters(spark, sf),
+                         B.profiles_registered(spark, sf), B.pools_src(spark, sf),
+                         B.pools_tgt(spark, sf), ord_col="ord")
 
 
 @query("pl5_plan_workspace")
@@ -580,8 +583,9 @@ def q_pl6(spark, sf):
 def q_pl7(spark, sf):
     it = B.ws_items(spark, sf)
     p = plan_acls(FL.filter_item_type(it, "NOTEBOOK"), FL.filter_item_type(it, "DIRECTORY"),
-                  B.acl_docs(spark, sf))
-    return p.select("ref", "permissions_path", "access_control_list", "apply_order", "stage")
+                  B.acl_docs(spark, sf), B.ws_target(spark, sf), ord_col="ord")
+    return p.select("ref", "permissions_path", "access_control_list", "acl_order", "apply_order",
+                    "target_object_id", "target_permissions_path", "stage")
 
 
 @query("pl8_plan_tables")
@@ -593,8 +597,14 @@ def q_pl8(spark, sf):
 
 @query("pl9_plan_home")
 def q_pl9(spark, sf):
-    plan, _gate = plan_home(B.ws_items(spark, sf), B.ws_target(spark, sf), "u1", archive_missing=False)
-    return plan.select("path", "object_type", "action", "upload_path", "stage")
+    """One home that exists on the target and one that is archived."""
+    out = None
+    for user, archive in (("u1", False), ("u4", True)):
+        plan, _gate = plan_home(B.ws_items(spark, sf), B.ws_target(spark, sf), user,
+                                archive_missing=archive)
+        plan = plan.select("path", "object_type", "action", "upload_path", "stage")
+        out = plan if out is None else out.unionByName(plan)
+    return out
 
 
 @query("pl10_plan_cleanup")
@@ -660,9 +670,17 @@ def q_src3(spark, sf):
 
 @query("src4_read_artifact_tree")
 def q_src4(spark, sf):
-    """The driver's own table files read as an artifact tree (binary)."""
-    a = RD.read_artifact_tree(spark, sf, ext=".parquet")
-    return a.select("path", "n_bytes", F.md5("content").alias("content_md5"))
+    """One small text artifact per supplier, read back as binary files.  A
+    literal ``%20`` in a name must survive; the text writer adds its folder
+    escaping (``%`` is ``%25`` on disk) and part names."""
+    path = scratch_path(spark, "src4")
+    p = B.table(spark, sf, "supplier")
+    (p.select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string"), F.lit("%20x")).alias("artifact"),
+              F.concat(F.col("s_name"), F.lit(" "), F.col("s_nationkey").cast("string")).alias("value"))
+     .write.mode("overwrite").partitionBy("artifact").text(path))
+    a = RD.read_artifact_tree(spark, path, ext=".txt")
+    return a.select(F.regexp_replace("path", "/[^/]*$", "").alias("path"), "n_bytes",
+                    F.md5("content").alias("content_md5"))
 
 
 @query("src5_unwrap_listing")
@@ -693,8 +711,10 @@ def q_snk2(spark, sf):
     e = B.table(spark, sf, "events").select("event_id", "user_id", "event_type")
     path = scratch_path(spark, "snk2")
     SK.append_jsonl(e, path, reset=True)
-    SK.append_jsonl(e.where(F.col("event_type") == "error"), path)
-    return SK.dedupe_log(RD.read_jsonl(spark, path, EVENT_SCHEMA, keep_corrupt=False), "event_id")
+    SK.append_jsonl(e.where(F.col("event_type") == "error")
+                    .withColumn("user_id", F.col("user_id") + 1000), path)
+    log = RD.read_jsonl(spark, path, EVENT_SCHEMA, keep_corrupt=False, ordered=True)
+    return SK.dedupe_log(log, "event_id")
 
 
 def _written_defs(spark, sf):
@@ -738,9 +758,10 @@ def q_snk5(spark, sf):
 # ---------------------------------------------------------------------------
 @query("stream_ingest_logs")
 def q_stream(spark, sf):
-    """Two export runs land as log files (the second re-exports the error
-    events with a changed user and one truncated line); the stream ingests
-    both and the snapshot keeps the latest version of each event."""
+    """Export runs land as log files (the second re-exports the error events
+    with a changed user and one truncated line, the third the views); the
+    stream ingests them and the snapshot keeps the latest version of each
+    event."""
     from rehome.streaming import ingest_logs, latest_snapshot
     e = B.table(spark, sf, "events").select("event_id", "user_id", "event_type")
     landing = scratch_path(spark, "landing")
@@ -750,9 +771,13 @@ def q_stream(spark, sf):
     rerun_lines = rerun.select(F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value")) \
         .unionByName(spark.range(1).select(F.lit('{"event_id": 1, "user_').alias("value")))
     table_dir, ckpt = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-ckpt")
+    # Both runs are there before the stream starts, in one batch; a third
+    # run's files then land in the same folder and only they are picked up.
+    rerun_lines.coalesce(1).write.mode("append").text(landing)
     ingest_logs(spark, landing, EVENT_SCHEMA, table_dir, checkpoint=ckpt)
-    # the rerun's files land in the same folder; the same checkpoint picks up only them
-    rerun_lines.write.mode("append").text(landing)
+    third = e.where(F.col("event_type") == "view").withColumn("user_id", F.col("user_id") + 2000)
+    third.select(F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value")) \
+        .write.mode("append").text(landing)
     ingest_logs(spark, landing, EVENT_SCHEMA, table_dir, checkpoint=ckpt)
     return latest_snapshot(spark, table_dir, "event_id").select("event_id", "user_id", "event_type")
 
@@ -762,7 +787,7 @@ def q_stream(spark, sf):
 # ---------------------------------------------------------------------------
 @query("pl4_outcome_counts")
 def q_pl4_counts(spark, sf):
-    p = q_pl4(spark, sf)
+    p = q_jn3(spark, sf)
     return p.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_jobs"))
 
 
@@ -800,13 +825,28 @@ def q_jn10_status(spark, sf):
 # ---------------------------------------------------------------------------
 # Switching over: export folders in the reference layout -> plan_all
 # ---------------------------------------------------------------------------
-def _write_export(spark, root, users, clusters, pools, profiles, jobs, dirs):
-    SK.write_jsonl(users, f"{root}/users.log")
-    SK.write_jsonl(clusters, f"{root}/clusters.log")
-    SK.write_jsonl(pools, f"{root}/instance_pools.log")
+def _put_files(spark, root, files):
+    """A few small files under exact names (the writers choose their own)."""
+    for name, text in files.items():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+
+def _write_export(spark, root, users, clusters, pools, profiles, jobs, dirs, notebooks, libraries):
+    broken = spark.range(1).select(F.lit('{"id": "cut", "userNa').alias("value"))
+    (users.select(F.to_json(F.struct("*")).alias("value")).unionByName(broken)
+     .write.mode("overwrite").text(f"{root}/users.log"))
+    for df, name in ((clusters, "clusters"), (pools, "instance_pools"), (jobs, "jobs")):
+        docs = df if "doc" in df.columns else df.select(F.to_json(F.struct("*")).alias("doc"))
+        docs.select(F.col("doc").alias("value")).write.mode("overwrite").text(f"{root}/{name}.log")
     SK.write_jsonl(profiles, f"{root}/instance_profiles.log")
-    SK.write_jsonl(jobs, f"{root}/jobs.log")
     SK.write_jsonl(dirs, f"{root}/user_dirs.log")
+    SK.write_jsonl(notebooks, f"{root}/user_workspace.log")
+    SK.write_jsonl(libraries, f"{root}/libraries.log")
 
 
 def _users_with_roles(users, pairs):
@@ -831,57 +871,114 @@ def _write_group_docs(spark, sf, path):
     SK.write_jsonl(docs, path)
 
 
-@query("pl_all_from_exports")
-def q_pl_all(spark, sf):
-    """Both workspaces exported in the reference layout (from the driver
-    tables), then every plan computed from the two folders."""
-    from rehome.plans.migrate import plan_all
+def export_workspaces(spark, sf, empty_target=False):
+    """Both workspaces in the reference layout, from the driver tables; with
+    ``empty_target`` the target holds home folders only.  Returns both roots."""
     src_dir, tgt_dir = scratch_path(spark, "export-src"), scratch_path(spark, "export-tgt")
-    src_users = B.src_users(spark, sf).select("id", "userName")
-    tgt_users = B.tgt_users(spark, sf).select("id", "userName")
     nation = B.table(spark, sf, "nation")
+    items = B.ws_items(spark, sf)
+
+    def listed(rows, kind):
+        return rows.where(F.col("object_type") == kind).select("path", "object_id")
+    _write_export(spark, src_dir, _users_with_roles(
+        B.src_users(spark, sf).select("id", "userName"), B.role_pairs(spark, sf, True)),
+        B.clusters_full(spark, sf), B.pools_src(spark, sf), B.profiles_registered(spark, sf),
+        B.jobs(spark, sf), listed(items, "DIRECTORY"), listed(items, "NOTEBOOK"),
+        listed(items, "LIBRARY"))
+    _write_group_docs(spark, sf, f"{src_dir}/groups")
+    SK.write_jsonl(B.failed_tables(spark, sf).withColumn("resultType", F.lit("error")),
+                   f"{src_dir}/failed_metastore.log")
+    acls = B.acl_docs(spark, sf).drop("ord")
+    first, again = ~F.col("access_control_list").contains("CAN_READ"), \
+        F.col("access_control_list").contains("CAN_READ")
+    for kind in ("notebooks", "directories"):
+        log, mine = f"{src_dir}/acl_{kind}.log", acls.where(
+            F.col("object_id").startswith(f"/{kind}/"))
+        SK.write_jsonl(mine.where(first), log)
+        SK.append_jsonl(mine.where(again), log)
+    libs = B.table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("cluster_id"), F.col("l_partkey").alias("library_id"))
+    SK.write_jsonl(libs.distinct(), f"{src_dir}/attached_cluster_libs.log")
+    SK.write_jsonl(items.where("object_type = 'LIBRARY' and object_id % 2 = 0").select(
+        F.col("object_id").alias("library_id"), F.lit("INSTALLED").alias("status")),
+        f"{src_dir}/lib_details.log")
+    sup = B.table(spark, sf, "supplier")
+    SK.write_jsonl(sup.select(F.concat(F.lit("/mnt/"), "s_name").alias("path"),
+                              F.concat(F.lit("s3a://b-"), F.col("s_nationkey").cast("string"))
+                              .alias("source"), F.lit("").alias("encryptionType")),
+                   f"{src_dir}/dbfs_mounts.log")
+    # File trees have one file per object; the nation table has 25 rows.
+    keys = sorted(r[0] for r in nation.select("n_nationkey").collect())
+    _put_files(spark, src_dir, {f"artifacts/Users/u{k}/d/x {k}%20.dbc": f"n{k}" for k in keys}
+               | {f"metastore/db{k % 3}/t{k}": f"CREATE TABLE `db{k % 3}`.`t{k}` (`a` INT)\nUSING CSV"
+                  for k in keys} | {"groups/broken": '{"id": "x", "members": ['})
+
+    none = F.lit(not empty_target)
     tgt_profiles = nation.where(F.col("n_regionkey").isin(0, 1)).select(
         F.concat(F.lit(B.ARN_PREFIX), F.col("n_nationkey").cast("string")).alias("instance_profile_arn"))
     tgt_jobs = B.table(spark, sf, "orders").where(F.col("o_orderkey") % 5 == 0).select(
         (F.col("o_orderkey") + 1_000_000).alias("job_id"),
         F.struct(F.concat(F.lit("old-"), F.col("o_orderkey").cast("string")).alias("name")).alias("settings"))
-    _write_export(spark, src_dir, _users_with_roles(src_users, B.role_pairs(spark, sf, True)),
-                  B.clusters_full(spark, sf).drop("state"), B.pools_src(spark, sf),
-                  B.profiles_registered(spark, sf), B.jobs(spark, sf),
-                  B.ws_items(spark, sf).where("object_type = 'DIRECTORY'").select("path", "object_id"))
-    _write_group_docs(spark, sf, f"{src_dir}/groups")
-    SK.write_jsonl(B.failed_tables(spark, sf).withColumn("resultType", F.lit("error")),
-                   f"{src_dir}/failed_metastore.log")
-    items = B.ws_items(spark, sf)
-    SK.write_jsonl(items.where("object_type = 'NOTEBOOK'").select("path", "object_id"),
-                   f"{src_dir}/user_workspace.log")
-    acls = B.acl_docs(spark, sf)
-    SK.write_jsonl(acls.where(F.col("object_id").startswith("/notebooks/")), f"{src_dir}/acl_notebooks.log")
-    SK.write_jsonl(acls.where(F.col("object_id").startswith("/directories/")),
-                   f"{src_dir}/acl_directories.log")
-    SK.write_jsonl(B.groups_tgt(spark, sf), f"{tgt_dir}/groups")
-    _write_export(spark, tgt_dir, _users_with_roles(tgt_users, B.role_pairs(spark, sf, False)),
-                  B.tgt_clusters(spark, sf).select("cluster_id", "cluster_name"), B.pools_tgt(spark, sf),
-                  tgt_profiles, tgt_jobs,
-                  B.ws_target(spark, sf).where("object_type = 'DIRECTORY'").select("path", "object_id"))
-    plans = plan_all(spark, src_dir, tgt_dir)
-    cols = ["kind", "key", "action", "target_id", "n_items", "stage"]
-    jobs = plans["jobs"].select(F.lit("job").alias("kind"), F.col("job_id").cast("string").alias("key"),
-                                F.col("outcome").alias("action"), F.col("new_cluster_id").alias("target_id"),
-                                F.lit(0).cast("bigint").alias("n_items"), "stage")
-    out = jobs
+    homes = B.ws_target(spark, sf)
+    nothing = items.where(F.lit(False))
+    _write_export(spark, tgt_dir, _users_with_roles(
+        B.tgt_users(spark, sf).where(none).select("id", "userName"), B.role_pairs(spark, sf, False)),
+        B.tgt_clusters(spark, sf).where(none).select("cluster_id", "cluster_name"),
+        B.pools_tgt(spark, sf).where(none).drop("ord"), tgt_profiles.where(none),
+        tgt_jobs.where(none), listed(homes, "DIRECTORY"), listed(nothing, "NOTEBOOK"),
+        listed(nothing, "LIBRARY"))
+    SK.write_jsonl(B.groups_tgt(spark, sf).where(none).drop("ord"), f"{tgt_dir}/groups")
+    return src_dir, tgt_dir
+
+
+def all_plan_rows(plans):
+    """Every result of ``plan_all`` in one shape (kind, key, action, target_id,
+    target_ref, n_items, stage)."""
+    none, zero = F.lit(None).cast("string"), F.lit(0).cast("bigint")
+
+    def rows(df, kind, key, action, target_id=none, target_ref=none, n_items=zero, stage=F.lit(0)):
+        return df.select(kind.alias("kind"), key.cast("string").alias("key"),
+                         action.cast("string").alias("action"),
+                         target_id.cast("string").alias("target_id"), target_ref.alias("target_ref"),
+                         n_items.cast("bigint").alias("n_items"), stage.alias("stage"))
+    c, lit = F.col, F.lit
+    out = [rows(plans["jobs"], lit("job"), c("job_id"), c("outcome"), c("new_cluster_id"),
+                c("target_ref"), stage=c("stage"))]
     for k in ("users", "groups", "instance_profiles", "instance_pools", "clusters", "cleanup"):
-        p = plans[k]
-        if k == "cleanup":
-            p = p.select("kind", "key", "action", F.lit(None).cast("string").alias("target_id"),
-                         F.lit(0).cast("bigint").alias("n_items"), "stage")
-        out = out.unionByName(p.select(*cols))
-    acl = plans["acls"].select(
-        F.col("kind"), F.col("ref").alias("key"),
-        F.when(F.col("has_acl"), F.lit("set_acl")).otherwise(F.lit("no_acl")).alias("action"),
-        F.col("access_control_list").alias("target_id"),
-        F.col("apply_order").cast("bigint").alias("n_items"), "stage")
-    tables = plans["tables"].select(
-        F.lit("table").alias("kind"), F.col("table").alias("key"), "action",
-        F.col("role").alias("target_id"), F.lit(0).cast("bigint").alias("n_items"), "stage")
-    return out.unionByName(acl).unionByName(tables)
+        if k in plans:
+            out.append(rows(plans[k], c("kind"), c("key"), c("action"), c("target_id"),
+                            c("target_ref"), c("n_items"), c("stage")))
+    out += [
+        rows(plans["acls"], c("kind"), c("ref"),
+             F.when(c("has_acl"), lit("set_acl")).otherwise(lit("no_acl")), c("access_control_list"),
+             c("target_permissions_path"), c("apply_order"), c("stage")),
+        rows(plans["tables"], lit("table"), F.coalesce("table", "db"), c("action"), c("role"),
+             stage=c("stage")),
+        rows(plans["workspace"], lit("workspace"), c("upload_path"), c("action"), stage=c("stage")),
+        rows(plans["workspace_gate"], lit("gate"), c("current_users"), c("status"),
+             n_items=c("exported_users")),
+        rows(plans["artifacts"], lit("artifact"), c("path"), c("status"), n_items=F.coalesce(
+            "n_bytes", lit(0))),
+        rows(plans["libraries"], lit("library"), c("path"), F.coalesce("status", lit("unknown"))),
+        rows(plans["cluster_libraries"], lit("cluster_libraries"), c("cluster_id"), lit("attached"),
+             n_items=c("n_libraries")),
+        rows(plans["mounts"], lit("mount"), c("path"), c("source")),
+        rows(plans["dropped_fields"], lit("dropped_field"), c("field"), c("kind"), n_items=c("n")),
+        rows(plans["malformed"], lit("malformed"), c("log"), c("side")),
+        rows(plans["ambiguous"], lit("ambiguous"), c("key"), c("kind"), c("side"), n_items=c("n")),
+    ]
+    all_rows = out[0]
+    for o in out[1:]:
+        all_rows = all_rows.unionByName(o)
+    return all_rows
+
+
+@query("pl_all_from_exports")
+def q_pl_all(spark, sf):
+    """Both workspaces exported in the reference layout, then every plan and
+    report computed from the two folders, logged retries included."""
+    from rehome.plans.migrate import plan_all
+    src_dir, tgt_dir = export_workspaces(spark, sf)
+    attempts = B.retry_attempts(spark, sf).withColumn(
+        "role", F.regexp_replace("role", "^arn:role/R", B.ARN_PREFIX))
+    return all_plan_rows(plan_all(spark, src_dir, tgt_dir, archive_missing=True, attempts=attempts))

@@ -2,31 +2,41 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Upper bound (rows) for a join side that may be broadcast.  Id maps, pools,
-# profiles and role lists are far below it in any workspace; anything larger
-# falls back to a shuffle join that AQE can split when skewed.
+# Upper bounds for a join side that may be broadcast: rows, and estimated
+# bytes of its columns.  Id maps, pools, profiles and role lists are far below
+# them in any workspace; anything larger falls back to a shuffle join that AQE
+# can split when skewed.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 << 20
+# Rough bytes of a value next to its content (headers, offsets).
+VALUE_BYTES = 16
 
-_LOCAL_CKPT: dict[str, str] = {}
+_LOCAL_ROOT: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "rehome", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Session with the settings the operators are tuned for.
 
-    On a cluster ``master`` stays None and the submitter's settings win; the
-    configs below only fill in what is unset.
+    On a cluster ``master`` stays None.  Settings that the submitter gave
+    (``spark-submit --conf``, defaults file, or a running session) win; the
+    defaults below only fill in what is unset.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    running = SparkSession.getActiveSession()
+    if running is None:
+        SparkContext._ensure_initialized()  # so that SparkConf holds the submitter's settings
+    given = running.sparkContext.getConf() if running else SparkConf()
     defaults = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -35,6 +45,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
+    defaults = {k: v for k, v in defaults.items() if not given.contains(k)}
     if shuffle_partitions:
         defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     defaults.update(extra_conf or {})
@@ -46,106 +57,139 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared folder for written intermediates.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) a private folder is created and registered.
+    It is the folder named by ``spark.checkpoint.dir``, else the checkpoint
+    folder the application has set itself.  A private folder is created only
+    where neither is given and the master is ``local`` or ``local[...]``; on
+    any other master executors could not share it, so that is an error.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
         sc = None
-    if sc is None:
-        conf = spark.conf.get("spark.checkpoint.dir", None)
-        if not conf:
-            raise RuntimeError("spark.checkpoint.dir must be set for a Spark Connect session")
-        return conf.rstrip("/")
-    conf = sc.getConf().get("spark.checkpoint.dir", None)
+    conf = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None
+            else spark.conf.get("spark.checkpoint.dir", None))
     if conf:
-        sc.setCheckpointDir(conf)
         return conf.rstrip("/")
+    if sc is not None:
+        own = sc._jsc.sc().getCheckpointDir()
+        if own.isDefined():
+            return own.get().rstrip("/")
+    if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     key = sc.applicationId
-    if key not in _LOCAL_CKPT:
-        path = tempfile.mkdtemp(prefix="rehome-ckpt-")
-        sc.setCheckpointDir(path)
-        _LOCAL_CKPT[key] = path
-    return _LOCAL_CKPT[key]
+    if key not in _LOCAL_ROOT:
+        _LOCAL_ROOT[key] = tempfile.mkdtemp(prefix="rehome-scratch-")
+    return _LOCAL_ROOT[key]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint root for written tables."""
-    return f"{checkpoint_root(spark)}/rehome-{name}-{uuid.uuid4().hex[:12]}"
-
+    """A fresh folder below the shared root for written tables; it is
+    remembered until ``release_scratch``."""
+    root = checkpoint_root(spark)
+    path = f"{root}/rehome-{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.setdefault(root, []).append(path)
+    return path
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local).
 
-    Note that an eager checkpoint computes ``df`` twice (once to count, once
-    to write); ``materialize`` computes it once when only column values,
-    not the physical partitioning, must survive.
-    """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every folder ``scratch_path`` has given out below this session's
+    root and return their number.  Results that still read them must have been
+    written or collected before."""
+    paths = _WRITTEN.pop(checkpoint_root(spark), [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a parquet table below the shared checkpoint root
-    and read it back: the lineage is cut, the rows are computed exactly once,
-    and a lost executor cannot change what later stages read."""
+    """Write ``df`` once as a parquet table below the shared root and read it
+    back: the lineage is cut, the rows are computed exactly once, and a lost
+    executor cannot change what later stages read.  ``release_scratch`` deletes
+    the folder."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is one ``count()`` job: every task counts its own rows and only
-    those partial counts are shuffled.  (``limit(n).count()`` would instead
-    funnel up to n rows per task through a single partition.)  Beyond the
-    bound the side is returned unhinted, so the planner uses a shuffle join
-    and AQE may still split skewed partitions.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
-
-    One ``count()`` job with map-side partial counts.  Plans check each
-    small *input* once: projections, filters, distincts and per-key
-    aggregates of that input can never have more rows, so every join side
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _row_bytes(df: DataFrame):
+    """Estimated bytes of one row: text and binary by length, complex values
+    as JSON text, anything else as one value."""
+    parts = [F.lit(VALUE_BYTES)]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + VALUE_BYTES)
+        elif kind in ("array", "map", "struct"):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + VALUE_BYTES)
+        else:
+            parts.append(F.lit(VALUE_BYTES))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+         max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows and about
+    ``max_bytes`` bytes in its columns.
+
+    One job with map-side partial sums.  Plans check each small *input* once,
+    reduced to the columns its join sides use: projections, filters, distincts
+    and per-key aggregates of that input can never have more, so every side
     derived from it inherits the bound without another job.
     """
-    return df.count() <= max_rows
+    return fits_many({"": df}, max_rows, max_bytes)[""]
 
 
-def fits_many(frames: dict[str, DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS
-              ) -> dict[str, bool]:
+def fits_many(frames: dict[str, DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS,
+              max_bytes: int = DEFAULT_BROADCAST_BYTES) -> dict[str, bool]:
     """``fits`` for several inputs in one job: a union of tagged,
-    column-pruned branches with one grouped count (a row per input)."""
-    names = list(frames)
+    column-pruned branches with one grouped sum (a row per input)."""
     tagged = None
-    for name in names:
-        t = frames[name].select(F.lit(name).alias("_input"))
+    for name, df in frames.items():
+        t = df.select(F.lit(name).alias("_input"), _row_bytes(df).cast("bigint").alias("_bytes"))
         tagged = t if tagged is None else tagged.unionByName(t)
-    counts = {r["_input"]: r["count"] for r in tagged.groupBy("_input").count().collect()}
-    return {name: counts.get(name, 0) <= max_rows for name in names}
+    got = {r["_input"]: r for r in tagged.groupBy("_input").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("b")).collect()}
+    return {name: name not in got or (got[name]["n"] <= max_rows and got[name]["b"] <= max_bytes)
+            for name in frames}
+
+
+def is_small(df: DataFrame, bound) -> bool:
+    """A bound given as ``True`` (already proven by the caller),
+    ``False``/``None``/0 (too big or unknown), or a row count to check here."""
+    if bound is True or bound is None or bound is False or bound == 0:
+        return bound is True
+    return fits(df, int(bound))
 
 
 def side(df: DataFrame, bound) -> DataFrame:
-    """Join side for a bound given as ``True`` (already proven by the
-    caller), ``False``/``None`` (too big or unknown: shuffle join), or a row
-    count to check here."""
-    if bound is True:
-        return F.broadcast(df)
-    if bound is None or bound is False or bound == 0:
-        return df
-    return bounded_broadcast(df, int(bound))
+    """Join side: broadcast only within its proven bound (see ``is_small``);
+    beyond it the side is unhinted, so the planner uses a shuffle join."""
+    return F.broadcast(df) if is_small(df, bound) else df
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when it is proven small."""
+    return side(df, max_rows)
+
+
+def left_lookup(left: DataFrame, right: DataFrame, left_key, right_key: str, bound) -> DataFrame:
+    """Left join on one key whose null side never takes part in a shuffle.
+
+    With a broadcast side nothing is shuffled.  Otherwise rows with a null key
+    would all hash to one partition, so only rows with a key are joined and
+    the others are united with null results.
+    """
+    if is_small(right, bound):
+        r = F.broadcast(right)
+        return left.join(r, left_key == r[right_key], "left")
+    known = left.where(left_key.isNotNull()).join(right, left_key == right[right_key], "left")
+    rest = left.where(left_key.isNull()).withColumns(
+        {f.name: F.lit(None).cast(f.dataType) for f in right.schema.fields})
+    return known.unionByName(rest)

@@ -6,7 +6,7 @@ in a folder are picked up by a Structured Streaming file source: each
 micro-batch is parsed with the declared schema, malformed lines go to a
 dead-letter table and good rows are appended with their batch id.  The
 current snapshot is the last version of each key (``last_wins`` on the
-batch id and line position).  Progress lives in a checkpoint folder below
+batch id and the line order of ``readers.line_order``).  Progress lives in a checkpoint folder below
 the session's shared checkpoint root, so a restarted job resumes where it
 stopped and never ingests a file twice.
 """
@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 from rehome.operators.mapping import last_wins
 from rehome.schemas import with_corrupt
 from rehome.session import scratch_path
+from rehome.sources.readers import file_columns, line_order
 
 CORRUPT = "_corrupt_record"
 
@@ -29,7 +30,7 @@ def ingest_logs(spark: SparkSession, landing: str, schema: StructType, table_dir
     """Ingest every log file now present in ``landing`` and stop.
 
     Good rows go to ``<table_dir>/good`` (parquet partitioned by ``_batch``,
-    with ``_line``), malformed lines to ``<table_dir>/bad``.  Returns the
+    with the line's order ``_line``), malformed lines to ``<table_dir>/bad``.  Returns the
     checkpoint folder (reuse it to continue incrementally).
     """
     checkpoint = checkpoint or scratch_path(spark, "ingest-ckpt")
@@ -38,12 +39,13 @@ def ingest_logs(spark: SparkSession, landing: str, schema: StructType, table_dir
     lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
              .load(landing)
              .where(F.trim("value") != "")
-             .select(F.col("_metadata.file_path").alias("_file"),
-                     F.from_json("value", sch, opts).alias("_j")))
+             .select(F.from_json("value", sch, opts).alias("_j"), *file_columns()))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.select("_file", "_j.*").withColumn("_batch", F.lit(batch_id).cast("long"))
-        parsed = parsed.withColumn("_line", F.monotonically_increasing_id())
+        # Several runs may land in one batch, so lines carry the order in which
+        # they were written.
+        parsed = line_order(batch).select("_file", "_j.*", F.col("_ord").alias("_line"),
+                                          F.lit(batch_id).cast("long").alias("_batch"))
         good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         bad = parsed.where(F.col(CORRUPT).isNotNull()).select("_file", "_batch", CORRUPT)
         # Each micro-batch owns the ``_batch=<id>`` folder and overwrites it:

@@ -45,24 +45,27 @@ def test_replan_after_apply_is_empty_for_clusters_groups_pools(spark):
     p = plan_clusters(src, tgt, *args)
     made = p.where(F.col("action").isin("create", "create_and_pin", "unresolved_pool")).select("key")
     created = src.join(made, src["cluster_id"] == made["key"], "left_semi").select(
-        F.concat(F.lit("new-"), "cluster_id").alias("cluster_id"), "cluster_name", F.lit(0).alias("ord"))
+        F.concat(F.lit("new-"), "cluster_id").alias("cluster_id"), "cluster_name", F.lit(0).cast("long").alias("ord"))
     again = plan_clusters(src, tgt.unionByName(created), *args)
     assert again.where(F.col("action").isin("create", "create_and_pin")).count() == 0
 
     pools = plan_pools(B.pools_src(spark, SF), B.pools_tgt(spark, SF))
-    added = pools.where("action = 'create'").select(F.col("target_id").alias("instance_pool_id"),
-                                                    F.col("key").alias("instance_pool_name"))
+    assert pools.where("target_id is not null").count() == 0  # a new pool has no id yet
+    added = pools.where("action = 'create'").select(
+        F.concat(F.lit("new-"), "key").alias("instance_pool_id"),
+        F.col("key").alias("instance_pool_name"), F.lit(1).cast("long").alias("ord"))
     assert plan_pools(B.pools_src(spark, SF), B.pools_tgt(spark, SF).unionByName(added)) \
         .where("action = 'create'").count() == 0
 
     g = plan_groups(B.groups_src(spark, SF), B.group_members(spark, SF), B.src_users(spark, SF),
                     B.tgt_users(spark, SF), B.groups_tgt(spark, SF))
     new_groups = g.where("kind = 'group' AND action = 'create'").select(
-        F.concat(F.lit("T-"), "key").alias("id"), F.col("key").alias("displayName"))
+        F.concat(F.lit("T-"), "key").alias("id"), F.col("key").alias("displayName"),
+        F.lit(1).cast("long").alias("ord"))
     g2 = plan_groups(B.groups_src(spark, SF), B.group_members(spark, SF), B.src_users(spark, SF),
                      B.tgt_users(spark, SF), B.groups_tgt(spark, SF).unionByName(new_groups))
     assert g2.where("kind = 'group' AND action = 'create'").count() == 0
-    assert g2.where("action = 'unresolved_group'").count() == 0
+    assert g2.where("action = 'unresolved_group' or target_ref is not null").count() == 0
 
 
 SEG = st.sampled_from(["", "Users", "Trash", "a", "b c", "Users2"])
