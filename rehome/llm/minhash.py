@@ -20,7 +20,7 @@ blank-separated words; all words as one shingle if there are fewer).  Steps:
    the same members are compared once, and a pair only in its first bucket.
 
 Links missed by chance: a pair at the threshold shares no band with
-probability (1 - 0.85^4)^32 = 6e-11, and the estimate is off by the allowed
+probability (1 - 0.85^4)^32 = 6e-11 (5e-8 at 0.8), and the estimate is off by the allowed
 slack with probability below 1e-6.
 
 Edge cases.  Documents without words have the empty set and are linked with
@@ -115,7 +115,12 @@ def estimate(equal_lanes, hashes: int = HASHES, bits: int = BITS):
     return (equal_lanes / hashes - chance) / (1.0 - chance)
 
 
-MIN_EQUAL = int(np.ceil(((PERCENT / 100 - SLACK) * (1 - 2.0 ** -BITS) + 2.0 ** -BITS) * HASHES))
+def min_equal(percent: int, hashes: int = HASHES, bits: int = BITS) -> int:
+    """Equal lanes that a pair at the threshold has but for about one in 10^6."""
+    chance = 2.0 ** -bits
+    return int(np.ceil(((percent / 100 - SLACK) * (1 - chance) + chance) * hashes))
+
+
 _LOW_BITS = 0x1111111111111111
 
 
@@ -160,7 +165,8 @@ def texts_of(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Dat
     return named.join(F.broadcast(ids), "_id", "left_semi") if fits(ids) else named
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str,
+            percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
     Pairs are dealt by ``b`` in chunks of members; a task streams its rows in
@@ -192,11 +198,11 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Da
                 if at != (bs[i], chunks[i]) or not len(s) or not len(base):
                     continue
                 small, large = (s, base) if len(s) < len(base) else (base, s)
-                if 100 * len(small) < PERCENT * len(large):
+                if 100 * len(small) < percent * len(large):
                     continue
                 pos = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 both = int((large[pos] == small).sum())
-                if 100 * both >= PERCENT * (len(s) + len(base) - both):
+                if 100 * both >= percent * (len(s) + len(base) - both):
                     a_out.append(ids[i])
                     b_out.append(bs[i])
             yield pa.RecordBatch.from_arrays(
@@ -219,7 +225,7 @@ def short_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> D
     return map_texts(texts, "_text", make, [("set", "array<int>")], ["_id"])
 
 
-def cross_pairs(rows: DataFrame) -> DataFrame:
+def cross_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Similar pairs across components within buckets.
 
     ``rows``: bucket key and band, id, component, signature, all band keys
@@ -229,6 +235,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    enough = min_equal(percent)
     counts = materialize(rows.groupBy("_k").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.col("_odd").cast("bigint")).alias("_m")),
         "minhash-counts")
@@ -262,17 +269,17 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
             x |= x >> np.uint64(1)
             x |= x >> np.uint64(2)
             same = HASHES - np.bitwise_count(x & one).sum(axis=1)
-            near = right[(same >= MIN_EQUAL) & (comp[right] != comp[i])]
+            near = right[(same >= enough) & (comp[right] != comp[i])]
             if band:  # pairs that met in an earlier band are done there
                 near = near[~(keys[near] == keys[i]).any(axis=1)]
             for j in near:
                 small, large = (i, j) if len(sets[i]) < len(sets[j]) else (j, i)
                 a, b = sets[small], sets[large]
-                if 100 * (len(a) + 1) < PERCENT * len(b):
+                if 100 * (len(a) + 1) < percent * len(b):
                     continue
                 at = np.minimum(np.searchsorted(b, a), len(b) - 1)
                 both = int((b[at] == a).sum()) + 1  # 32-bit hashes may merge shingles
-                if 100 * both >= PERCENT * (len(a) + len(b) - both):
+                if 100 * both >= percent * (len(a) + len(b) - both):
                     yield int(max(ids[i], ids[j])), int(min(ids[i], ids[j]))
 
     def run(batches):
@@ -324,9 +331,16 @@ def unsettled(placed: DataFrame, labels: DataFrame) -> DataFrame:
                                         (F.col("_c") != F.col("_lead")).alias("_odd"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = PERCENT) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id that
-    is reachable over links), kept (whether the row is that document)."""
+    is reachable over links), kept (whether the row is that document).
+
+    Documents are linked if ``100 * intersection >= percent * union``; the
+    bands are made for ``percent`` of 80 or more.
+    """
+    if percent < 80:
+        raise ValueError("the bands are made for a similarity of 80 percent or more")
     sigs = materialize(signatures(docs, id_col, text_col), "minhash-signatures")
     known = sigs.where(F.col("_id").isNotNull() & F.col("digest").isNotNull())
     classes = known.groupBy("digest").agg(
@@ -346,9 +360,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("_id").alias("a"), F.col("_first").alias("b")).distinct()
     star = star.join(slim.select(F.col("_id").alias("a"), F.col("sig").alias("_sa")), "a") \
         .join(slim.select(F.col("_id").alias("b"), F.col("sig").alias("_sb")), "b")
-    star = materialize(star.where(equal_lanes(F.col("_sa"), F.col("_sb")) >= MIN_EQUAL)
+    star = materialize(star.where(equal_lanes(F.col("_sa"), F.col("_sb")) >= min_equal(percent))
                        .select("a", "b"), "minhash-star")
-    links = materialize(confirm(star, docs, id_col, text_col), "minhash-links")
+    links = materialize(confirm(star, docs, id_col, text_col, percent), "minhash-links")
     labels = connected(links)  # (node, component) of linked nodes
 
     rows = materialize(unsettled(placed, labels), "minhash-unsettled")
@@ -357,10 +371,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sets = materialize(short_sets(ids, docs, id_col, text_col), "minhash-sets")
         facts = classes.select("_id", "sig", F.transform(
             "bands", lambda x: F.shiftright(x, 32).cast("int")).alias("keys"))
-        rest = materialize(cross_pairs(rows.join(facts, "_id").join(sets, "_id"))
+        rest = materialize(cross_pairs(rows.join(facts, "_id").join(sets, "_id"), percent)
                            .join(star, ["a", "b"], "left_anti"), "minhash-rest")
         if not rest.isEmpty():
-            more = materialize(confirm(rest, docs, id_col, text_col), "minhash-more")
+            more = materialize(confirm(rest, docs, id_col, text_col, percent), "minhash-more")
             labels = connected(links.unionByName(more))
 
     of_class = classes.select("digest", "_id").join(

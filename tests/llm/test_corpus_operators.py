@@ -34,10 +34,10 @@ def components(nodes, links):
     return {n: find(n) for n in nodes}
 
 
-def brute_groups(docs):
+def brute_groups(docs, percent=85):
     sets = {i: near_sets(t) for i, t in docs}
     links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
-             and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     return {i: (len(sets[i]), c) for i, c in components(sets, links).items()}
 
 
@@ -69,6 +69,9 @@ def test_near_duplicates_equal_brute_force(spark, seed):
     out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_groups(docs)
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
+    out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), percent=80)
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {
+        i: c for i, (_, c) in brute_groups(docs, 80).items()}
 
 
 def test_near_duplicates_exact_rest_joins_what_stars_miss(spark, monkeypatch):
