@@ -24,6 +24,9 @@ from rehome.llm.common import read_table
 from rehome.llm.queries import held_out
 from rehome.session import materialize
 
+# Percent of shared five-word shingles from which documents are near duplicates.
+SIMILARITY = 80
+
 # SQL cannot express the language and personal-data models.
 ORACLE_SQL = None
 
@@ -35,7 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = minhash.near_duplicates(docs)
+    groups = minhash.near_duplicates(docs, percent=SIMILARITY)
     return docs.join(groups.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti") \
         .select(*docs.columns)
 
