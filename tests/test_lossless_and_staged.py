@@ -213,3 +213,41 @@ def test_scratch_is_released_and_never_private_on_a_cluster(spark, monkeypatch):
         session.checkpoint_root(Session())
     Session.sparkContext.folder = "/shared/own"
     assert session.checkpoint_root(Session()) == "/shared/own"
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_items_are_not_shuffled_when_only_the_homes_are_few(spark):
+    from rehome.plans import bindings as B
+    from rehome.plans.workspace import plan_workspace
+    items, target = B.ws_items(spark, SF), B.ws_target(spark, SF)
+    homes = target.where("object_type = 'DIRECTORY'").count()
+    listed = target.count()
+    assert homes < listed  # the bound holds for the homes, not for the listing
+    plan, _ = plan_workspace(items, target, archive_missing=True, broadcast_rows=homes)
+    text = plan.drop("stage")._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "hashpartitioning(user" not in text
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_import_into_an_empty_target_has_no_dead_letters(spark):
+    """Members, roles, pools and jobs refer to what the same import creates."""
+    from rehome.plans.migrate import plan_all
+    from rehome.plans.registry import export_workspaces
+    src, tgt = export_workspaces(spark, SF, empty_target=True)
+    plans = plan_all(spark, src, tgt, archive_missing=True)
+    users = {r[0] for r in plans["users"].select("action").distinct().collect()}
+    assert users == {"create", "add_roles_after_create"}
+    groups = plans["groups"].where("kind <> 'group_members' or target_ref is not null")
+    assert {r[0] for r in groups.select("action").distinct().collect()} == {
+        "create", "add_members_after_create", "add_roles_after_create"}
+    clusters = plans["clusters"].where("payload is not null")
+    assert clusters.where("target_ref is null and payload like '%instance_pool_id%'").count() == 0
+    jobs = {r[0] for r in plans["jobs"].select("outcome").distinct().collect()}
+    assert jobs == {"new_cluster", "rewire_after_create", "reset_default"}
+    lost = plans["jobs"].where("outcome = 'reset_default'").select("old_cluster_id").distinct()
+    made = plans["clusters"].where("action in ('create', 'create_and_pin')")
+    assert lost.join(made, lost["old_cluster_id"] == made["key"]).count() == 0
