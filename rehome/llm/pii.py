@@ -8,8 +8,10 @@ chain potential; and distant nodes with the same or similar content (the same
 trailing digits, the same mailbox) share a strong skip potential.  Loopy
 sum-product passing then gives marginals, so a weak mention takes the label
 of its repeated counterpart elsewhere in the document.  Mentions of one
-cluster are linked one after another, not pairwise, so the graph stays linear
-in the text.  Weak nodes with a label's marginal above ``MIN_MARGINAL`` add a
+cluster are linked one after another, not pairwise, and each weak one to the
+nearest base mention of its cluster, so the graph stays linear in the text.
+Base labels are given, not inferred: however many weak repeats doubt a base
+mention, it tells each of them the same.  Weak nodes with a label's marginal above ``MIN_MARGINAL`` add a
 span ``ctx_<label>``; base spans always stay.
 
 Edge cases.  Null text is empty and has no spans; whole texts of any length
@@ -55,10 +57,11 @@ CUES = {"mail": (2.0, 0, 0, 0), "email": (2.0, 0, 0, 0), "contact": (1.0, 0, 0,
         "mastercard": (0, 0, 2.0, 0), "credit": (0, 0, 1.5, 0), "tel": (0, 0, 0, 2.0),
         "phone": (0, 0, 0, 2.0), "telephone": (0, 0, 0, 2.0), "mobile": (0, 0, 0, 2.0),
         "call": (0, 0, 0, 1.5), "fax": (0, 0, 0, 2.0), "cell": (0, 0, 0, 1.5)}
-BASE_POTENTIAL = 8.0
+BASE_POTENTIAL = 1e3  # as good as observed
 OTHER_POTENTIAL = 2.0
 CHAIN_POTENTIAL = 0.3
 SKIP_POTENTIAL = 3.0
+ANCHOR_POTENTIAL = 5.0  # to the base mention: above "other" and two neighbours by a margin
 ROUNDS = 10
 MIN_MARGINAL = 0.6
 TAIL_DIGITS = 7
@@ -188,6 +191,28 @@ def marginals(unary: np.ndarray, edges: np.ndarray, weight: np.ndarray,
     return p / p.sum(axis=1, keepdims=True)
 
 
+def _anchors(nodes: list[tuple]) -> list[tuple[int, int]]:
+    """(base, weak) node pairs: the nearest base mention of each key."""
+    before: dict[str, int] = {}
+    after: dict[str, int] = {}
+    found: dict[tuple[int, str], int] = {}
+    for i, node in enumerate(nodes):
+        for key in node[3]:
+            if node[4]:
+                before[key] = i
+            elif key in before:
+                found[i, key] = before[key]
+    for i in range(len(nodes) - 1, -1, -1):
+        for key in nodes[i][3]:
+            if nodes[i][4]:
+                after[key] = i
+            elif key in after:
+                b = found.get((i, key))
+                if b is None or nodes[after[key]][0] - nodes[i][1] < nodes[i][0] - nodes[b][1]:
+                    found[i, key] = after[key]
+    return sorted({(b, i) for (i, _), b in found.items()})
+
+
 def field_spans(raw: bytes, text: str, base: list[tuple]) -> list[tuple[int, int, int]]:
     nodes = _nodes(text, raw, base)
     if all(n[4] for n in nodes):
@@ -201,6 +226,9 @@ def field_spans(raw: bytes, text: str, base: list[tuple]) -> list[tuple[int, int
                 edges.append((last[key], i))
                 weight.append(SKIP_POTENTIAL)
             last[key] = i
+    anchors = _anchors(nodes)
+    edges += anchors
+    weight += [ANCHOR_POTENTIAL] * len(anchors)
     unary = np.array([n[2] for n in nodes])
     if edges:
         p = marginals(unary, np.array(edges), np.array(weight))

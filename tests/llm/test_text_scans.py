@@ -115,6 +115,21 @@ def test_pii_skip_links_label_repeated_mentions():
     assert "2485" not in pii.masked(text, spans)
 
 
+@pytest.mark.parametrize("where", ["after", "before", "both"])
+@pytest.mark.parametrize("n", [1, 2, 5, 50])
+def test_pii_every_repeat_of_a_base_mention_is_labelled(n, where):
+    weak, base = "then 988 555 2485 and 12 345 678 or ", "at +1 (988) 555-2485 or "
+    t = {"after": base + weak * n, "before": weak * n + base,
+         "both": weak * n + base + weak * n}[where]
+    text, found, spans = pii.find_spans(t.encode())
+    extra = [(pii.KINDS[k], text[s:e]) for s, k, e in spans if (s, k, e) not in found]
+    assert extra == [("ctx_phone", "988 555 2485")] * (2 * n if where == "both" else n)
+    assert "2485" not in pii.masked(text, spans)
+    t = t.replace("+1 (988) 555-2485", "hsr.29@mail5.example.com").replace("988 555 2485", "hsr.29")
+    text, found, spans = pii.find_spans(t.encode())
+    assert "hsr" not in pii.masked(text, spans) and "12 345 678" in pii.masked(text, spans)
+
+
 def test_belief_propagation_is_exact_on_a_chain():
     import itertools
 
