@@ -47,6 +47,9 @@ NUMBER = re.compile(r"(?<![0-9A-Za-z+])[0-9(][0-9().\x20-]{5,24}[0-9](?![0-9A-Za
 OBFUSCATED = re.compile(
     r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{2,64})\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?"
     r"[A-Za-z0-9-]+(?:(?:\.|\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?)[A-Za-z0-9-]+)+")
+# A bare mailbox stands alone: one scan finds the runs, each is looked up.
+MIN_MAILBOX = 6
+MAILBOX = re.compile(rf"[A-Za-z0-9._%+@-]{{{MIN_MAILBOX},}}")
 CUE = re.compile(r"[A-Za-z]+")
 CUE_CHARS = 24
 
@@ -132,12 +135,9 @@ def _nodes(text: str, raw: bytes, base: list[tuple]):
     if b"at" in raw:
         weak += [(m.start(), m.end(), 0) for m in OBFUSCATED.finditer(text)]
     mailboxes = {text[s:e].split("@")[0].lower() for s, k, e in base if k == 0}
-    if mailboxes:
-        for box in mailboxes:
-            if len(box) >= 6:
-                weak += [(m.start(), m.end(), 0) for m in re.finditer(
-                    r"(?<![A-Za-z0-9._%+@-])" + re.escape(box) + r"(?![A-Za-z0-9._%+@-])", text,
-                    re.IGNORECASE | re.ASCII)]
+    if any(len(box) >= MIN_MAILBOX for box in mailboxes):
+        weak += [(m.start(), m.end(), 0) for m in MAILBOX.finditer(text)
+                 if m[0].lower() in mailboxes]
     k, done = 0, -1
     for s, e, kind in sorted(weak, key=lambda w: (w[0], -w[1])):
         while k < len(base) and base[k][2] <= s:

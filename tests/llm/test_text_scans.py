@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +106,30 @@ def test_scans_are_linear_on_long_runs():
     assert secrets.scan(raw)[:2] == (0, 0)
 
 
+def test_pii_bare_mailboxes_are_found_in_one_scan():
+    rng = random.Random(1)
+    for _ in range(300):
+        t = " ".join(rng.choice(["ab.cde", "AB.CDE", "x-ab.cde", "ab.cde@x", "abcde", "no"])
+                     + rng.choice(["", ".", ",", "@m.de", "é"]) for _ in range(12))
+        base = pii.base_spans(t.encode(), t)
+        got = {n[:2] for n in pii._nodes(t, t.encode(), base) if not n[4]}
+        want = set()
+        for box in {t[s:e].split("@")[0].lower() for s, _, e in base}:
+            if len(box) >= 6:
+                want |= {m.span() for m in re.finditer(
+                    rf"(?<![A-Za-z0-9._%+@-]){re.escape(box)}(?![A-Za-z0-9._%+@-])", t, re.I | re.A)}
+        assert got == want, t
+
+
+def test_pii_is_linear_in_the_addresses():
+    t = "".join(f"user{i:05d}@mail.example.com of user{i:05d}\n" for i in range(6_000))
+    raw = t.encode()
+    base = pii.base_spans(raw, t)
+    start = time.process_time()
+    assert len(pii._nodes(t, raw, base)) == 12_000
+    assert time.process_time() - start < 3
+
+
 def test_pii_skip_links_label_repeated_mentions():
     t = ("Call +1 (988) 555-2485 now. Later she wrote that 988 555 2485 is best, and "
          "the box hsr.29@mail5.example.com is hsr.29 for short; 12 345 678 is a count.")
