@@ -2,11 +2,13 @@
 
 Three base kinds are plain patterns.  The lexer adds ``lexed`` spans: it
 parses source and configuration syntax (``name = "literal"``, ``"name":
-"literal"``, ``name: literal``, ``<name>literal</name>``) into name-literal
-pairs, propagates constants (``x = "..."; password = x`` makes ``password`` a
-target name of the literal) and scores each literal by the most sensitive of
-its target names and by its own look.  Literals that overlap a base span are
-not reported twice.
+"literal"``, ``name: literal``, ``name: type = "literal"``,
+``<name>literal</name>``) into name-literal pairs, propagates constants
+(``x = "..."; password = x`` makes ``password`` a target name of the literal)
+and scores each literal by the most sensitive of its target names and by its
+own look.  A quoted literal may stand in backticks and on the line after the
+operator; one of several words counts under a name that ends in password or
+passphrase.  Literals that overlap a base span are not reported twice.
 
 Edge cases.  Null text is empty and has no spans; any length of text is
 scanned whole in time linear in its length; repeated rows are judged alike.
@@ -37,10 +39,24 @@ _HEX_RUN = b"x" * 32
 
 # Assignments start at the beginning of a name, so a long run of name
 # characters is tried once and not from each of its characters.
+# Brackets of a type, without ":" and "=", so they hide no pair.
+_ARGS = r"(?:[^\[\]<>()\n=:]|::){0,200}+"
+for _ in range(3):  # levels
+    _ARGS = rf"(?:[^\[\]<>()\n=:]|::|[\[<(]{_ARGS}[\]>)]){{0,200}}+"
+_TYPE = (r"[&*?]{0,2}+(?:'[a-z_]+[ \t]+)?+(?:(?:mut|dyn|const|readonly|final)[ \t]+)?+"
+         r"[A-Za-z_](?:[A-Za-z0-9_.]|::)*+(?:[\[<(]" + _ARGS + r"[\]>)]){0,3}+[?!]?+")
+_QUOTED = r"""(?:"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`(?:[^`\\\n]|\\.)*+`)"""
 PAIR = re.compile(
     r"""(?<![A-Za-z0-9_$.-])(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)["'\]]{0,2}[ \t]*"""
-    r"""(?::=|=>|=(?!=)|:(?![:/]))[ \t]*"""
-    r"""(?:"(?P<dq>(?:[^"\\\n]|\\.)*)"|'(?P<sq>(?:[^'\\\n]|\\.)*)'|(?P<bare>[^\s"'`,;<>(){}\[\]]+))""")
+    # A type and "="; without a blank before it (or base64 padding would do) a quote must follow.
+    rf"""(?:[?!]?:[ \t]*(?P<type>{_TYPE}(?:[ \t]*[|&][ \t]*{_TYPE}){{0,8}}+)"""
+    r"""(?:[ \t]+:?=(?![=>~])|:?=(?=[ \t]*["'`]))"""
+    r"""|:=|=>|=(?!=)|:(?![:/]))[ \t]*"""
+    # A quoted literal on the next line, unless it is itself a key there.
+    rf"""(?:[\\(]?[ \t]*\r?\n[ \t]*(?={_QUOTED}(?![ \t]*[:=])))?"""
+    r"""(?:"(?P<dq>(?:[^"\\\n]|\\.)*)"|'(?P<sq>(?:[^'\\\n]|\\.)*)'|`(?P<bq>(?:[^`\\\n]|\\.)*)`"""
+    r"""|(?P<bare>[^\s"'`,;<>(){}\[\]]+))""")
+STATEMENT = re.compile(r"[a-z_][A-Za-z0-9_.]*\Z")
 TAG = re.compile(r"<(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)>(?P<bare>[^<>\s]+)</(?P=name)>")
 IDENT = re.compile(r"[A-Za-z_$][A-Za-z0-9_$.]*\Z")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -53,7 +69,11 @@ NAME_SCORE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "se
 PAIR_SCORE = {("api", "key"): 1.0, ("access", "key"): 1.0, ("private", "key"): 1.0,
               ("secret", "key"): 1.0, ("signing", "key"): 0.9, ("encryption", "key"): 0.9,
               ("account", "key"): 0.9, ("client", "secret"): 1.0, ("pass", "word"): 1.0,
+              ("pass", "phrase"): 1.0,
               ("auth", "key"): 0.9, ("db", "pass"): 1.0}
+# Names whose literal may be several words.
+PHRASE_NAMES = (["password"], ["passwd"], ["pwd"], ["passphrase"], ["pass", "word"],
+                ["pass", "phrase"])
 MIN_LITERAL = 8
 MIN_SCORE = 0.5
 
@@ -64,15 +84,22 @@ def name_score(name: str) -> float:
                + [PAIR_SCORE.get(p, 0.0) for p in zip(parts, parts[1:], strict=False)], default=0.0)
 
 
-def literal_score(value: str) -> float:
-    """0 for placeholders and short or uniform values, up to 1 for mixed ones."""
+def phrase_name(name: str) -> bool:
+    """Whether the name ends in password or passphrase, numbered or not."""
+    parts = [p.lower() for p in PARTS.findall(name) if not p.isdigit()]
+    return parts[-1:] in PHRASE_NAMES or parts[-2:] in PHRASE_NAMES
+
+
+def literal_score(value: str, phrase: bool = False) -> float:
+    """0 for placeholders and short or uniform values, up to 1 for mixed ones;
+    several words count only as a ``phrase``."""
     if len(value) < MIN_LITERAL or value[:2] in ("${", "{{", "%(") or "://" in value:
         return 0.0
     counts = Counter(value)
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
     classes = (any(c.islower() for c in value) + any(c.isupper() for c in value)
                + any(c.isdigit() for c in value) + any(not c.isalnum() for c in value))
-    if classes < 2 or " " in value:
+    if classes < 2 or " " in value and not phrase:
         return 0.0
     return min(1.0, entropy / 3.0)
 
@@ -92,38 +119,56 @@ def base_spans(raw: bytes, text: str) -> list[tuple[int, int, int]]:
 
 
 def lexed_spans(text: str, base: list[tuple]) -> list[tuple[int, int, int]]:
-    literals: list[tuple[str, int, int]] = []
+    literals: list[tuple[str, int, int, bool]] = []  # name, start, end, may be a phrase
     aliases: dict[str, set[str]] = defaultdict(set)  # constant -> names assigned from it
     for rx in (PAIR, TAG):
         for m in rx.finditer(text):
             group = m.lastgroup
             value = m[group]
+            start = m.start(group)
+            end = start + len(value)
+            names = [m["name"]]
+            if rx is PAIR and m["type"]:
+                if STATEMENT.match(m["type"]):  # also ``else: name = "literal"``
+                    names.append(m["type"])
+                if group == "bare":  # also ``name: literal = ...``
+                    literals.append((m["name"], *m.span("type"), False))
             if group == "bare" and rx is PAIR:
                 value = value.rstrip(".")
+                end = start + len(value)
                 if IDENT.match(value):
-                    aliases[value].add(m["name"])
+                    aliases[value].update(names)
                     # A bare word may also be the literal itself (key: value).
-            literals.append((m["name"], m.start(group), m.start(group) + len(value)))
-    best: dict[str, float] = {}
-
-    def reach(name: str) -> float:
-        """Highest score of the names that the constant ``name`` flows into."""
+            if group == "bq" and "${" in value:
+                continue
+            # Backticks right after "=" may be a shell command.
+            phrase = group in ("dq", "sq") or group == "bq" and text[start - 2] != "="
+            literals += [(n, start, end, phrase) for n in names]
+    best: dict[str, tuple[float, bool]] = {}
+
+    def reach(name: str) -> tuple[float, bool]:
+        """Highest score of the names that the constant ``name`` flows into,
+        and whether one of them takes phrases."""
         if name in best:
             return best[name]
-        seen, todo, top = {name}, [name], 0.0
+        seen, todo, top, phrase = {name}, [name], 0.0, False
         while todo:
             at = todo.pop()
             top = max(top, name_score(at))
+            phrase = phrase or phrase_name(at)
             for nxt in aliases.get(at, ()):
                 if nxt not in seen:
                     seen.add(nxt)
                     todo.append(nxt)
-        best[name] = top
-        return top
+        best[name] = top, phrase
+        return best[name]
 
     out, covered, k = [], base, 0
-    for name, s, e in sorted(literals, key=lambda x: x[1:]):
-        if reach(name) * literal_score(text[s:e]) < MIN_SCORE:
+    for name, s, e, words in sorted(literals, key=lambda x: x[1:]):
+        top, phrase = reach(name)
+        if top < MIN_SCORE or top * literal_score(text[s:e], phrase and words) < MIN_SCORE:
+            continue
+        if out and out[-1] == (s, N_BASE, e):
             continue
         while k < len(covered) and covered[k][2] <= s:
             k += 1

@@ -88,6 +88,63 @@ def test_secret_lexer_propagates_constants():
     assert secrets.scan(b'password = "${DB_PASSWORD}"')[4].startswith("lexed") is False
 
 
+def lexed(text):
+    spans = [x.split(":") for x in secrets.scan(text.encode())[4].split(",") if x]
+    return [text[int(s):int(e)] for k, s, e in spans if k == "lexed"]
+
+
+@pytest.mark.parametrize("text, want", [
+    ('db_password: str = "Hunter2abcXYZ9"', "Hunter2abcXYZ9"),
+    ('def f(user: str, pwd:str="Hunter2abcXYZ9"):', "Hunter2abcXYZ9"),
+    ('db_pwd: Optional[Annotated[str, Doc["x"]]] | None = "Hunter2abcXYZ9"', "Hunter2abcXYZ9"),
+    ('pwd: Final = x1\nx1: str = "Hunter2abcXYZ9"', "Hunter2abcXYZ9"),
+    ('const apiSecret: string = "Zx81-kkq-92LmP"', "Zx81-kkq-92LmP"),
+    ("readonly clientSecret?: string | undefined = 'Zx81-kkq-92LmP';", "Zx81-kkq-92LmP"),
+    ('const signingKey: SecretString = "Zx81-kkq-92LmP"', "Zx81-kkq-92LmP"),
+    ('val token: String = "Zx81kkq92LmP"', "Zx81kkq92LmP"),
+    ('var token: String? = "Zx81kkq92LmP"', "Zx81kkq92LmP"),
+    ("static AUTH_KEY: &'static str = \"Zx81kkq92LmP\";", "Zx81kkq92LmP"),
+    ("db_pwd : string := 'Zx81kkq92LmP';", "Zx81kkq92LmP"),
+    ("const dbPwd = `Zx81-kkq-92LmP`;", "Zx81-kkq-92LmP"),
+    ("const dbPwd: string = `Zx81-kkq-92LmP`;", "Zx81-kkq-92LmP"),
+    ('db_pwd =\n    "Zx81-kkq-92LmP"', "Zx81-kkq-92LmP"),
+    ('db_pwd: str = (\r\n    "Zx81-kkq-92LmP")', "Zx81-kkq-92LmP"),
+    ('db_pwd = \\\n    "Zx81-kkq-92LmP"', "Zx81-kkq-92LmP"),
+    ('{"db_pwd":\n  "Zx81-kkq-92LmP"}', "Zx81-kkq-92LmP"),
+    ('else: db_pwd = "Zx81-kkq-92LmP"', "Zx81-kkq-92LmP"),
+    ('password = "correct horse battery staple"', "correct horse battery staple"),
+    ("gpg_passphrase: 'correct horse battery staple'", "correct horse battery staple"),
+    ("const passPhrase2 = `correct horse battery staple`", "correct horse battery staple"),
+    ('w = "correct horse battery staple"\npassword = w', "correct horse battery staple"),
+])
+def test_secret_lexer_reads_each_syntax(text, want):
+    assert lexed(text) == [want]
+    assert lexed("a = 1\n" + text + "\n" + text) == [want, want]
+
+
+@pytest.mark.parametrize("text, want", [
+    ('pwds:\n  "db_pwd": "Zx81-kkq-92LmP"', ["Zx81-kkq-92LmP"]),  # a key is not a literal
+    ("signing_key: Zx81kkq92LmPQa=\n'x': 1", ["Zx81kkq92LmPQa="]),  # padding is not an operator
+    ("signing_key: Zx81kkq92LmPQa = b", ["Zx81kkq92LmPQa"]),
+    ('x: f(db_pwd: "Zx81-kkq-92LmP") = 1', ["Zx81-kkq-92LmP"]),  # a call is not a type
+    ('if db_pwd == "Zx81-kkq-92LmP": pass', []),
+    ("DB_PWD=`cat /run/secrets/db | head`", []),
+    ("dbPwd = `${user} and others`", []),
+    ('password_hint = "the name of your cat"', []),
+    ('secret_santa = "Ann and Bob"', []),
+])
+def test_secret_lexer_keeps_to_literals(text, want):
+    assert lexed(text) == want
+
+
+def test_secret_types_are_scanned_in_linear_time():
+    for part in ("a:b<", "a:b[a:b[", "a:b[x]", "a: b|", "a=`", "a=\n'", "a:'b ", "a:b<c>|"):
+        raw = (part * (400_000 // len(part))).encode()
+        start = time.process_time()
+        secrets.scan(raw)
+        assert time.process_time() - start < 20, part
+
+
 def test_secrets_edge_rows(spark):
     texts = [None, "", "token = '" + "a1" * 40_000 + "'", "token=abcdefgh", "token=abcdefgh"]
     rows = {r["doc_id"]: r for r in
