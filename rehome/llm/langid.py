@@ -4,8 +4,8 @@ The kernel of two texts is the share of distinct character n-grams (one to
 three letters, blended) that both have: ``|A & B| / sqrt(|A| |B|)``.
 ``n_landmarks`` sampled documents per language are Nystroem landmarks; kernel
 ridge regression on a bounded labelled sample gives one-versus-rest weights
-per landmark; prediction is a batch matrix product of the texts' presence
-vectors with the landmarks', then with the weights.
+per landmark; prediction is the product of the texts' presence vectors with the landmarks',
+then with the weights.  N-grams are compared as they are, not by hash.
 
 Bounds (parameters): at most ``MAX_LANGS`` labels, ``N_LANDMARKS`` landmarks
 and about ``N_TRAIN`` training documents a label, picked by hash of the id.
@@ -29,15 +29,14 @@ N_TRAIN = 400
 MAX_LANGS = 200
 RIDGE = 1e-2
 TEMPERATURE = 8.0
-BITS = 16
-SPACE = 1 << BITS
 BATCH = 128
 UNKNOWN = "und"
 
 
 def ngram_codes(text: str) -> np.ndarray:
-    """Hashed codes of the n-grams of one to three characters of a text:
-    lower-cased letters, everything else as one blank."""
+    """Codes of the n-grams of one to three characters of a text: lower-cased
+    letters, everything else as one blank; 21 bits a character, so no two
+    n-grams share a code."""
     chars = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)
     letter = _letters(chars)
     if not letter.any():
@@ -45,14 +44,9 @@ def ngram_codes(text: str) -> np.ndarray:
     chars = np.where(letter, chars, np.uint32(32))
     blank = chars == 32
     keep = ~(blank & np.concatenate(([True], blank[:-1])))  # runs of blanks count once
-    c = np.concatenate(([np.uint32(32)], chars[keep], [np.uint32(32)])).astype(np.uint32)
-    c = c * np.uint32(0x9E3779B1)
-    one = c >> np.uint32(32 - BITS)
-    two = ((c[:-1] * np.uint32(0x85EBCA77)) ^ c[1:]) * np.uint32(0xC2B2AE3D) >> np.uint32(32 - BITS)
-    h = (c[:-2] * np.uint32(0x27D4EB2F)) ^ (c[1:-1] * np.uint32(0x165667B1)) ^ c[2:]
-    h ^= h >> np.uint32(15)
-    three = h * np.uint32(0x9E3779B1) >> np.uint32(32 - BITS)
-    return np.concatenate((one, two, three)).astype(np.int64)
+    c = np.concatenate(([32], chars[keep], [32])).astype(np.int64)
+    two = c[:-1] << 21 | c[1:]
+    return np.concatenate((c, two, two[:-1] << 21 | c[2:]))
 
 
 _TABLE: dict[str, np.ndarray] = {}
@@ -67,36 +61,34 @@ def _letters(chars: np.ndarray) -> np.ndarray:
 
 def presence(text: str) -> np.ndarray:
     """Sorted distinct n-gram codes of a text."""
-    flags = np.zeros(SPACE, bool)
-    flags[ngram_codes(text)] = True
-    return np.flatnonzero(flags)
+    return np.unique(ngram_codes(text))
 
 
 class Landmarks:
-    """Presence vectors of the landmarks over the n-grams they have."""
-
-    def __init__(self, sets: list[list[int]]):
-        used = np.unique(np.concatenate([np.asarray(s, np.int64) for s in sets]))
-        self.column = np.full(SPACE, len(used), np.int32)
-        self.column[used] = np.arange(len(used))
-        self.width = len(used)
-        self.matrix = np.zeros((len(used), len(sets)), np.float32)
-        for j, s in enumerate(sets):
-            self.matrix[self.column[np.asarray(s, np.int64)], j] = 1.0 / np.sqrt(len(s))
+    """The landmarks' presence vectors as lists of landmarks per n-gram, so
+    memory follows the sizes of their sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        codes = np.concatenate(sets)
+        order = np.argsort(codes, kind="stable")
+        self.mark = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order].astype(np.int32)
+        self.used, first = np.unique(codes[order], return_index=True)
+        self.at = np.append(first, len(codes))
+        self.scale = 1.0 / np.sqrt([len(x) for x in sets])
+
+    def kernel_of(self, codes: np.ndarray) -> np.ndarray:
+        """Kernel row of one text's distinct codes."""
+        pos = np.minimum(np.searchsorted(self.used, codes), len(self.used) - 1)
+        pos = pos[self.used[pos] == codes]
+        n = self.at[pos + 1] - self.at[pos]
+        both = np.repeat(self.at[pos] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        shared = np.bincount(self.mark[both], minlength=len(self.scale))
+        return (shared * self.scale / np.sqrt(max(len(codes), 1))).astype(np.float32)
 
     def kernel(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(kernel rows, whether the text has a letter)."""
-        flags = np.zeros((len(texts), self.width + 1), np.float32)
-        size = np.zeros(len(texts), np.float32)
-        seen = np.zeros(SPACE, bool)
-        for i, t in enumerate(texts):
-            seen[:] = False
-            seen[ngram_codes(t)] = True
-            codes = np.flatnonzero(seen)
-            size[i] = len(codes)
-            flags[i, self.column[codes]] = 1.0
-        k = flags[:, :self.width] @ self.matrix / np.sqrt(np.maximum(size, 1.0))[:, None]
-        return k, size > 0
+        sets = [presence(t) for t in texts]
+        return np.stack([self.kernel_of(x) for x in sets]), np.array([len(x) > 0 for x in sets])
 
 
 def _sample(labelled: DataFrame, per_label: int, salt: int) -> DataFrame:
@@ -122,15 +114,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
         F.col("_label").isNotNull() & F.col("_text").isNotNull())
 
     def make_sets():
-        return lambda texts: [[presence(decode(t)).tolist() for t in texts]]
+        return lambda texts: [[presence(decode(t)) for t in texts]]
 
     picked = [(r["_label"], r["codes"]) for r in map_texts(
-        _sample(rows, n_landmarks, 1), "_text", make_sets, [("codes", "array<int>")],
+        _sample(rows, n_landmarks, 1), "_text", make_sets, [("codes", "array<bigint>")],
         ["_label"]).collect() if r["codes"]]
     if not picked:
         return None
     picked.sort(key=lambda x: (x[0], x[1]))
-    marks = Landmarks([c for _, c in picked])
+    sets = [np.array(c, np.int64) for _, c in picked]
+    marks = Landmarks(sets)
     held = docs.sparkSession.sparkContext.broadcast(marks)
 
     def make_rows():
@@ -142,7 +135,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     got = [(r["_label"], r["k"]) for r in map_texts(
         _sample(rows, n_train, 2), "_text", make_rows, [("k", "array<float>")],
         ["_label"]).collect() if r["k"]]
-    own = marks.matrix.T @ marks.matrix
+    own = np.stack([marks.kernel_of(x) for x in sets])
     got += list(zip([x for x, _ in picked], own.tolist(), strict=True))
     got.sort(key=lambda x: (x[0], x[1]))
     labels = sorted({x for x, _ in got})

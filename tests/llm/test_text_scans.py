@@ -318,6 +318,23 @@ def test_language_identification_held_out(spark):
     assert r["acc"] > 0.97 and 0 <= r["lo"] <= r["hi"] <= 1
 
 
+def test_language_kernel_of_a_very_long_text_is_exact():
+    rng = random.Random(3)
+    marks = ["".join(chr(rng.randrange(lo, lo + 3000)) for _ in range(400)) for lo in (0x4E00, 0x6000)]
+    long = "".join(chr(rng.randrange(0x4E00, 0x4E00 + 3000)) for _ in range(300_000))
+
+    def grams(t):
+        t = " " + t + " "
+        return {t[i:i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+    held = langid.Landmarks([langid.presence(t) for t in marks])
+    k, ok = held.kernel([long, marks[1], "?"])
+    for i, t in enumerate([long, marks[1]]):
+        for j, m in enumerate(marks):
+            a, b = grams(t), grams(m)
+            assert k[i, j] == pytest.approx(len(a & b) / (len(a) * len(b)) ** 0.5, abs=1e-6)
+    assert k[0, 0] > 3 * k[0, 1] and ok.tolist() == [True, True, False]
+
+
 def test_language_edge_rows(spark):
     texts = [None, "", "123 !!", "the and of the with that", "le la de les que", "the " * 20_000]
     docs = frame(spark, texts).withColumn(
