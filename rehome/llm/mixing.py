@@ -11,7 +11,10 @@ The result is range-sorted by position.
 
 The cumulative sums never gather a source in one task: hash buckets of about
 ``BUCKET_ROWS`` documents are summed, their sums are accumulated in two
-levels, and running sums are taken inside a bucket.
+levels, and running sums are taken inside a bucket.  Rows of a source that
+share id and size are alike in all but their place: they are summed as one row
+with a count, and dealt out again by chunks of ``CHUNK`` afterwards, so a null
+or repeated id that a large share of the rows have does not meet in one task.
 
 Edge cases.  Null text has size 0; null is a source of its own, last in order.
 Documents of size 0 take nothing.  Repeated rows are documents of their own.
@@ -30,6 +33,7 @@ from rehome.session import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 500
 SUPER = 1024
+CHUNK = 1024
 
 # (time, weight) knots; the integrals are the weights 5, 2 and 1.
 SCHEDULES = (((0.0, 7.5), (1.0, 2.5)),
@@ -122,9 +126,16 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        "source_size", "target", "_kind"))
     inside = Window.partitionBy(*key, "_b").orderBy("_h", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    spans = sized.withColumn("_cum", F.sum("size").over(inside) - F.col("size")) \
-        .join(offsets, key + ["_b"])
-    start = F.col("_off") + F.col("_cum")
+    alike = sized.groupBy(*key, "_b", "_h", "doc_id", "size").agg(F.count(F.lit(1)).alias("_n"))
+    all_of = F.col("size") * F.col("_n")
+    spans = alike.withColumn("_cum", F.sum(all_of).over(inside) - all_of).join(offsets, key + ["_b"])
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    low = F.col("_chunk") * CHUNK
+    spans = (spans.withColumn("_chunk", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / CHUNK))))
+        .repartition(n, *key, "_h", "doc_id", "size", "_chunk")
+        .withColumn("_at", F.explode(F.sequence(low, F.least(low + CHUNK, F.col("_n")) - 1))))
+    start = F.col("_off") + F.col("_cum") + F.col("_at") * F.col("size")
     words = F.floor(F.col("target") + 0.5).cast("bigint")
 
     def took(e):
@@ -147,5 +158,4 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        time(0).alias("position"),
                        (time(1) if max_passes > 1 else F.lit(None).cast("double"))
                        .alias("repeat_position"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return out.repartitionByRange(n, "position", "doc_id").sortWithinPartitions("position", "doc_id")

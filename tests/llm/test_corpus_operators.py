@@ -1,5 +1,6 @@
 """Brute-force comparisons and edge cases of operators 1 to 5 and the pipeline."""
 
+import hashlib
 import random
 import re
 
@@ -250,6 +251,44 @@ def test_mixing_targets_and_bounds(spark):
     assert at == sorted(at)
 
 
+def shuffled(df):
+    """(bytes written, largest partition) of each shuffle that ``df`` has run."""
+    df.collect()
+    todo, out = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            p = p.executedPlan()
+        if p.getClass().getSimpleName() == "ShuffleQueryStageExec":
+            sizes = list(p.mapStats().get().bytesByPartitionId())
+            out.append((sum(sizes), max(sizes)))
+            p = p.plan()
+        elif p.getClass().getSimpleName().endswith("QueryStageExec"):
+            p = p.plan()
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+def test_mixing_deals_out_rows_of_one_id(spark):
+    docs = [(None, "x " * (i % 7), "a") for i in range(40_000)] + [(5, "x x", "a")] * 9000
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
+    out = mixing.mix_sources(df, max_passes=1, budget_share=0.5)
+    large = [x for x in shuffled(out) if x[0] > 20_000]
+    assert all(most < 0.6 * total for total, most in large)
+    rows = sorted(((r["position"], r["size"], r["taken"]) for r in out.collect()
+                   if r["taken"]))
+    sizes = {None: sorted(i % 7 for i in range(40_000)), 5: [2] * 9000}
+    order = sizes[5] + sizes[None] if hashlib.md5(b"5").hexdigest() < hashlib.md5(b"").hexdigest() \
+        else sizes[None] + sizes[5]
+    left, want = -(-sum(order) // 2), []
+    for x in order:
+        if min(x, left) > 0:
+            want.append((x, min(x, left)))
+            left -= min(x, left)
+    assert [x[1:] for x in rows] == want and len({x[0] for x in rows}) == len(rows)
+
+
 def test_mixing_without_words(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert {(r["size"], r["target"], r["taken"]) for r in mixing.mix_sources(df).collect()} \
