@@ -7,9 +7,12 @@ ridge regression on a bounded labelled sample gives one-versus-rest weights
 per landmark; prediction is the product of the texts' presence vectors with the landmarks',
 then with the weights.  N-grams are compared as they are, not by hash.
 
-Bounds (parameters): at most ``MAX_LANGS`` labels, ``N_LANDMARKS`` landmarks
-and about ``N_TRAIN`` training documents a label, picked by hash of the id.
-Only these are collected, as n-gram sets and kernel rows; texts never are.
+The sample has ``N_LANDMARKS`` landmarks and about ``N_TRAIN`` training
+documents a label, picked by hash of id and text among the distinct ones.  There
+may be any number of labels: beyond ``MAX_LANDMARKS`` or ``MAX_TRAIN`` in all,
+each label gets fewer (never under ``MIN_TRAIN`` training documents), and every
+label is still fitted.  Only the sample is collected, as n-gram sets and kernel
+rows; texts never are.
 
 Edge cases.  A text that is null or has no letter is ``und`` with score 0.
 Without any labelled row every text is ``und``.  Repeated rows are judged
@@ -23,10 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rehome.llm.common import decode, map_texts
+from rehome.session import bounded_broadcast, materialize
 
 N_LANDMARKS = 24
 N_TRAIN = 400
-MAX_LANGS = 200
+MAX_LANDMARKS = 100 * N_LANDMARKS
+MAX_TRAIN = 100 * N_TRAIN
+MIN_TRAIN = 8
 RIDGE = 1e-2
 TEMPERATURE = 8.0
 BATCH = 128
@@ -91,16 +97,14 @@ class Landmarks:
         return np.stack([self.kernel_of(x) for x in sets]), np.array([len(x) > 0 for x in sets])
 
 
-def _sample(labelled: DataFrame, per_label: int, salt: int) -> DataFrame:
-    """About ``per_label`` rows a label, by hash of id and text: a row's chance
-    is the wanted number over the label's count, so no label is gathered."""
-    counts = labelled.groupBy("_label").count()
-    n = counts.count()
-    if n > MAX_LANGS:
-        raise ValueError(f"{n} labels; at most {MAX_LANGS} are supported")
-    rows = labelled.join(F.broadcast(counts), "_label")
-    u = (F.pmod(F.xxhash64(F.lit(salt), "_id"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    return rows.where(u * F.col("count") < per_label).select("_label", "_id", "_text")
+def _sample(labelled: DataFrame, counts: DataFrame, per_label: float, salt: int) -> DataFrame:
+    """About ``per_label`` of the distinct rows of each label, by hash of id and
+    text: a row's chance is the wanted number over the label's count, so no
+    label is gathered."""
+    rows = labelled.join(bounded_broadcast(counts), "_label")
+    u = (F.pmod(F.xxhash64(F.lit(salt), "_row"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    return rows.where(u * F.col("count") < per_label).groupBy("_label", "_row").agg(
+        F.first("_text").alias("_text"))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
@@ -108,16 +112,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
           ridge: float = RIDGE) -> dict | None:
     """Fit on the rows that ``where`` admits; None when none has a label."""
     rows = docs if where is None else docs.where(where)
+    text = F.col(f"`{text_col}`")
     rows = rows.select(F.col(f"`{label_col}`").cast("string").alias("_label"),
-                       F.col(f"`{id_col}`").cast("string").alias("_id"),
-                       F.col(f"`{text_col}`").alias("_text")).where(
+                       F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("_row"),
+                       text.alias("_text")).where(
         F.col("_label").isNotNull() & F.col("_text").isNotNull())
+    # A text without a letter can teach nothing and takes no place in the sample.
+    rows = rows.where(F.col("_text").cast("string").rlike(r"\p{L}"))
+    counts = materialize(rows.groupBy("_label", "_row").agg(F.lit(1)).groupBy("_label").count(),
+                         "langid-labels")
+    n = max(counts.count(), 1)
 
     def make_sets():
         return lambda texts: [[presence(decode(t)) for t in texts]]
 
     picked = [(r["_label"], r["codes"]) for r in map_texts(
-        _sample(rows, n_landmarks, 1), "_text", make_sets, [("codes", "array<bigint>")],
+        _sample(rows, counts, min(n_landmarks, MAX_LANDMARKS / n), 1), "_text", make_sets, [("codes", "array<bigint>")],
         ["_label"]).collect() if r["codes"]]
     if not picked:
         return None
@@ -132,24 +142,26 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
             return [[r if o else None for r, o in zip(k.tolist(), ok, strict=True)]]
         return fn
 
-    got = [(r["_label"], r["k"]) for r in map_texts(
-        _sample(rows, n_train, 2), "_text", make_rows, [("k", "array<float>")],
-        ["_label"]).collect() if r["k"]]
+    got = map_texts(
+        _sample(rows, counts, min(n_train, max(MIN_TRAIN, MAX_TRAIN / n)), 2), "_text", make_rows,
+        [("k", "array<float>")], ["_label"]).where("k IS NOT NULL").toArrow().combine_chunks()
     own = np.stack([marks.kernel_of(x) for x in sets])
-    got += list(zip([x for x, _ in picked], own.tolist(), strict=True))
-    got.sort(key=lambda x: (x[0], x[1]))
-    labels = sorted({x for x, _ in got})
-    k_nm = np.array([k for _, k in got], np.float64)
-    y = np.full((len(got), len(labels)), -1.0)
-    weight = np.zeros(len(got))
-    for i, (x, _) in enumerate(got):
-        y[i, labels.index(x)] = 1.0
-    for j in range(len(labels)):  # every label weighs the same in the fit
-        own_rows = y[:, j] > 0
-        weight[own_rows] = len(got) / (len(labels) * own_rows.sum())
-    left = k_nm.T @ (weight[:, None] * k_nm) + ridge * len(got) * own.astype(np.float64) \
+    names = got.column("_label").to_pylist() + [x for x, _ in picked]
+    k_nm = np.concatenate([*(c.flatten().to_numpy().reshape(-1, len(picked))
+                             for c in got.column("k").chunks), own])
+    order = sorted(range(len(names)), key=lambda i: (names[i], k_nm[i].tobytes()))
+    k_nm = k_nm[order]
+    labels, first, size = np.unique([names[i] for i in order], return_index=True,
+                                    return_counts=True)
+    labels = labels.tolist()
+    # Every label weighs the same in the fit; its targets are 1 in its own rows, else -1.
+    weight = np.repeat(len(names) / (len(labels) * size), size).astype(np.float32)
+    k_w = weight[:, None] * k_nm
+    right = np.add.reduceat(k_w, first, axis=0, dtype=np.float64)
+    right = (2 * right - right.sum(axis=0)).T
+    left = (k_nm.T @ k_w).astype(np.float64) + ridge * len(names) * own.astype(np.float64) \
         + 1e-6 * np.eye(len(picked))
-    alpha = np.linalg.solve(left, k_nm.T @ (weight[:, None] * y))
+    alpha = np.linalg.solve(left, right)
     held.unpersist()
     return {"labels": labels, "landmarks": marks, "alpha": alpha.astype(np.float32)}
 

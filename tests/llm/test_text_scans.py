@@ -335,6 +335,22 @@ def test_language_kernel_of_a_very_long_text_is_exact():
     assert k[0, 0] > 3 * k[0, 1] and ok.tolist() == [True, True, False]
 
 
+def test_language_with_many_labels_and_repeated_ids(spark):
+    rng = random.Random(4)
+    words = [[noise(rng, "abcdefghijklmnopqrstuvwxyz", 6) for _ in range(5)] for _ in range(230)]
+    rows = [(None, " ".join(rng.choice(w) for _ in range(12)), f"l{j}")
+            for j, w in enumerate(words) for _ in range(60 if j < 3 else 3)]
+    rows += [(None, "ääbb ccöö düüd", "copies")] * 3000 + [(None, "1 2", "copies")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert len(model["labels"]) == 231
+    out = langid.predict(docs, model, keep=("text", "lang"))
+    r = out.where("text != '1 2'").groupBy("lang").agg(
+        F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("ok")).collect()
+    assert sum(x["ok"] for x in r) / len(r) > 0.9
+    assert {x["ok"] for x in r if x["lang"] in ("l0", "l1", "l2", "copies")} == {1.0}
+
+
 def test_language_edge_rows(spark):
     texts = [None, "", "123 !!", "the and of the with that", "le la de les que", "the " * 20_000]
     docs = frame(spark, texts).withColumn(
