@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rehome.llm import ann, decontam, langid, licenses, minhash, mixing, pii, secrets, suffix, urlrules
+from rehome.llm import (ann, decontam, langid, licenses, minhash, mixing, periodic, pii, secrets,
+                        simhash, suffix, urlrules, whitening)
 from rehome.llm.common import read_table
 
 QUERIES = {}
@@ -84,3 +85,49 @@ def op10_langid(spark, sf_dir):
     model = langid.train(docs, where=~out_of_sample)
     out = langid.predict(docs, model, keep=("doc_id",))
     return out.select("doc_id", out_of_sample.alias("held_out"), "lang_pred", "score")
+
+
+@query("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    out = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    # A deviation too large for a long is null.
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@query("op12_simhash")
+def op12_simhash(spark, sf_dir):
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def with_planted_runs(docs):
+    """The query's rule: in one document of ten, as the id's checksum says, the
+    words from some position on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    out = docs.select("doc_id", "text", F.floor(h / 10).alias("g"),
+                      F.when(h % 10 == 0, words).alias("w"))
+    out = out.withColumn("n", F.coalesce(F.size("w"), F.lit(0)).cast("bigint"))
+    out = out.withColumn("a", F.expr("g % nullif(n, 0)"))
+    out = out.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    tail = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n") - F.col("a") - 1),
+                       lambda i: F.get("w", (F.col("a") + i % F.col("p")).cast("int")))
+    text = F.concat_ws(" ", F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), tail))
+    return out.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic")
+def op13_periodic(spark, sf_dir):
+    docs = with_planted_runs(read_table(spark, sf_dir, "documents"))
+    out = periodic.periodic_runs(docs)
+    top = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    out = out.withColumn("top", top)
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                    r["period"].cast("string")), F.lit("\n")))
+    return out.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("top.s").alias("start"),
+        (-F.col("top.l")).alias("length"), F.col("top.p").alias("period"),
+        F.expr("1000 * -top.l div top.p").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
