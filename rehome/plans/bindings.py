@@ -51,11 +51,16 @@ def tgt_users(spark, sf) -> DataFrame:
 # Undeclared and nested keys that a payload must keep as they are.
 JOB_REST = (',"libraries":[{"jar":"dbfs:/x.jar"},{"pypi":{"package":"p"}}],"email_notifications":'
             '{"on_failure":["a@example.com"]},"max_retries":null,"spark_jar_task":'
-            '{"main_class_name":"m.M","parameters":["1",2,1.5]}')
-CLUSTER_REST = (',"init_scripts":[{"dbfs":{"destination":"dbfs:/i.sh"}}],"cluster_log_conf":'
+            '{"main_class_name":"m.M","parameters":["1",2,1.50]},"twice":{"k":1,"k":{"k":2}},'
+            '"big":12345678901234567890123456789012345678901234567890, "sp" : [ 1.10 ,"}{\\"" ]')
+CLUSTER_REST = (',"init_scripts":[{"dbfs":{"destination":"dbfs:/i.sh","n":1.10,"n":2}}],"cluster_log_conf":'
                 '{"dbfs":{"destination":"dbfs:/logs"}}')
 
 
+# A document nested too deeply to be edited, in one job of 1,024.
+TOO_DEEP = ',"deep":' + "[" * 40 + "]" * 40
+
+
 # -- B-job: jobs ----------------------------------------------------------------
 def jobs(spark, sf) -> DataFrame:
     o = table(spark, sf, "orders")
@@ -76,6 +81,7 @@ def jobs(spark, sf) -> DataFrame:
                              F.lit(',"schedule":{"quartz_cron_expression":"0 0 '),
                              _s(F.col("o_orderkey") % 24),
                              F.lit(' * * ?","timezone_id":"UTC"}'), F.lit(JOB_REST),
+                             F.when(F.col("o_orderkey") % 1024 == 7, F.lit(TOO_DEEP)).otherwise(F.lit("")),
                              F.lit("}}")).alias("doc"))
 
 

@@ -459,7 +459,7 @@ FROM (SELECT group_name, count(*) AS n,
       FROM ({GROUP_ROLES}) GROUP BY group_name) r
 LEFT JOIN ({GROUPS_TGT}) t ON r.group_name = t.displayName"""
 
-CLUSTER_REST = (',"init_scripts":[{"dbfs":{"destination":"dbfs:/i.sh"}}],"cluster_log_conf":'
+CLUSTER_REST = (',"init_scripts":[{"dbfs":{"destination":"dbfs:/i.sh","n":1.10,"n":2}}],"cluster_log_conf":'
                 '{"dbfs":{"destination":"dbfs:/logs"}}')
 # A pool that is missing on the target is created first when it was exported.
 DECIDED = f"""
@@ -475,15 +475,14 @@ FROM (SELECT c.*, coalesce(regexp_matches(cluster_name, '^job-[0-9]+-run-[0-9]+$
       FROM ({CLUSTERS}) c) c
 LEFT JOIN ({POOL_MAP}) m ON c.instance_pool_id = m.old_id
 LEFT JOIN ({POOLS_SRC}) s ON c.instance_pool_id = s.instance_pool_id"""
-# Allow-listed keys in their order; rewritten keys move to the end; nested
-# objects come out with sorted keys.
+# Allow-listed keys in their order and as written; rewritten keys move to the end.
 CLUSTER_PAYLOAD = f"""'{{"cluster_name":"' || cluster_name || '","spark_version":"' || (c_nationkey % 12 + 1) || '.'
   || (c_custkey % 4) || '.x-scala2.12"'
   || CASE WHEN instance_pool_id IS NULL THEN ',"node_type_id":"i3.xlarge","driver_node_type_id":"i3.xlarge"' ELSE '' END
   || ',"num_workers":' || c_nationkey || ',"autotermination_minutes":60'
   || CASE WHEN instance_pool_id IS NULL THEN ',"enable_elastic_disk":' || (c_custkey % 2 = 1) ELSE '' END
   || CASE WHEN pinned THEN ',"pinned_by_user_name":"admin"' ELSE '' END || '{CLUSTER_REST}'
-  || ',"custom_tags":{{"OriginalCreator":"' || creator || '"' || coalesce(',"team":"' || team || '"', '') || '}}'
+  || ',"custom_tags":{{' || coalesce('"team":"' || team || '",', '') || '"OriginalCreator":"' || creator || '"}}'
   || CASE WHEN instance_pool_id IS NULL
        THEN ',"aws_attributes":{{"availability":"SPOT_WITH_FALLBACK","ebs_volume_size":100,'
          || '"ebs_volume_type":"GENERAL_PURPOSE_SSD","first_on_demand":1'
@@ -499,27 +498,29 @@ FROM ({DECIDED})"""
 # Jobs: an exported cluster that the plan creates is rewired after that.
 SETTINGS_REST = ""","libraries":[{"jar":"dbfs:/x.jar"},{"pypi":{"package":"p"}}],"email_notifications":""" \
     """{"on_failure":["a@example.com"]},"max_retries":null,"spark_jar_task":""" \
-    """{"main_class_name":"m.M","parameters":["1",2,1.5]}"""
-DEFAULT_SORTED = ('{"enable_elastic_disk":false,"node_type_id":"i3.xlarge","num_workers":8,'
-                  '"spark_env_vars":{"PYSPARK_PYTHON":"/usr/bin/python3"},"spark_version":"6.1.x-scala2.11"}')
+    """{"main_class_name":"m.M","parameters":["1",2,1.50]},"twice":{"k":1,"k":{"k":2}},""" \
+    """"big":12345678901234567890123456789012345678901234567890, "sp" : [ 1.10 ,"}{\\"" ]"""
 PLANNED_JOBS = f"""
 SELECT j.job_id, j.name, j.ecid, m.new_id, d.cluster_name AS later_name,
   CASE WHEN j.ecid IS NULL THEN 'new_cluster' WHEN m.new_id IS NOT NULL THEN 'rewired'
        WHEN d.cluster_id IS NOT NULL THEN 'rewire_after_create' ELSE 'reset_default' END AS outcome,
-  '{{"name":"' || j.name || '","schedule":{{"quartz_cron_expression":"0 0 ' || (j.job_id % 24)
-    || ' * * ?","timezone_id":"UTC"}}{SETTINGS_REST}' AS body
+  '{{"name":"' || j.name || '",' AS head,
+  '"schedule":{{"quartz_cron_expression":"0 0 ' || (j.job_id % 24)
+    || ' * * ?","timezone_id":"UTC"}}{SETTINGS_REST}}}' AS body
 FROM ({JOBS}) j
 LEFT JOIN (SELECT c.cluster_id AS old_id, t.cluster_id AS new_id FROM ({CLUSTERS}) c
            JOIN ({TGT_CLUSTERS}) t ON c.cluster_name = t.cluster_name) m ON j.ecid = m.old_id
 LEFT JOIN (SELECT cluster_id, cluster_name FROM ({DECIDED}) WHERE action IN ('create', 'create_and_pin')) d
   ON j.ecid = d.cluster_id"""
 ORACLE["pl4_plan_jobs"] = f"""
-SELECT job_id, name AS job_name, 'create' AS action, outcome, ecid AS old_cluster_id,
+SELECT job_id, name AS job_name, CASE WHEN job_id % 1024 = 7 THEN 'malformed_document' ELSE 'create' END AS action,
+  outcome, ecid AS old_cluster_id,
   CASE WHEN outcome = 'rewired' THEN new_id END AS new_cluster_id,
   CASE WHEN outcome = 'rewire_after_create' THEN 'cluster:' || later_name END AS target_ref,
   CASE WHEN outcome = 'reset_default' THEN '6.1.x-scala2.11' END AS new_cluster_version,
-  body || CASE outcome WHEN 'rewired' THEN ',"existing_cluster_id":"' || new_id || '"'
-               WHEN 'reset_default' THEN ',"new_cluster":{DEFAULT_SORTED}' ELSE '' END || '}}' AS settings_json,
+  CASE WHEN job_id % 1024 <> 7 THEN
+    head || CASE outcome WHEN 'rewired' THEN '"existing_cluster_id":"' || new_id || '",'
+                 WHEN 'reset_default' THEN '"new_cluster":{AWS_DEFAULT_JSON},' ELSE '' END || body END AS settings_json,
   8 AS stage
 FROM ({PLANNED_JOBS})"""
 
