@@ -152,15 +152,32 @@ def ref_id(ref) -> Column:
 
 # -- SC16 ------------------------------------------------------------------
 # Quoted text and quoted names may hold any of the signs a definition is made
-# of, so they are blanked before it is taken apart.
-_STRINGS = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
-_HEAD = r"(?is)^\s*CREATE\b.*\b(?:TABLE|VIEW)\s+(?:IF\s+NOT\s+EXISTS\s+)?\S+\s*$"
-_COLUMN = r"(?is)^\s*(?!(?:CONSTRAINT|PRIMARY|FOREIGN|CHECK|UNIQUE)\b)[^\s]+\s+\S"
-_GENERIC = r"(?is)\b(?:ARRAY|MAP|STRUCT)\s*$"
+# of; each counts as one piece.  Nested parentheses and type arguments are
+# matched down to ``DDL_DEPTH`` levels.  All loops over them are possessive, so
+# a definition is taken apart in linear time.
+DDL_DEPTH = 16
+_STRING = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
+_QUOTED = _STRING + r"|`[^`]*+`"
+
+
+def _nested(left: str, right: str, depth: int = DDL_DEPTH) -> str:
+    """A balanced pair of signs with everything between them."""
+    deeper = "|" + _nested(left, right, depth - 1) if depth > 1 else ""
+    return rf"""{left}(?:[^'"`{left}{right}]++|{_QUOTED}{deeper})*+{right}"""
+
+
+_PARENS = _nested(r"\(", r"\)")
+_GENERIC = rf"(?:ARRAY|MAP|STRUCT)\s*+{_nested('<', '>')}"
+_LIST = (r"(?is)^\s*+CREATE\b(?:[^(),<>'\"`]|" + _QUOTED + r")*?\b(?:TABLE|VIEW)\s+(?:IF\s+NOT\s+EXISTS\s+)?"
+         r"(?:[^\s(),<>'\"`]|" + _QUOTED + r")++\s*+\(((?:[^'\"`()]++|" + _QUOTED + "|" + _PARENS + r")*+)")
+_ITEM = rf"(?is)(?:\b{_GENERIC}|{_QUOTED}|{_PARENS}|[^,])++"
+_NAME = r"(?:`[^`]*+`|[^\s`]++)++"
+_COLUMN = rf"(?is)^\s*+(?!(?:CONSTRAINT|PRIMARY|FOREIGN|CHECK|UNIQUE)\b)({_NAME})\s++(?=\S)"
+_TYPE = rf"(?is)^((?:{_GENERIC}|[^\s'\"`(),<>]++(?:\s*+{_PARENS})?+))"
 
 
 def _blanked(ddl: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(ddl, _STRINGS, "s"), r"`[^`]*`", "q")
+    return F.regexp_replace(F.regexp_replace(ddl, "(?s)" + _STRING, "s"), r"`[^`]*`", "q")
 
 
 def ddl_provider(ddl) -> Column:
@@ -175,40 +192,27 @@ def ddl_location(ddl) -> Column:
     return F.when(opt != "", opt).otherwise(loc)
 
 
-def ddl_n_columns(ddl) -> Column:
-    """Column definitions in the list right after the table's name; 0 without
-    such a list.
+def ddl_columns(ddl) -> Column:
+    """array<struct<name, type>> of the column list right after the table's
+    name; empty without such a list, null for null.
 
-    The definition is cut at parentheses, commas and angle brackets and folded
-    with the current depth, so type arguments, nested types and default
-    expressions belong to their column; a column is an item of the list that
-    starts with a (quoted or plain) name and more text.
+    The list is cut out by one pattern and split at its own commas by another;
+    quoted text, parentheses and type arguments are stepped over whole.  A
+    column is an item that starts with a (quoted or plain) name and more text,
+    and is no table constraint.  The type is written as in the definition,
+    arguments included.
     """
-    parts = F.regexp_extract_all(_blanked(_c(ddl)), F.lit(r"[(),<>]|[^(),<>]+"), 0)
-    zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("angle"), F.lit(0).alias("n"),
-                    F.lit(0).alias("state"), F.lit(True).alias("fresh"),
-                    F.lit(False).alias("generic"))
-
-    # state: 0 before the list, 1 inside, 2 after it (or no list at all)
-    def fold(s, x):
-        text = ~x.isin("(", ")", ",", "<", ">")
-        starts = (s["state"] == 0) & (x == "(")
-        inside = s["state"] == 1
-        top = inside & (s["depth"] == 1) & (s["angle"] == 0)
-        depth = s["depth"] + F.when(x == "(", 1).when(x == ")", -1).otherwise(0)
-        angle = s["angle"] + F.when((x == "<") & (s["generic"] | (s["angle"] > 0)), 1).when(
-            (x == ">") & (s["angle"] > 0), -1).otherwise(0)
-        state = (F.when((s["state"] == 0) & text & ~x.rlike(_HEAD), 2)
-                 .when(starts, 1).when(inside & (depth == 0), 2).otherwise(s["state"]))
-        counts = top & s["fresh"] & text & x.rlike(_COLUMN)
-        return F.struct(
-            F.when(starts | inside, depth).otherwise(0).alias("depth"),
-            F.when(inside, angle).otherwise(0).alias("angle"),
-            (s["n"] + F.when(counts, 1).otherwise(0)).alias("n"), state.alias("state"),
-            F.when(top & (x == ","), True).when(top & text, False).otherwise(s["fresh"])
-            .alias("fresh"), (text & x.rlike(_GENERIC)).alias("generic"))
-
-    return F.when(_c(ddl).isNotNull(), F.aggregate(parts, zero, fold, lambda s: s["n"]))
+    items = F.filter(F.regexp_extract_all(F.regexp_extract(_c(ddl), _LIST, 1), F.lit(_ITEM), F.lit(0)),
+                     lambda x: x.rlike(_COLUMN))
+    return F.transform(items, lambda x: F.struct(
+        F.regexp_replace(F.regexp_extract(x, _COLUMN, 1), "^`(.*)`$", "$1").alias("name"),
+        F.regexp_extract(F.regexp_replace(x, _COLUMN, ""), _TYPE, 1).alias("type")))
+
+
+def ddl_n_columns(ddl) -> Column:
+    """Number of ``ddl_columns``."""
+    items = F.regexp_extract_all(F.regexp_extract(_c(ddl), _LIST, 1), F.lit(_ITEM), F.lit(0))
+    return F.size(F.filter(items, lambda x: x.rlike(_COLUMN)))
 
 
 # -- FLT8 ------------------------------------------------------------------

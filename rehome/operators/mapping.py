@@ -48,6 +48,26 @@ def ambiguous_keys(df: DataFrame, key: str) -> DataFrame:
             .where(F.col("n") > 1))
 
 
+def split_duplicates(df: DataFrame, key: str, id_col: str, ord_col: str
+                     ) -> tuple[DataFrame, DataFrame]:
+    """(rows that count, duplicates).  Of several rows of one natural key the
+    last by ``ord_col`` counts (then the largest id), as in ``last_wins``; the
+    others come back as (key, id, ``winner``: the id that counts).  Rows
+    without a key count each.  Every row is on exactly one side.
+
+    Only keys that occur twice are joined back, so a hot key costs one
+    partial aggregate and a lookup.
+    """
+    at = F.struct(F.col(ord_col).alias("o"), F.col(id_col).alias("i"))
+    top = (df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_dup_key"))
+           .agg(F.max(at).alias("_dup_top"), F.count(F.lit(1)).alias("_dup_n"))
+           .where(F.col("_dup_n") > 1).drop("_dup_n"))
+    j = left_lookup(df, top, F.col(key), "_dup_key", DEFAULT_BROADCAST_ROWS)
+    lost = F.col("_dup_top").isNotNull() & ~at.eqNullSafe(F.col("_dup_top"))
+    return (j.where(~lost).select(*df.columns),
+            j.where(lost).select(key, id_col, F.col("_dup_top.i").alias("winner")))
+
+
 # -- JN1 ---------------------------------------------------------------------
 def id_map(source: DataFrame, target: DataFrame, key: str, id_col: str,
            ord_col: str | None = None,

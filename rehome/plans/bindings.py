@@ -121,6 +121,22 @@ def ws_items(spark, sf) -> DataFrame:
     return o.unionByName(homes).unionByName(trash)
 
 
+def tree_items(spark, sf) -> DataFrame:
+    """(object_id, parent_id, trash): customers are folders in chains of 30;
+    some chains hang from a folder that was never listed, some bite their own
+    tail, some folders are trash.  Orders are items in the folder of their
+    customer."""
+    k = F.col("c_custkey")
+    chain = F.floor(k / 30)
+    head = (F.when(chain % 7 == 3, k + 1_000_000_000_000)
+            .when(chain % 7 == 5, k + 29 - k % 30))
+    folders = table(spark, sf, "customer").select(k.alias("object_id"), F.when((k % 30 == 0) | (k == 1), head).otherwise(k - 1)
+                       .alias("parent_id"), (k % 41 == 9).alias("trash"))
+    return folders.unionByName(table(spark, sf, "orders").select(
+        (F.col("o_orderkey") + 1_000_000_000).alias("object_id"), F.col("o_custkey").alias("parent_id"),
+        F.lit(False).alias("trash")))
+
+
 def ws_target(spark, sf) -> DataFrame:
     """Target homes: a folder for customers kept on the target; a notebook
     squatting on the home path for every eighth customer."""

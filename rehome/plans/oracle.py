@@ -193,6 +193,20 @@ FROM b GROUP BY target_group_id, batch"""
 ORACLE["hr1_reachable"] = f"""
 SELECT path, object_id, CAST(len({PARTS.format(p='path')}) AS INTEGER) AS depth
 FROM ({WS_ITEMS}) WHERE path <> '/' AND {TRASH_KEEP}"""
+# Walked from the top down; what is never met is on a cycle or below one.
+ORACLE["hr1_reachable_by_parent"] = """
+WITH RECURSIVE t AS (
+  SELECT c_custkey AS id, CASE WHEN c_custkey % 30 <> 0 AND c_custkey <> 1 THEN c_custkey - 1
+      WHEN c_custkey // 30 % 7 = 3 THEN c_custkey + 1000000000000
+      WHEN c_custkey // 30 % 7 = 5 THEN c_custkey + 29 - c_custkey % 30 END AS parent, c_custkey % 41 = 9 AS trash
+  FROM customer UNION ALL SELECT o_orderkey + 1000000000, o_custkey, false FROM orders),
+w AS (
+  SELECT t.id, t.parent, t.trash, 1 AS depth, t.parent IS NULL AS here FROM t LEFT JOIN t p ON t.parent = p.id
+  WHERE p.id IS NULL
+  UNION ALL SELECT t.id, t.parent, t.trash OR w.trash, w.depth + 1, w.here FROM w JOIN t ON t.parent = w.id)
+SELECT t.id AS object_id, t.parent AS parent_id, CASE WHEN here AND NOT w.trash THEN depth END AS depth,
+  CASE WHEN w.id IS NULL THEN 'cycle' WHEN NOT here THEN 'orphan' WHEN w.trash THEN 'pruned' ELSE 'reachable' END AS status
+FROM t LEFT JOIN w ON t.id = w.id"""
 ACLS = f"""SELECT '/' || CASE WHEN object_type = 'NOTEBOOK' THEN 'notebooks' ELSE 'directories' END
     || '/' || object_id AS object_id,
   '[{{"user_name":"' || regexp_extract(path, '^/Users/([^/]*)', 1) || '","permission_level":"' || l.lvl || '"}}]'
@@ -385,6 +399,10 @@ FROM part"""
 # The facts are known from how the definitions were made; nothing is parsed.
 DDL_FACTS = "prov AS provider, loc AS location, CAST(cols AS INTEGER) AS n_columns"
 ORACLE["sc16_ddl_facts"] = f"SELECT db, \"table\", {DDL_FACTS} FROM ({TABLE_DEFS})"
+ORACLE["sc16_ddl_columns"] = f"""
+SELECT db, "table", i, 'c' || (i + 1) AS name, CASE (i + 1) % 5 WHEN 0 THEN 'INT' WHEN 1 THEN 'STRING'
+  WHEN 2 THEN 'DECIMAL(10,2)' WHEN 3 THEN 'STRUCT<a:INT,b:ARRAY<STRING>>' ELSE 'MAP<STRING,DECIMAL(5,1)>' END AS type
+FROM (SELECT db, "table", unnest(range(cols)) AS i FROM ({TABLE_DEFS}))"""
 ORACLE["sc17_clean_key"] = "SELECT c_custkey, c_name AS \"user\", 'db' || c_nationkey AS db FROM customer"
 
 # ---------------------------------------------------------------------------
@@ -565,7 +583,7 @@ LEFT JOIN ({ACLS}) a ON a.object_id = '/' || k.kind || '/' || i.object_id
 LEFT JOIN ({WS_TARGET}) t ON t.path = i.path AND t.object_type = i.object_type"""
 ORACLE["pl8_plan_tables"] = f"""
 SELECT NULL::VARCHAR AS "table", db, 'create_if_absent' AS action, NULL::VARCHAR AS import_route,
-  NULL::VARCHAR AS role, 11 AS stage
+  NULL::VARCHAR AS role, NULL::VARCHAR AS payload, NULL::BIGINT AS n_parts, NULL::VARCHAR AS payload_md5, 11 AS stage
 FROM (SELECT db FROM ({TABLE_DEFS}) UNION SELECT split_part("table", '.', 1) FROM ({RETRY})
       WHERE outcome = 'resolved')
 UNION ALL
@@ -573,13 +591,21 @@ SELECT db || '.' || "table" AS "table", db,
   CASE WHEN ddl IS NULL OR length(ddl) <= 0 THEN 'failed' ELSE 'create' END AS action,
   CASE WHEN octet_length(encode(ddl)) IS NULL OR octet_length(encode(ddl)) <= 0 THEN 'error'
        WHEN octet_length(encode(ddl)) > 1024 THEN 'upload' ELSE 'inline' END AS import_route,
-  NULL::VARCHAR AS role, 12 AS stage
+  NULL::VARCHAR AS role, CASE WHEN octet_length(encode(ddl)) <= 1024 THEN ddl END,
+  CASE WHEN octet_length(encode(ddl)) > 1024 THEN CAST(ceil(octet_length(encode(ddl)) / 750000.0) AS BIGINT) END,
+  md5(ddl), 12 AS stage
 FROM ({TABLE_DEFS})
 UNION ALL
 SELECT "table", CASE WHEN outcome <> 'invalid' THEN split_part("table", '.', 1) END AS db,
   CASE outcome WHEN 'resolved' THEN 'create_after_retry' WHEN 'remaining' THEN 'failed' ELSE 'invalid_name' END,
-  NULL::VARCHAR, role, 12
+  NULL::VARCHAR, role, NULL::VARCHAR, NULL::BIGINT, NULL::VARCHAR, 12
 FROM ({RETRY})"""
+# The definitions are plain ASCII, so their bytes are their characters.
+ORACLE["pl8_upload_parts"] = f"""
+SELECT "table", db, part, n_parts, to_base64(encode(substring(ddl, part * 1000 + 1, 1000))) AS content,
+  CAST(length(substring(ddl, part * 1000 + 1, 1000)) AS BIGINT) AS n_bytes, md5(ddl) AS md5
+FROM (SELECT db || '.' || "table" AS "table", db, ddl, n_parts, unnest(range(n_parts)) AS part
+      FROM (SELECT *, CAST(ceil(length(ddl) / 1000.0) AS BIGINT) AS n_parts FROM ({TABLE_DEFS}) WHERE length(ddl) > 1024))"""
 ORACLE["pl10_plan_cleanup"] = f"""
 SELECT 'cluster' AS kind, cluster_id AS key, 'unpin' AS action, 101 AS stage FROM ({TGT_CLUSTERS})
 UNION ALL SELECT 'cluster', cluster_id, 'permanent_delete', 102 FROM ({TGT_CLUSTERS})
@@ -740,15 +766,33 @@ UNION ALL
 FROM ({WS_ITEMS}) WHERE object_type = 'LIBRARY'
 UNION ALL
 {_row("'cluster_libraries'", 'c.cluster_id', "'attached'", n_items='coalesce(l.n, 0)')}
-FROM ({CLUSTERS}) c LEFT JOIN (SELECT CAST(l_suppkey AS VARCHAR) AS id, count(DISTINCT l_partkey) AS n
+FROM (SELECT cluster_id FROM ({CLUSTERS}) UNION ALL SELECT 'old-' || c_custkey FROM customer WHERE c_custkey % 20 = 7)
+  c LEFT JOIN (SELECT CAST(l_suppkey AS VARCHAR) AS id, count(DISTINCT l_partkey) AS n
   FROM lineitem GROUP BY l_suppkey) l ON l.id = c.cluster_id
 UNION ALL
+{_row("'cluster'", "'old-' || cluster_id", "'skip_duplicate'", target_ref="'cluster:' || cluster_id", stage="7")}
+FROM ({CLUSTERS}) WHERE c_custkey % 20 = 7
+UNION ALL
+{_row("'ambiguous'", 'cluster_name', "'clusters'", "'source'", n_items='2')} FROM ({CLUSTERS}) WHERE c_custkey % 20 = 7
+UNION ALL
+{_row("'instance_pool'", "'old-' || instance_pool_id", "'skip_duplicate'",
+      target_ref="'instance_pool:' || instance_pool_id", stage="6")}
+FROM ({POOLS_SRC}) WHERE CAST(split_part(instance_pool_id, '-', 2) AS INTEGER) % 20 = 7
+UNION ALL
+{_row("'ambiguous'", 'instance_pool_name', "'instance_pools'", "'source'", n_items='2')}
+FROM ({POOLS_SRC}) WHERE CAST(split_part(instance_pool_id, '-', 2) AS INTEGER) % 20 = 7
+UNION ALL
+{_row("'user'", "'old-' || id", "'skip_duplicate'", target_ref="'user:' || id", stage="2")}
+FROM ({SRC_USERS}) WHERE ord % 300 = 11
+UNION ALL
+{_row("'ambiguous'", 'userName', "'users'", "'source'", n_items='2')} FROM ({SRC_USERS}) WHERE ord % 300 = 11
+UNION ALL
 {_row("'mount'", "'/mnt/' || s_name", "'s3a://b-' || s_nationkey")} FROM supplier
 UNION ALL
-{_row("'dropped_field'", 'f', "'clusters'", n_items='(SELECT count(*) FROM customer)')}
+{_row("'dropped_field'", 'f', "'clusters'", n_items='(SELECT count(*) + count_if(c_custkey % 20 = 7) FROM customer)')}
 FROM (VALUES ('state'), ('undeclared')) v(f)
 UNION ALL
-{_row("'dropped_field'", "'id'", "'users'", n_items='(SELECT count(*) FROM customer)')}
+{_row("'dropped_field'", "'id'", "'users'", n_items='(SELECT count(*) + count_if(c_custkey % 300 = 11) FROM customer)')}
 UNION ALL
 {_row("'malformed'", 'l', 's')}
 FROM (VALUES ('users.log', 'source'), ('users.log', 'target'), ('groups/broken', 'source')) v(l, s)

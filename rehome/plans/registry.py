@@ -28,7 +28,7 @@ from rehome.plans.compute import (decide_clusters, plan_cleanup, plan_clusters,
                                   plan_profiles, planned_clusters)
 from rehome.plans.identity import plan_groups, plan_users
 from rehome.plans.jobs import plan_jobs
-from rehome.plans.tables import plan_tables
+from rehome.plans.tables import plan_tables, upload_parts
 from rehome.plans.workspace import plan_acls, plan_home, plan_import, plan_workspace
 from rehome.session import scratch_path
 from rehome.sources import readers as RD
@@ -258,6 +258,12 @@ def q_hr1(spark, sf):
     return WS.reachable(B.ws_items(spark, sf), "/").select("path", "object_id", "depth")
 
 
+@query("hr1_reachable_by_parent")
+def q_hr1_parent(spark, sf):
+    return WS.reachable_by_parent(B.tree_items(spark, sf), stop_col="trash").select(
+        "object_id", "parent_id", "depth", "status")
+
+
 @query("jn8_attach_acls")
 def q_jn8(spark, sf):
     nb = FL.filter_item_type(B.ws_items(spark, sf), "NOTEBOOK")
@@ -595,6 +601,19 @@ def q_pl8(spark, sf):
     return plan
 
 
+@query("pl8_upload_parts")
+def q_pl8_parts(spark, sf):
+    """Definitions above the inline limit in parts of 1,000 bytes."""
+    return upload_parts(B.table_defs(spark, sf), part_bytes=1000)
+
+
+@query("sc16_ddl_columns")
+def q_sc16_columns(spark, sf):
+    """A row per column of every definition."""
+    cols = B.table_defs(spark, sf).select("db", "table", F.posexplode(PL.ddl_columns("ddl")).alias("i", "c"))
+    return cols.select("db", "table", F.col("i").cast("long").alias("i"), "c.name", "c.type")
+
+
 @query("pl9_plan_home")
 def q_pl9(spark, sf):
     """One home that exists on the target and one that is archived."""
@@ -880,9 +899,21 @@ def export_workspaces(spark, sf, empty_target=False):
 
     def listed(rows, kind):
         return rows.where(F.col("object_type") == kind).select("path", "object_id")
-    _write_export(spark, src_dir, _users_with_roles(
-        B.src_users(spark, sf).select("id", "userName"), B.role_pairs(spark, sf, True)),
-        B.clusters_full(spark, sf), B.pools_src(spark, sf), B.profiles_registered(spark, sf),
+    # Objects listed before under the name of another one.
+    users = B.src_users(spark, sf).select("id", "userName")
+    old_users = users.where(F.col("id").cast("long") % 300 == 11).withColumn(
+        "id", F.concat(F.lit("old-"), "id"))
+    clusters, pools = B.clusters_full(spark, sf).select("doc"), B.pools_src(spark, sf).select("doc")
+
+    def older(docs, key, rest):
+        """Earlier listings of some objects, under ids of their own."""
+        i = F.regexp_extract("doc", f'"{key}":"{rest}([0-9]+)"', 1).cast("long")
+        return docs.where(i % 20 == 7).withColumn("doc", F.regexp_replace(
+            "doc", f'"{key}":"', f'"{key}":"old-')).unionByName(docs)
+    _write_export(spark, src_dir, old_users.select("id", "userName", F.lit(None).cast(
+        "array<struct<value:string>>").alias("roles")).unionByName(
+        _users_with_roles(users, B.role_pairs(spark, sf, True))),
+        older(clusters, "cluster_id", ""), older(pools, "instance_pool_id", "pool-"), B.profiles_registered(spark, sf),
         B.jobs(spark, sf), listed(items, "DIRECTORY"), listed(items, "NOTEBOOK"),
         listed(items, "LIBRARY"))
     _write_group_docs(spark, sf, f"{src_dir}/groups")

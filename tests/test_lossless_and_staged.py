@@ -240,7 +240,7 @@ def test_import_into_an_empty_target_has_no_dead_letters(spark):
     src, tgt = export_workspaces(spark, SF, empty_target=True)
     plans = plan_all(spark, src, tgt, archive_missing=True)
     users = {r[0] for r in plans["users"].select("action").distinct().collect()}
-    assert users == {"create", "add_roles_after_create"}
+    assert users == {"create", "add_roles_after_create", "skip_duplicate"}
     groups = plans["groups"].where("kind <> 'group_members' or target_ref is not null")
     assert {r[0] for r in groups.select("action").distinct().collect()} == {
         "create", "add_members_after_create", "add_roles_after_create"}

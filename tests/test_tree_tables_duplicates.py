@@ -1,0 +1,148 @@
+"""Parent-pointer trees, column lists, upload parts and duplicate natural keys."""
+
+import base64
+import hashlib
+import random
+
+import pytest
+
+from rehome.functions.payload import ddl_columns, ddl_n_columns
+from rehome.operators.mapping import split_duplicates
+from rehome.operators.workspace import reachable_by_parent
+from rehome.plans.identity import duplicate_rows
+from rehome.plans.tables import plan_tables, upload_parts
+from rehome.sources.readers import _listing, read_jsonl
+
+
+def walk(rows, root):
+    """Status and depth by following the pointers one by one."""
+    by = {}
+    for i, parent, stop in rows:
+        if i is not None:
+            p, s = by.get(i, (parent, False))
+            key = lambda x: (x is None, x if x is not None else 0)
+            by[i] = (min(p, parent, key=key), s or stop)
+    used = {p for _, p, _ in rows}
+    out = []
+    for i, parent, stop in rows:
+        if root is not None and i == root:
+            out.append((i, parent, None, "outside"))
+            continue
+        blocked, depth, seen, at = stop, 1, set(), parent
+        while True:
+            if root is not None and at == root:
+                status = "reachable"
+                break
+            if at is None:
+                status = "reachable" if root is None else "outside"
+                break
+            if at not in by or at not in used:
+                status = "orphan"
+                break
+            if at in seen:
+                status = "cycle"
+                break
+            seen.add(at)
+            blocked, depth, at = blocked or by[at][1], depth + 1, by[at][0]
+        if status == "reachable" and blocked:
+            status = "pruned"
+        out.append((i, parent, depth if status == "reachable" else None, status))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_parent_pointers_equal_a_walk(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, i - 1 if i % 40 else None, False) for i in range(1, 121)]  # chains of up to 40 levels
+    rows += [(200, 201, False), (201, 202, False), (202, 200, False), (203, 203, False), (204, 202, True)]
+    rows += [(300 + i, rng.choice([None, 999, 203, rng.randrange(1, 121), 300 + rng.randrange(60)]),
+              rng.random() < 0.2) for i in range(60)]
+    rows += [(None, 5, False), (None, None, False), (7, 300, False), (7, 6, False)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "object_id long, parent_id long, trash boolean")
+    for root in (None, 40, 310, 12345):
+        got = reachable_by_parent(df, root, stop_col="trash").collect()
+        assert sorted([(r.object_id, r.parent_id, r.depth, r.status) for r in got], key=str) == walk(rows, root)
+
+
+def test_parent_pointers_of_strings_and_nothing(spark):
+    df = spark.createDataFrame([("a", None), ("b", "a"), ("c", "x")], "id string, up string")
+    got = {r.id: (r.depth, r.status) for r in reachable_by_parent(df, id_col="id", parent_col="up").collect()}
+    assert got == {"a": (1, "reachable"), "b": (2, "reachable"), "c": (None, "orphan")}
+    got = {r.id: r.status for r in reachable_by_parent(df, "x", "id", "up").collect()}
+    assert got == {"a": "outside", "b": "outside", "c": "reachable"}
+    assert reachable_by_parent(df.where("false"), id_col="id", parent_col="up").collect() == []
+
+
+@pytest.mark.parametrize("ddl,want", [
+    ("CREATE TABLE t (a INT, `b c` STRING COMMENT 'x, y INT) (', d DECIMAL( 10 , 2 ) NOT NULL)",
+     [("a", "INT"), ("b c", "STRING"), ("d", "DECIMAL( 10 , 2 )")]),
+    ("create external table IF NOT EXISTS `d`.`t(`(m MAP<STRING, ARRAY<STRUCT<a:INT,`b,`:STRING>>>, n int)",
+     [("m", "MAP<STRING, ARRAY<STRUCT<a:INT,`b,`:STRING>>>"), ("n", "int")]),
+    ("CREATE TABLE t (a INT DEFAULT (1 + (2)), b BOOLEAN DEFAULT 1 < 2, CONSTRAINT c CHECK (a > 1, b), PRIMARY KEY (a))",
+     [("a", "INT"), ("b", "BOOLEAN")]),
+    ("CREATE TABLE t (a INT COMMENT \"it's (\", b INT COMMENT 'say \\'(\\'')\nUSING CSV OPTIONS (path 'x', k 'v')",
+     [("a", "INT"), ("b", "INT")]),
+    ("CREATE VIEW v AS SELECT f(a, b c) FROM t", []), ("CREATE TABLE t USING CSV OPTIONS (a b, c d)", []),
+    ("DROP TABLE t (a INT)", []), ("", []), ("CREATE TABLE t ()", []),
+    ("CREATE TABLE t (" + ", ".join(f"c{i} ARRAY<INT>" for i in range(3000)) + ")",
+     [(f"c{i}", "ARRAY<INT>") for i in range(3000)]),
+])
+def test_column_lists(spark, ddl, want):
+    row = spark.createDataFrame([(ddl,)], "d string").select(ddl_columns("d"), ddl_n_columns("d")).first()
+    assert ([tuple(c) for c in row[0]], row[1]) == (want, len(want))
+
+
+def test_long_definitions_take_linear_time_and_null_is_null(spark):
+    long = "CREATE TABLE t (a STRING COMMENT '" + "x, (" * 200_000 + "', b INT, c STRUCT<" + "x:INT," * 100_000 + "y:INT>)"
+    df = spark.createDataFrame([(long,), (None,), ("CREATE TABLE " + "(" * 50_000,)], "d string")
+    assert [r[0] for r in df.select(ddl_n_columns("d")).collect()] == [3, None, 0]
+
+
+def test_uploads_reassemble_and_inline_rows_carry_the_text(spark):
+    texts = ["CREATE TABLE a (x INT)", "CREATE TABLE b (x INT) COMMENT '" + "äö€𝄞" * 700 + "'", "é" * 512, "é" * 513,
+             "", None, "y" * 2048]
+    defs = spark.createDataFrame([("d", f"t{i}", t) for i, t in enumerate(texts)], "db string, table string, ddl string")
+    parts = {}
+    for r in upload_parts(defs, 1000).collect():
+        parts.setdefault(r.table, []).append(r)
+    long = {f"d.t{i}": t for i, t in enumerate(texts) if t and len(t.encode()) > 1024}
+    assert set(parts) == set(long)
+    for name, rows in parts.items():
+        rows.sort(key=lambda r: r.part)
+        raw = b"".join(base64.b64decode(r.content, validate=True) for r in rows)
+        assert raw.decode() == long[name] and {r.n_parts for r in rows} == {len(rows)}
+        assert {r.md5 for r in rows} == {hashlib.md5(raw).hexdigest()}
+        assert all(r.n_bytes == 1000 for r in rows[:-1]) and sum(r.n_bytes for r in rows) == len(raw)
+    none = spark.createDataFrame([], "table string")
+    plan, _ = plan_tables(defs, none, spark.createDataFrame([], "role string, ord long"),
+                          spark.createDataFrame([], "table string, role string, ok boolean"))
+    for r in plan.where("table is not null").collect():
+        text = texts[int(r.table[3:])]
+        if not text:
+            assert (r.action, r.payload, r.n_parts, r.payload_md5) == ("failed", None, None, None)
+        else:
+            assert r.action == "create" and r.payload_md5 == hashlib.md5(text.encode()).hexdigest()
+            assert (r.payload, r.n_parts) == ((None, 1) if r.table in long else (text, None))
+
+
+def test_every_row_of_a_natural_key_has_a_side(spark):
+    rows = [("a", "1", 1), ("a", "2", 3), ("a", "3", 2), ("b", "4", 1), (None, "5", 1), (None, "6", 1), ("c", "8", 1),
+            ("c", "7", 1)]
+    df = spark.createDataFrame(rows, "name string, id string, o long")
+    one, twice = split_duplicates(df, "name", "id", "o")
+    assert one.columns == df.columns
+    assert sorted(r.id for r in one.collect()) == ["2", "4", "5", "6", "8"]
+    plan = {r.key: (r.action, r.target_ref) for r in duplicate_rows(twice, "user", "id", 2).collect()}
+    assert plan == {"1": ("skip_duplicate", "user:2"), "3": ("skip_duplicate", "user:2"), "7": ("skip_duplicate", "user:8")}
+
+
+def test_run_times_come_from_the_listing(spark, tmp_path):
+    """The lines of a log are scanned once: the order reads file metadata only."""
+    from rehome.schemas import CLUSTERS
+    for i in range(3):
+        (tmp_path / f"f{i}").write_text('{"cluster_id": "c%d"}\n' % i)
+    listed = _listing(spark, str(tmp_path))
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    plan = read_jsonl(spark, str(tmp_path), CLUSTERS, ordered=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
