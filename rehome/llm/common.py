@@ -49,17 +49,26 @@ def packed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
 
 
+def _free_name(name: str, taken: set[str]) -> str:
+    while name in taken:
+        name += "_kept"
+    return name
+
+
 def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable], fields: Sequence[tuple],
               keep: Sequence[str] = (), row: bool = False) -> DataFrame:
     """Add columns computed in Python from one text column.
 
     ``make()`` runs once per task and returns ``fn(list of bytes or None) ->
     list of columns`` in the order of ``fields`` (name, type).  ``keep``
-    columns, or with ``row=True`` the whole row as struct ``row``, go along.
+    columns, or with ``row=True`` the whole row as struct ``row``, go along.  A
+    kept column with the name of an added one comes back as ``<name>_kept``.
     Texts stream through in slices, so a task never holds its partition.
     """
     head = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if row else []
-    src = df.select(*head, *[F.col(f"`{c}`") for c in keep],
+    taken = {n for n, _ in fields} | {"__text"} | ({"row"} if row else set())
+    names = {c: _free_name(c, taken | (set(keep) - {c})) for c in keep}
+    src = df.select(*head, *[F.col(f"`{c}`").alias(names[c]) for c in keep],
                     F.col(f"`{text_col}`").cast("binary").alias("__text"))
     passed = src.schema.fields[:-1]
     schema = StructType(passed + [StructField(n, _parse_datatype_string(t), True)

@@ -1,8 +1,8 @@
 """License scan by an exact set-similarity join with license templates.
 
 DataFrame functions only.  A document's words are cut into overlapping blocks
-of ``2 * SPAN`` words, so every passage of up to ``SPAN`` words lies whole in
-a block.  A block fits a template if it contains at least ``THRESHOLD`` of the
+of ``2 * span`` words every ``span`` words, where ``span`` is the length of the
+longest template (``SPAN`` at least), so a template's passage lies whole in a block.  A block fits a template if it contains at least ``THRESHOLD`` of the
 template's distinct words.  Tokens are ordered by their document frequency in
 the corpus, rare ones first.  A pair can only fit if the prefixes of both (all
 but the last ``need - 1`` tokens) share a token, the block has ``need`` tokens
@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 from rehome.session import materialize
 
 THRESHOLD = 0.9
+# Least words between block starts; longer templates widen it.
 SPAN = 40
 
 # Phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"),
            ("general public license", "gpl"))
 
-# License statements (at most SPAN words each) and their labels.
+# License statements and their labels.
 TEMPLATES = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this "
@@ -75,6 +76,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple = ("doc_i
     spark = docs.sparkSession
     sets = [(label, sorted(set(text.split()))) for label, text in templates]
     vocab = sorted({w for _, s in sets for w in s})
+    span = max([SPAN] + [len(text.split()) for _, text in templates])
     needs = [math.ceil(threshold * len(s) - 1e-9) for _, s in sets]
 
     def words_of(tokens):
@@ -121,8 +123,8 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple = ("doc_i
     texts = base.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.first("_norm").alias("_norm"))
     words = F.split("_norm", " ")
     blocks = texts.select("_key", words.alias("_w")).select("_key", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size("_w"), F.lit(SPAN)),
-        lambda i: F.array_intersect(F.slice(F.col("_w"), i, 2 * SPAN), words_of(vocab)))).alias("_b"))
+        F.sequence(F.lit(1), F.size("_w"), F.lit(span)),
+        lambda i: F.array_intersect(F.slice(F.col("_w"), i, 2 * span), words_of(vocab)))).alias("_b"))
     ranks = F.create_map(*[x for w, r in rank.items() for x in (F.lit(w), F.lit(r))])
     least = min(needs)
     blocks = blocks.where(F.size("_b") >= least).withColumn(

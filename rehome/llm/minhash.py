@@ -25,7 +25,9 @@ slack with probability below 1e-6.
 
 Edge cases.  Documents without words have the empty set and are linked with
 nothing, as are rows with a null id (their component is null, kept true).
-Rows of one id are one document for linking and returned row by row.
+Rows of one id are one document for linking, whatever their texts (two texts
+of one id link whatever is near either of them), and returned row by row.
+Other columns of the table are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,6 +51,7 @@ HASHES = BANDS * ROWS
 LANES = HASHES * BITS // 64
 SLACK = 0.16
 BLOCK = 2048
+BLOCK_VALUES = 1 << 21
 CHUNK = 256
 
 _rng = np.random.default_rng(20240131)
@@ -231,17 +234,20 @@ def cross_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     ``rows``: bucket key and band, id, component, signature, all band keys
     (32 bits each), set, and whether the row is outside its bucket's leading
     component (``_odd``).  Odd rows meet every block of their bucket; neither
-    side of a meeting exceeds about ``BLOCK`` rows.
+    side of a meeting exceeds about ``BLOCK`` rows, or ``BLOCK_VALUES`` set
+    values (a row larger than that counts as one).
     """
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     enough = min_equal(percent)
+    size = F.size("set").cast("bigint")
     counts = materialize(rows.groupBy("_k").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col("_odd").cast("bigint")).alias("_m")),
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col("_odd").cast("bigint")).alias("_m"),
+        F.sum(size).alias("_nv"), F.sum(F.when(F.col("_odd"), size).otherwise(0)).alias("_mv")),
         "minhash-counts")
     rows = rows.join(counts, "_k")
-    blocks = F.floor(F.col("_n") / BLOCK) + 1
-    chunks = F.floor(F.col("_m") / BLOCK) + 1
+    blocks = F.greatest(F.floor(F.col("_n") / BLOCK), F.floor(F.col("_nv") / BLOCK_VALUES)) + 1
+    chunks = F.greatest(F.floor(F.col("_m") / BLOCK), F.floor(F.col("_mv") / BLOCK_VALUES)) + 1
     own = F.xxhash64("_id")
     cols = ["_k", "_band", "_id", "_c", "sig", "keys", "set"]
     base = rows.select(*cols, F.lit(0).alias("_side"), F.pmod(own, blocks).alias("_x"),
@@ -362,7 +368,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(slim.select(F.col("_id").alias("b"), F.col("sig").alias("_sb")), "b")
     star = materialize(star.where(equal_lanes(F.col("_sa"), F.col("_sb")) >= min_equal(percent))
                        .select("a", "b"), "minhash-star")
-    links = materialize(confirm(star, docs, id_col, text_col, percent), "minhash-links")
+    links = confirm(star, docs, id_col, text_col, percent)
+    # An id with several texts belongs to all their classes.
+    several = known.groupBy("_id").agg(F.min("digest").alias("_d"), F.max("digest").alias("_e")) \
+        .where(F.col("_d") != F.col("_e")).select("_id")
+    own = known.select("_id", "digest").join(several, "_id", "left_semi").distinct().join(
+        classes.select("digest", F.col("_id").alias("b")), "digest").select(
+        F.col("_id").alias("a"), "b")
+    links = materialize(links.unionByName(own), "minhash-links")
     labels = connected(links)  # (node, component) of linked nodes
 
     rows = materialize(unsettled(placed, labels), "minhash-unsettled")

@@ -1,0 +1,128 @@
+"""Extra columns with the names operators use, ids on rows of different
+content, and templates of any length."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from rehome.llm import (ann, decontam, langid, licenses, minhash, mixing, periodic, pii, secrets, simhash,
+                        suffix, urlrules, whitening)
+from tests.llm.test_corpus_operators import components, near_sets
+
+# Result and helper columns of every operator and stage.
+NAMES = ["row", "score", "lang_pred", "n_words", "n_hit", "items", "hits", "masked", "n_spans", "__text", "_id", "_text",
+         "n_shingles", "component_id", "kept", "digest", "bands", "sig", "spans", "base_sha256", "n_email", "n_assign",
+         "labels", "base_labels", "first_word", "last_word", "n_base", "_norm", "_key", "_tokens", "size", "source_size",
+         "target", "taken", "position", "fingerprint", "_fp", "runs", "collapsed", "n", "query_id", "rank", "component",
+         "deviation", "whitened", "explained", "identity_error", "_v", "verdict", "rule", "host", "path", "a b", "x.y"]
+EXTRA = ", ".join(f"`{n}` string" for n in NAMES)
+TEXTS = ["the mit license and a mail to ann@example.org", "le chat est sur la table avec un livre", None, "", "12 34",
+         "password = 'Hunter2abcXYZ9' " * 3, "the quick brown fox jumps over the lazy dog again and again today"]
+
+
+def documents(spark):
+    rows = [(i, t, ["en", "fr", None][i % 3], f"s{i % 2}", len(t or ""), *["x"] * len(NAMES))
+            for i, t in enumerate(TEXTS * 3)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + EXTRA)
+
+
+@pytest.fixture
+def sf_dir(spark, tmp_path):
+    spark.createDataFrame([(1, TEXTS[-1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_every_stage_takes_columns_of_any_name(spark, sf_dir):
+    docs = documents(spark)
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and {r["score"] for r in rows} == {r["x.y"] for r in rows} == {"x"}, name
+    assert {r["taken"] for r in cp.STAGES[-1][1](spark, docs, sf_dir).collect()} != {"x"}
+    rows = cp.language_id(spark, docs, sf_dir).collect()
+    assert all(r["lang"] for r in rows) and {r["doc_id"] % 7 for r in rows} == {0, 1, 5, 6}
+
+
+def test_every_operator_takes_columns_of_any_name(spark):
+    docs = documents(spark)
+    bench = spark.createDataFrame([(1, TEXTS[-1], "x")], "item_id long, text string, i string")
+    keep = ("doc_id", "score", "n_words", "spans", "row")
+    model = langid.train(docs, where=F.lit(True))
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for make in (lambda d, **k: langid.predict(d, model, **k), lambda d, **k: decontam.contamination(d, bench, **k),
+                 pii.find_pii, pii.mask_pii, secrets.find_secrets):
+        want = sorted(map(str, make(plain, keep=("doc_id",)).collect()))
+        out = make(docs, keep=keep)
+        assert len(set(out.columns)) == len(out.columns) and "row" in out.columns
+        added = make(plain, keep=("doc_id",)).columns
+        assert sorted(map(str, out.select(*added).collect())) == want
+        kept = [c for c in out.columns if c not in added]
+        assert kept and all(set(r) == {"x"} for r in out.select(*kept).collect())
+        assert make(docs, row=True).select("row.*").columns == docs.columns
+    for make in (minhash.near_duplicates, simhash.near_duplicates, suffix.repeated_passages, licenses.scan_licenses,
+                 mixing.mix_sources, periodic.periodic_runs):
+        assert sorted(map(str, make(docs).collect())) == sorted(map(str, make(plain).collect()))
+    vec = spark.createDataFrame([(i, [float(i), i % 3 - 0.5], *["x"] * len(NAMES)) for i in range(30)],
+                                "vec_id long, embedding array<double>, " + EXTRA)
+    short = vec.select("vec_id", "embedding")
+    for make in (whitening.whiten, lambda v: ann.nearest(v, F.col("vec_id") % 10 == 0)):
+        assert sorted(map(str, make(vec).collect())) == sorted(map(str, make(short).collect()))
+    pages = spark.createDataFrame([(1, "http://a.net/x", *["x"] * len(NAMES))], "page_id long, url string, " + EXTRA)
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+    assert urlrules.judge_urls(pages, rules).collect() == urlrules.judge_urls(
+        pages.select("page_id", "url"), rules).collect()
+
+
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    def text(seed, n=60):
+        rng = np.random.default_rng(seed)
+        return " ".join(f"w{x}" for x in rng.integers(0, 500, n))
+    a, b, c, d = (text(i) for i in range(4))
+    near_c = c + " extra"
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, c), (11, near_c), (11, d), (12, d), (20, text(9)), (20, text(10)),
+            (21, text(10)), (30, ""), (30, None), (31, "")]
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sets = [(i, near_sets(t)) for i, t in rows]
+    links = [(i, j) for i, x in sets for j, y in sets if i < j and x and y
+             and 100 * len(x & y) >= 85 * len(x | y)]
+    want = components({i for i, _ in rows}, links)
+    assert want[5] == want[7] == 3 and want[12] == 9 and want[21] == 20
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == sorted(
+        (i, want[i], want[i] == i) for i, _ in rows)
+
+
+def test_nearest_of_ids_with_several_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 40)
+    rng = np.random.default_rng(4)
+    rows = [(int(i) % 60, [float(x) for x in rng.standard_normal(4)]) for i in range(150)]
+    rows += [(7, [v + 1e-3 * k for v in rows[0][1]]) for k in range(1, 25)]  # one id crowds around a query
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(got) == {0, 20, 40}
+    hits = 0
+    for q, found in got.items():
+        mine = [np.array(v) for i, v in rows if i == q]
+        best = {}
+        for i, v in rows:
+            if i != q:
+                best[i] = min([best.get(i, 1e9)] + [float(np.linalg.norm(m - np.array(v))) for m in mine])
+        want = sorted((d, i) for i, d in best.items())[:10]
+        assert [r for r, _, _ in found] == list(range(1, 11)) and len({i for _, i, _ in found}) == 10
+        assert all(abs(best[i] - d) < 1e-9 for _, i, d in found)
+        hits += len({i for _, i, _ in found} & {i for _, i in want})
+    assert hits >= 27
+
+
+def test_templates_of_any_length_are_found(spark):
+    words = [f"term{i}" for i in range(130)]
+    text = "see below " * 9 + " ".join(words[:64] + ["changed"] + words[65:]) + " the end" * 30
+    df = spark.createDataFrame([(1, text), (2, " ".join(words[:100])), (3, None)], "doc_id long, text string")
+    out = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(
+        df, templates=(("long", " ".join(words)), ("short", "term3 term4 term5"))).collect()}
+    assert out[1] == ("long,short", 1.0) and out[2] == ("short", 1.0) and out[3] == ("", 0.0)
+    only = licenses.scan_licenses(df, templates=(("long", " ".join(words)),)).collect()
+    assert {r.doc_id: (r.labels, round(r.score, 3)) for r in only} == {1: ("long", 0.992), 2: ("", 0.0), 3: ("", 0.0)}
