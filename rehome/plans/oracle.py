@@ -619,6 +619,10 @@ SELECT CASE WHEN event_id % 97 <> 0 THEN event_id END AS event_id,
   CASE WHEN event_id % 97 <> 0 THEN user_id END AS user_id,
   CASE WHEN event_id % 97 <> 0 THEN event_type END AS event_type, event_id % 97 = 0 AS is_corrupt
 FROM events"""
+ORACLE["snk5_artifact_tree"] = """
+SELECT '/Users/u' || c_custkey || '/d/n %20' || (c_custkey % 3) AS path, CAST(length(c_name) AS BIGINT) AS n_bytes,
+  md5(c_name) AS content_md5
+FROM customer"""
 ORACLE["src2_read_json_docs"] = f"""
 SELECT target_group_id AS "group", CAST(sum(n_members) AS BIGINT) AS n_members, count(*) AS n_docs
 FROM ({GROUP_PATCHES}) GROUP BY target_group_id"""

@@ -32,6 +32,7 @@ from rehome.plans.tables import plan_tables, upload_parts
 from rehome.plans.workspace import plan_acls, plan_home, plan_import, plan_workspace
 from rehome.session import scratch_path
 from rehome.sources import readers as RD
+from rehome.sources.exact_files import write_exact_files
 from rehome.sources import sinks as SK
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -681,9 +682,10 @@ def q_src2(spark, sf):
 
 @query("src3_read_definition_tree")
 def q_src3(spark, sf):
+    """One file per definition, under the names of the export layout."""
     path = scratch_path(spark, "src3")
-    SK.write_definition_tree(B.table_defs(spark, sf), path)
-    back = RD.read_definition_tree(spark, path, layout="partition")
+    SK.write_definition_tree(B.table_defs(spark, sf), path, layout="tree")
+    back = RD.read_definition_tree(spark, path)
     return back.select("db", "table", F.length("ddl").alias("n_chars"), F.md5("ddl").alias("ddl_md5"))
 
 
@@ -702,6 +704,20 @@ def q_src4(spark, sf):
                     F.md5("content").alias("content_md5"))
 
 
+@query("snk5_artifact_tree")
+def q_snk5_tree(spark, sf):
+    """One artifact per customer under its workspace path, read back; a literal
+    ``%20``, a blank and a double slash must survive the round trip."""
+    c = B.table(spark, sf, "customer")
+    path = scratch_path(spark, "snk5-tree")
+    name = F.concat(F.lit("/Users/u"), F.col("c_custkey").cast("string"), F.lit("//d/n %20"),
+                    (F.col("c_custkey") % 3).cast("string"))
+    SK.write_artifact_tree(c.select(name.alias("path"), PL.encode_b64(
+        F.encode("c_name", "UTF-8")).alias("content")), path)
+    a = RD.read_artifact_tree(spark, path)
+    return a.select("path", "n_bytes", F.md5("content").alias("content_md5"))
+
+
 @query("src5_unwrap_listing")
 def q_src5(spark, sf):
     e = B.table(spark, sf, "events")
@@ -844,17 +860,6 @@ def q_jn10_status(spark, sf):
 # ---------------------------------------------------------------------------
 # Switching over: export folders in the reference layout -> plan_all
 # ---------------------------------------------------------------------------
-def _put_files(spark, root, files):
-    """A few small files under exact names (the writers choose their own)."""
-    for name, text in files.items():
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
-
-
 def _write_export(spark, root, users, clusters, pools, profiles, jobs, dirs, notebooks, libraries):
     broken = spark.range(1).select(F.lit('{"id": "cut", "userNa').alias("value"))
     (users.select(F.to_json(F.struct("*")).alias("value")).unionByName(broken)
@@ -938,11 +943,17 @@ def export_workspaces(spark, sf, empty_target=False):
                               F.concat(F.lit("s3a://b-"), F.col("s_nationkey").cast("string"))
                               .alias("source"), F.lit("").alias("encryptionType")),
                    f"{src_dir}/dbfs_mounts.log")
-    # File trees have one file per object; the nation table has 25 rows.
-    keys = sorted(r[0] for r in nation.select("n_nationkey").collect())
-    _put_files(spark, src_dir, {f"artifacts/Users/u{k}/d/x {k}%20.dbc": f"n{k}" for k in keys}
-               | {f"metastore/db{k % 3}/t{k}": f"CREATE TABLE `db{k % 3}`.`t{k}` (`a` INT)\nUSING CSV"
-                  for k in keys} | {"groups/broken": '{"id": "x", "members": ['})
+    k = F.col("n_nationkey")
+    key, db = k.cast("string"), F.concat(F.lit("db"), (k % 3).cast("string"))
+    SK.write_artifact_tree(nation.select(
+        F.concat(F.lit("/Users/u"), key, F.lit("/d/x "), key, F.lit("%20")).alias("path"),
+        PL.encode_b64(F.encode(F.concat(F.lit("n"), key), "UTF-8")).alias("content")), f"{src_dir}/artifacts")
+    SK.write_definition_tree(nation.select(
+        db.alias("db"), F.concat(F.lit("t"), key).alias("table"),
+        F.concat(F.lit("CREATE TABLE `"), db, F.lit("`.`t"), key, F.lit("` (`a` INT)\nUSING CSV")).alias("ddl")),
+        f"{src_dir}/metastore", layout="tree")
+    write_exact_files(spark.range(1).select(F.lit("broken").alias("path"), F.lit(
+        '{"id": "x", "members": [').alias("content")), f"{src_dir}/groups")
 
     none = F.lit(not empty_target)
     tgt_profiles = nation.where(F.col("n_regionkey").isin(0, 1)).select(
