@@ -49,10 +49,17 @@ def packed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
 
 
-def _free_name(name: str, taken: set[str]) -> str:
-    while name in taken:
-        name += "_kept"
-    return name
+def kept_names(keep: Sequence[str], added: Sequence[str], row: bool = False) -> dict[str, str]:
+    """Name in the result of each kept column: its own, or with ``_kept`` behind
+    it where an operator adds a column of that name."""
+    taken = set(added) | {"__text"} | ({"row"} if row else set())
+    out = {}
+    for c in keep:
+        name = c
+        while name in taken | (set(keep) - {c}):
+            name += "_kept"
+        out[c] = name
+    return out
 
 
 def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable], fields: Sequence[tuple],
@@ -66,9 +73,8 @@ def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable], fields
     Texts stream through in slices, so a task never holds its partition.
     """
     head = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if row else []
-    taken = {n for n, _ in fields} | {"__text"} | ({"row"} if row else set())
-    names = {c: _free_name(c, taken | (set(keep) - {c})) for c in keep}
-    src = df.select(*head, *[F.col(f"`{c}`").alias(names[c]) for c in keep],
+    kept = kept_names(keep, [n for n, _ in fields], row)
+    src = df.select(*head, *[F.col(f"`{c}`").alias(n) for c, n in kept.items()],
                     F.col(f"`{text_col}`").cast("binary").alias("__text"))
     passed = src.schema.fields[:-1]
     schema = StructType(passed + [StructField(n, _parse_datatype_string(t), True)

@@ -5,9 +5,13 @@ Patterns are the benchmark's word windows.  For all patterns of one length
 ahead; only where the jump is 0 the block's bucket of patterns is compared
 word by word.  A word that no pattern contains lets the search jump ``n``.
 
-The benchmark may have any size: its items are dealt to blocks of bounded
-bytes by hash, each block's tables are broadcast, and every document passes
-through all blocks in one scan.
+The benchmark may have any size.  Its distinct items are dealt by hash to
+blocks of about ``BLOCK_BYTES`` of text; only one block's tables exist at a
+time, in the driver and as a broadcast.  Up to one block, a benchmark is
+searched in one scan.  A larger one takes a scan of the documents per block:
+rows get a number that is written with them, each scan writes the rows that it
+hits, and the hit ranges of all scans are merged per row.  An item larger than
+a block is a block of its own.
 
 Edge cases.  Null or empty texts have no words.  Items without words have no
 windows.  A null item id marks words as hit but is not named among the items.
@@ -21,7 +25,8 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rehome.llm.common import alnum_words, map_texts
+from rehome.llm.common import alnum_words, kept_names, map_texts
+from rehome.session import materialize
 
 WINDOW = 10
 # Benchmark text per broadcast block; a block holds at most about this much
@@ -100,26 +105,29 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document: ``n_words``, ``n_hit``, sorted ``items``, ``hits`` (start
     and end word of each merged hit range, flat), besides the kept columns."""
-    spark = docs.sparkSession
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("i"),
                              F.col(f"`{item_text_col}`").cast("binary").alias("t"))
+    items = items.where(F.col("t").isNotNull()).distinct()
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
-    out, fields, keep = docs, [], list(keep)
-    held = []
-    for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b) if blocks > 1 else items
-        held.append(spark.sparkContext.broadcast(
-            build_tables([(r["i"], r["t"] and bytes(r["t"])) for r in part.collect()], size)))
+    if blocks == 1:
+        return map_texts(docs, text_col, _searcher(docs, items, size)[0], FIELDS, list(keep), row)
+    return _search_in_blocks(docs, items, blocks, text_col, keep, row, size)
+
+
+def _searcher(docs: DataFrame, items: DataFrame, size: int):
+    """(function for ``map_texts``, broadcast) that searches for ``items``, at
+    most a block of them."""
+    held = docs.sparkSession.sparkContext.broadcast(
+        build_tables([(r["i"], bytes(r["t"])) for r in items.collect()], size))
 
     def make():
         def one(text):
             words = alnum_words(text or b"")
             ids, hit = set(), bytearray(len(words))
-            for tables in held:
-                for start, n, names in search(words, tables.value):
-                    ids.update(names)
-                    hit[start:start + n] = b"\x01" * n
+            for start, n, names in search(words, held.value):
+                ids.update(names)
+                hit[start:start + n] = b"\x01" * n
             ranges, at = [], hit.find(1)
             while at >= 0:
                 end = hit.find(0, at)
@@ -132,9 +140,48 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             rows = [one(t) for t in texts]
             return [list(c) for c in zip(*rows, strict=True)]
         return fn
+    return make, held
 
-    fields = FIELDS
-    return map_texts(out, text_col, make, fields, keep, row)
+
+def _search_in_blocks(docs, items, blocks, text_col, keep, row, size) -> DataFrame:
+    spark = docs.sparkSession
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = materialize(docs.select(whole.alias("row"), F.monotonically_increasing_id().alias("_rid")),
+                       "decontam-rows")
+    texts = rows.select("_rid", F.col("row").getField(text_col).alias("_text"))
+    parts = None
+    for b in range(blocks):
+        make, held = _searcher(docs, items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b), size)
+        found = map_texts(texts, "_text", make, FIELDS, ["_rid"])
+        # The first scan also counts the words of every row.
+        part = materialize(found if b == 0 else found.where(F.col("n_hit") > 0), "decontam-hits")
+        held.unpersist()
+        parts = part if parts is None else parts.unionByName(part)
+    spans = F.transform(F.sequence(F.lit(0), F.floor(F.size("_r") / 2).cast("int") - 1), lambda i: F.struct(
+        F.get("_r", 2 * i).alias("s"), F.get("_r", 2 * i + 1).alias("e")))
+    merged = parts.groupBy("_rid").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("items")).alias("items"),
+        F.flatten(F.collect_list("hits")).alias("_r"))
+    merged = merged.withColumn("_r", F.when(F.size("_r") > 0, F.array_sort(spans)).otherwise(
+        F.array().cast("array<struct<s:int,e:int>>")))
+
+    def add(out, x):
+        last = F.try_element_at(out, F.lit(-1))
+        joined = F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))),
+                          F.array(F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e"))))
+        return F.when((F.size(out) > 0) & (x["s"] <= last["e"]), joined).otherwise(
+            F.concat(out, F.array(x)))
+    merged = merged.withColumn("_r", F.aggregate("_r", F.array().cast("array<struct<s:int,e:int>>"), add))
+    merged = merged.select(
+        "_rid", "n_words",
+        F.aggregate("_r", F.lit(0).cast("bigint"), lambda n, x: n + x["e"] - x["s"]).alias("n_hit"),
+        F.array_sort(F.array_distinct("items")).alias("items"),
+        F.flatten(F.transform("_r", lambda x: F.array(x["s"], x["e"]))).alias("hits"))
+    out = rows.join(merged, "_rid")
+    names = [f for f, _ in FIELDS]
+    kept = kept_names(keep, names, row)
+    return out.select(*(["row"] if row else []),
+                      *[F.col("row").getField(c).alias(n) for c, n in kept.items()], *names)
 
 
 def digest(names: list[str]) -> str:

@@ -126,3 +126,18 @@ def test_templates_of_any_length_are_found(spark):
     assert out[1] == ("long,short", 1.0) and out[2] == ("short", 1.0) and out[3] == ("", 0.0)
     only = licenses.scan_licenses(df, templates=(("long", " ".join(words)),)).collect()
     assert {r.doc_id: (r.labels, round(r.score, 3)) for r in only} == {1: ("long", 0.992), 2: ("", 0.0), 3: ("", 0.0)}
+
+
+@pytest.mark.parametrize("row", [False, True])
+def test_a_benchmark_of_many_blocks_gives_the_same_result(spark, row):
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join(rng.choice(words, rng.integers(0, 60))), "h") for i in range(40)] + [(7, None, "h"), (8, "", "h")]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 4))) for _ in range(60)]
+    items = [(i % 50, t) for i, t in enumerate(texts)] + [(3, texts[3])] * 5 + [(None, texts[0]), (4, None), (5, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, hits string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    keep = () if row else ("doc_id", "hits")
+    got = [sorted(map(str, decontam.contamination(df, bench, keep=keep, row=row, block_bytes=b).collect()))
+           for b in (1 << 20, 200, 15)]
+    assert got[0] == got[1] == got[2] and any("hits_kept" in r or row for r in got[0])
