@@ -71,7 +71,8 @@ def op8_licenses(spark, sf_dir):
 
 @query("op9_pii")
 def op9_pii(spark, sf_dir):
-    return pii.find_pii(read_table(spark, sf_dir, "documents"), keep=("doc_id",))
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, keep=("doc_id",), field=pii.fit_field(docs))
 
 
 def held_out(id_col="doc_id"):
