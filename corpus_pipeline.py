@@ -58,7 +58,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = pii.mask_pii(docs, row=True)
+    out = pii.mask_pii(docs, row=True, field=pii.fit_field(docs))
     n_chars = F.when(F.col("n_spans") > 0, F.length("masked")).otherwise(F.col("row.n_chars"))
     return out.select(*_columns(docs, text=F.col("masked"),
                                 n_chars=n_chars.cast(docs.schema["n_chars"].dataType)))
