@@ -15,7 +15,9 @@ a block is a block of its own.
 
 Edge cases.  Null or empty texts have no words.  Items without words have no
 windows.  A null item id marks words as hit but is not named among the items.
-Repeated documents and items are judged alike, row by row.
+Repeated documents and items are judged alike, row by row.  An empty
+table gives an empty result.  Extra columns go along by ``keep`` or ``row``, whatever their names
+(see ``common.map_texts``).
 """
 
 from __future__ import annotations

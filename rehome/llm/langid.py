@@ -16,7 +16,9 @@ rows; texts never are.
 
 Edge cases.  A text that is null or has no letter is ``und`` with score 0.
 Without any labelled row every text is ``und``.  Repeated rows are judged
-alike.  ``lang``, ``source`` and the id are never inputs of a prediction.
+alike.  ``lang``, ``source`` and the id are never inputs of a prediction.  An
+empty table gives no model and an empty result.  Extra columns go along by ``keep`` or ``row``, whatever their names
+(see ``common.map_texts``).
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ pairs that pass are verified on the full sets.  These filters lose no pair.
 The templates are a bounded parameter, so their index is broadcast.
 
 Edge cases.  Null text is empty.  Documents of the same words are verified
-once and share the result; repeated rows are returned row by row.
+once and share the result; repeated rows are returned row by row.  Other columns are not read,
+whatever their names, and an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -20,6 +20,8 @@ twice or more.  So, per document:
 Edge cases.  Null and empty texts have no words and no run.  Documents are
 judged one by one, so repeated rows give repeated results; the length of a
 text is not limited (memory is some 100 bytes a word and level of ranks).
+Other columns are not part of the judgement, whatever their names, and an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

@@ -29,7 +29,9 @@ characters before a mention.  These bounds concern added spans only.
 
 Edge cases.  Null text is empty and has no spans; whole texts of any length
 are scanned in linear time; repeated rows are judged alike, and the fit counts
-equal lines of features once, so copies have no more say.
+equal lines of features once, so copies have no more say.  An empty table leaves the
+prior field and gives an empty result.  Extra columns go along by ``keep`` or
+``row``, whatever their names (see ``common.map_texts``).
 """
 
 from __future__ import annotations

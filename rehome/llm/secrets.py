@@ -12,6 +12,8 @@ passphrase.  Literals that overlap a base span are not reported twice.
 
 Edge cases.  Null text is empty and has no spans; any length of text is
 scanned whole in time linear in its length; repeated rows are judged alike.
+An empty table gives an empty result.  Extra columns go along by ``keep`` or ``row``, whatever their names
+(see ``common.map_texts``).
 """
 
 from __future__ import annotations

@@ -30,7 +30,8 @@ by star contraction.
 Edge cases.  Null and empty texts have fingerprint zero and link like any
 other.  With fewer than three words the whole sequence is the one shingle.
 Rows with a null id are linked with nothing (their component is null); rows of
-one id are one document for linking, whatever their texts.
+one id are one document for linking, whatever their texts.  Other columns are not read,
+whatever their names, and an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ with two or more members all its words are repeated.
 
 Edge cases.  Null, empty and short texts (under ``MIN_WORDS`` words) have no
 passage.  Rows with a null id take no part; rows of one id are one document.
-Repetition inside a single document does not count.
+Repetition inside a single document does not count.  Other columns are not read,
+whatever their names, and an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ length the longer host; for equal rules with different verdicts ``block``.
 Edge cases.  A null url or one without ``://`` has empty host and path.
 Rules with a null host, path or verdict are ignored.  No rules, or none that
 fits: rule null, verdict ``default``.  Repeated rows are judged row by row.
+Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

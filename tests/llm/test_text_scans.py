@@ -5,6 +5,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -351,6 +352,57 @@ def test_language_with_many_labels_and_repeated_ids(spark):
     assert {x["ok"] for x in r if x["lang"] in ("l0", "l1", "l2", "copies")} == {1.0}
 
 
+def test_language_fit_equals_a_dense_solve(spark):
+    """Where the sample takes every row: kernels from sets of n-grams, weighted
+    kernel ridge regression by least squares, softmax of the margins."""
+    rng = random.Random(8)
+    letters = {"aa": "abcdefgh", "bb": "efghijkl", "cc": "ijklmnop"}
+    rows = [(" ".join(noise(rng, letters[x], rng.randint(2, 5)) for _ in range(6)), x)
+            for x, n in (("aa", 9), ("bb", 14), ("cc", 5)) for _ in range(n)]
+    fresh = [" ".join(noise(rng, "abcdefghijklmnop", 4) for _ in range(6)) for _ in range(20)]
+    model = langid.train(spark.createDataFrame(
+        [(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string"))
+    got = {r["text"]: r for r in langid.predict(spark.createDataFrame(
+        [(t,) for t in fresh], "text string"), model, keep=("text",)).collect()}
+
+    def grams(t):
+        t = f" {t} "
+        return {t[i:i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+
+    def kernel(some, others):
+        return np.array([[len(a & b) / (len(a) * len(b)) ** 0.5 for b in map(grams, others)]
+                         for a in map(grams, some)])
+    texts, labels = [t for t, _ in rows] * 2, np.array([x for _, x in rows] * 2)
+    names = sorted(letters)
+    marks = [t for t, _ in rows]
+    weight = np.array([len(labels) / (len(names) * (labels == x).sum()) for x in labels]) ** 0.5
+    value, vector = np.linalg.eigh(kernel(marks, marks))
+    root = (vector * np.sqrt(np.maximum(value, 0))).T
+    left = np.vstack([weight[:, None] * kernel(texts, marks),
+                      (langid.RIDGE * len(texts)) ** 0.5 * root, 1e-3 * np.eye(len(marks))])
+    right = np.vstack([weight[:, None] * np.where(labels[:, None] == names, 1.0, -1.0),
+                       np.zeros((2 * len(marks), len(names)))])
+    alpha = np.linalg.lstsq(left, right, rcond=None)[0]
+    p = np.exp(langid.TEMPERATURE * (kernel(fresh, marks) @ alpha))
+    p /= p.sum(axis=1, keepdims=True)
+    assert len({names[i] for i in p.argmax(axis=1)}) == 3
+    for t, row in zip(fresh, p, strict=True):
+        assert got[t]["score"] == pytest.approx(row.max(), abs=2e-3)
+        if np.diff(np.sort(row)[-2:])[0] > 4e-3:
+            assert got[t]["lang_pred"] == names[row.argmax()]
+
+
+def test_scans_of_an_empty_table(spark):
+    none = frame(spark, ["x"]).limit(0).withColumn("lang", F.lit("en"))
+    items = spark.createDataFrame([("b1", "one two three")], "item_id string, text string")
+    model, field = langid.train(none), pii.fit_field(none)
+    assert model is None and field is pii.PRIOR
+    for out in (langid.predict(none, model, keep=("doc_id",)), secrets.find_secrets(none, keep=("doc_id",)),
+                pii.find_pii(none, keep=("doc_id",), field=field), pii.mask_pii(none, row=True, field=field),
+                decontam.contamination(none, items, keep=("doc_id",))):
+        assert out.collect() == []
+
+
 def test_language_edge_rows(spark):
     texts = [None, "", "123 !!", "the and of the with that", "le la de les que", "the " * 20_000]
     docs = frame(spark, texts).withColumn(
