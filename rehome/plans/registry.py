@@ -695,7 +695,7 @@ def q_src4(spark, sf):
     literal ``%20`` in a name must survive.  Laid out as the text writer lays
     out folders per key, with its escaping (``%`` is ``%25`` on disk) and one
     part for each input partition, but written by ``write_exact_files``: the
-    text writer forks a process for each folder's and file's permissions."""
+    text writer took about 21 ms a folder, in one task."""
     path = scratch_path(spark, "src4")
     p = B.table(spark, sf, "supplier")
     artifact = F.concat(F.lit("s"), F.col("s_suppkey").cast("string"), F.lit("%2520x"))
